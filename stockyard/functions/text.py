@@ -17,23 +17,17 @@ def strip_ws(col: Column) -> Column:
 
 
 def title_case(col: Column) -> Column:
-    """``str.title()``: a cased letter is upper after an uncased char, else lower.
+    """``str.title()``: a letter run starts upper-case, the rest is lower-case.
 
-    ``initcap`` only starts a word after a space, so it is used only for
-    strings made of ASCII letters and spaces (where both rules agree); other
-    strings go through a per-character rule on the JVM side.
+    Spark's ``initcap`` only starts a word after a space.  Both rules agree on
+    ASCII text in which no letter follows a character other than a letter or a
+    space, so such strings (nearly all names) take ``initcap``.  Others are cut
+    before every letter that follows a non-letter and each piece is
+    ``initcap``-ed: all on the JVM, no Python.
     """
-    chars = F.split(col, "")
-    per_char = F.array_join(
-        F.transform(
-            chars,
-            lambda c, i: F.when(
-                (i == 0) | (F.lower(chars[i - 1]) == F.upper(chars[i - 1])), F.upper(c)
-            ).otherwise(F.lower(c)),
-        ),
-        "",
-    )
-    return F.when(col.rlike("^[A-Za-z ]*$"), F.initcap(col)).otherwise(per_char)
+    pieces = F.split(col, r"(?<=[^\p{L}])(?=\p{L})")
+    piecewise = F.array_join(F.transform(pieces, F.initcap), "")
+    return F.when(col.rlike(r"[^\x00-\x7F]|[^A-Za-z ][A-Za-z]"), piecewise).otherwise(F.initcap(col))
 
 
 def clean_name(col: Column) -> Column:

@@ -85,8 +85,10 @@ def materialize_star_schema(
 ) -> StarSchema:
     """Write cleaned orders, the four dimensions and the fact below ``root``.
 
-    The fact is written sorted by ``date_id`` inside each task so Parquet
-    row-group statistics can skip dates (period slicers, trend windows).
+    ``raw_orders`` (the feed, already written by the caller) is kept for the
+    feed-level reports.  The fact is written sorted by ``date_id`` inside
+    each task so Parquet row-group statistics can skip dates (period
+    slicers, trend windows).
     """
     clean = _write(orders, f"{root}/orders_clean")
     dims = {
@@ -118,17 +120,21 @@ _CACHE: dict[tuple[str, str], StarSchema] = {}
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> StarSchema:
-    """Star schema over the driver tables in ``sf_dir``, built once per session."""
+    """Star schema over the driver tables in ``sf_dir``, built once per session.
+
+    Raw feed, cleaned orders, dimensions and fact are written below the
+    shared folder; later queries of the same session reuse them."""
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
     with _LOCK:
         star = _CACHE.get(key)
         if star is None:
-            raw = adapter.raw_orders_from_tables(spark, sf_dir)
+            root = scratch_path(spark, "warehouse")
+            raw = _write(adapter.raw_orders_from_tables(spark, sf_dir), f"{root}/raw_orders")
             orders = clean_orders(raw, first_by=adapter.FIRST_BY)
             star = materialize_star_schema(
                 spark,
                 orders,
-                scratch_path(spark, "warehouse"),
+                root,
                 category_map=adapter.PART_NOUN_CATEGORY,
                 category_key=adapter.part_noun,
                 zone_map=adapter.REGION_ZONE,
