@@ -5,15 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Python's str.isspace set: Unicode white space plus the four separators
-# U+001C..U+001F.  (?U) makes \s Unicode-aware in Java regex.
-_WS = r"[\s\x1c-\x1f]"
-_STRIP = rf"(?U)^{_WS}+|{_WS}+$"
+# The characters Python's ``str.isspace`` accepts, i.e. what
+# ``str.strip()`` removes (Spark's ``trim`` removes spaces only).
+PY_WHITESPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 
 def strip_ws(col: Column) -> Column:
-    """``str.strip()``: Spark ``trim`` removes spaces only, not tabs."""
-    return F.regexp_replace(col, _STRIP, "")
+    """``str.strip()``: trim every Python white-space character at both ends."""
+    return F.btrim(col, F.lit(PY_WHITESPACE))
 
 
 def title_case(col: Column) -> Column:

@@ -43,8 +43,11 @@ def local_session(
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
     if event_log_dir:
-        builder = builder.config("spark.eventLog.enabled", "true").config(
-            "spark.eventLog.dir", event_log_dir
+        builder = (
+            builder.config("spark.eventLog.enabled", "true")
+            .config("spark.eventLog.dir", event_log_dir)
+            .config("spark.eventLog.compress", "false")
+            .config("spark.eventLog.rolling.enabled", "false")
         )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
