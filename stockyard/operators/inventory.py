@@ -26,21 +26,20 @@ def inventory_snapshot(raw_orders: DataFrame, period_days: int = PERIOD_DAYS) ->
         F.sum(F.col("quantity_ordered").cast("long") * cents(F.col("unit_cost"))).alias("_cost_c"),
         F.avg("lead_time_days").alias("avg_lead_time"),
     )
-    reorder = pd_round(F.col("avg_lead_time") * (F.col("total_ordered") / F.lit(period_days)), 0)
-    return (
+    return reorder_status(
         per.select(
-            "product_name",
-            "avg_stock",
-            "total_ordered",
-            amount(F.col("_cost_c")).alias("total_cost"),
-            "avg_lead_time",
-            reorder.alias("reorder_point"),
-        )
-        .withColumn(
-            "stock_status",
-            F.when(F.col("avg_stock") < F.col("reorder_point"), F.lit("Low Stock")).otherwise(F.lit("Adequate")),
-        )
-        .orderBy("product_name")
+            "product_name", "avg_stock", "total_ordered", amount(F.col("_cost_c")).alias("total_cost"), "avg_lead_time"
+        ),
+        period_days,
+    ).orderBy("product_name")
+
+
+def reorder_status(per: DataFrame, period_days: int = PERIOD_DAYS) -> DataFrame:
+    """Reorder point from unrounded means and the Low Stock / Adequate flag."""
+    reorder = pd_round(F.col("avg_lead_time") * (F.col("total_ordered") / F.lit(period_days)), 0)
+    return per.withColumn("reorder_point", reorder).withColumn(
+        "stock_status",
+        F.when(F.col("avg_stock") < F.col("reorder_point"), F.lit("Low Stock")).otherwise(F.lit("Adequate")),
     )
 
 
@@ -52,13 +51,9 @@ def product_aggregates(star) -> DataFrame:
     return rollup(joined, ["product_name", "category"])
 
 
-def inventory_kpis(
-    star, period_days: int = PERIOD_DAYS, safety_factor: float = SAFETY_FACTOR
-) -> DataFrame:
-    """Per product: orders, units, rounded stock/lead/revenue, daily demand,
-    reorder point, safety stock, turnover, days of stock, stock status.
-    Derived columns use the rounded aggregates."""
-    g = product_aggregates(star).select(
+def inventory_base(star) -> DataFrame:
+    """Rounded per-product aggregates the inventory KPIs are derived from."""
+    return product_aggregates(star).select(
         "product_name",
         "category",
         F.col("n_orders").alias("total_orders"),
@@ -67,20 +62,30 @@ def inventory_kpis(
         sql_round(avg_of("lead"), 1).alias("avg_lead_time"),
         revenue(0).alias("total_revenue"),
     )
+
+
+def derive_inventory_kpis(
+    base: DataFrame, period_days: int = PERIOD_DAYS, safety_factor: float = SAFETY_FACTOR
+) -> DataFrame:
+    """Daily demand, reorder point, safety stock, turnover, days of stock and
+    status, all from the rounded aggregates."""
     add = F.col("avg_daily_demand")
     lead = F.col("avg_lead_time")
-    return (
-        g.withColumn("avg_daily_demand", pd_round(F.col("total_units_sold") / F.lit(period_days), 2))
-        .withColumns(
-            {
-                "reorder_point": pd_round(add * lead, 0).cast("long"),
-                "safety_stock": pd_round(add * lead * F.lit(float(safety_factor)), 0).cast("long"),
-                "inventory_turnover": pd_round(safe_div(F.col("total_units_sold"), F.col("avg_stock")), 2),
-                "days_of_stock": pd_round(safe_div(F.col("avg_stock"), add), 1),
-                "stock_status": bin_right(F.col("avg_stock"), STOCK_EDGES, STOCK_LABELS),
-            }
-        )
-        .orderBy(F.desc("total_revenue"), "product_name")
+    return base.withColumn("avg_daily_demand", pd_round(F.col("total_units_sold") / F.lit(period_days), 2)).withColumns(
+        {
+            "reorder_point": pd_round(add * lead, 0).cast("long"),
+            "safety_stock": pd_round(add * lead * F.lit(float(safety_factor)), 0).cast("long"),
+            "inventory_turnover": pd_round(safe_div(F.col("total_units_sold"), F.col("avg_stock")), 2),
+            "days_of_stock": pd_round(safe_div(F.col("avg_stock"), add), 1),
+            "stock_status": bin_right(F.col("avg_stock"), STOCK_EDGES, STOCK_LABELS),
+        }
+    )
+
+
+def inventory_kpis(star, period_days: int = PERIOD_DAYS, safety_factor: float = SAFETY_FACTOR) -> DataFrame:
+    """Per-product inventory KPIs, highest revenue first."""
+    return derive_inventory_kpis(inventory_base(star), period_days, safety_factor).orderBy(
+        F.desc("total_revenue"), "product_name"
     )
 
 

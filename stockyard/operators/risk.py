@@ -24,18 +24,9 @@ def supplier_aggregates(star) -> DataFrame:
     return rollup(joined, ["supplier_name", "reliability"])
 
 
-def supplier_risk(
-    star,
-    benchmark_lead_time: float = BENCHMARK_LEAD_TIME,
-    weights: tuple[float, float, float] = WEIGHTS,
-) -> DataFrame:
-    """0-100 risk index per supplier.
-
-    Scores are derived from the already-rounded aggregates.  "Variance" is the
-    lead-time range over its mean (null when the mean is 0).
-    """
-    g = supplier_aggregates(star)
-    base = g.select(
+def supplier_base(star) -> DataFrame:
+    """Rounded per-supplier aggregates the scores are derived from."""
+    return supplier_aggregates(star).select(
         "supplier_name",
         "reliability",
         F.col("n_orders").alias("total_orders"),
@@ -45,6 +36,17 @@ def supplier_risk(
         sql_round(F.col("max_lead"), 0).alias("max_lead_time"),
         revenue(0).alias("total_spend"),
     )
+
+
+def score_suppliers(
+    base: DataFrame,
+    benchmark_lead_time: float = BENCHMARK_LEAD_TIME,
+    weights: tuple[float, float, float] = WEIGHTS,
+) -> DataFrame:
+    """Add delay / lead-time / variance scores, the weighted risk score and its label.
+
+    Derived from the already-rounded aggregates.  "Variance" is the lead-time
+    range over its mean (null when the mean is 0)."""
     bench = F.lit(float(benchmark_lead_time))
     scored = base.withColumns(
         {
@@ -57,10 +59,19 @@ def supplier_risk(
     )
     wd, wl, wv = (F.lit(float(w)) for w in weights)
     risk = pd_round(F.col("delay_score") * wd + F.col("lead_time_score") * wl + F.col("variance_score") * wv, 1)
-    return (
-        scored.withColumn("risk_score", risk)
-        .withColumn("risk_label", bin_right(F.col("risk_score"), RISK_EDGES, RISK_LABELS))
-        .orderBy(F.desc("delay_rate_pct"), "supplier_name")
+    return scored.withColumn("risk_score", risk).withColumn(
+        "risk_label", bin_right(F.col("risk_score"), RISK_EDGES, RISK_LABELS)
+    )
+
+
+def supplier_risk(
+    star,
+    benchmark_lead_time: float = BENCHMARK_LEAD_TIME,
+    weights: tuple[float, float, float] = WEIGHTS,
+) -> DataFrame:
+    """0-100 risk index per supplier, highest delay rate first."""
+    return score_suppliers(supplier_base(star), benchmark_lead_time, weights).orderBy(
+        F.desc("delay_rate_pct"), "supplier_name"
     )
 
 

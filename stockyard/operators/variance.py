@@ -30,11 +30,9 @@ def month_category_aggregates(star) -> DataFrame:
     return rollup(joined, ["year", "month", "month_name", "quarter", "category"])
 
 
-def cost_variance(star, delay_cost_rate: float = DELAY_COST_RATE) -> DataFrame:
-    """Per (year, month, category): orders, planned spend and days, actual days,
-    mean delay, delayed orders; day variance, delay cost (product of rounded
-    group aggregates), on-time rate and period label."""
-    g = month_category_aggregates(star).select(
+def cost_variance_base(star) -> DataFrame:
+    """Rounded per (year, month, category) aggregates."""
+    return month_category_aggregates(star).select(
         "year",
         "month",
         "month_name",
@@ -47,14 +45,24 @@ def cost_variance(star, delay_cost_rate: float = DELAY_COST_RATE) -> DataFrame:
         sql_round(avg_of("delay"), 2).alias("avg_delay"),
         F.col("sum_delayed").alias("delayed_orders"),
     )
-    return g.withColumns(
+
+
+def derive_cost_variance(base: DataFrame, delay_cost_rate: float = DELAY_COST_RATE) -> DataFrame:
+    """Day variance, delay cost (product of rounded group aggregates, not a sum
+    of per-order costs), on-time rate and period label."""
+    return base.withColumns(
         {
             "day_variance": pd_round(F.col("actual_days") - F.col("planned_days"), 2),
             "delay_cost": pd_round(F.col("planned_spend") * F.col("avg_delay") * F.lit(delay_cost_rate), 0),
             "on_time_rate": pd_round(F.lit(1) - F.col("delayed_orders") / F.col("total_orders"), 3) * 100,
             "period": F.concat(F.col("year").cast("string"), F.lit("-Q"), F.col("quarter").cast("string")),
         }
-    ).orderBy("year", "month", "category")
+    )
+
+
+def cost_variance(star, delay_cost_rate: float = DELAY_COST_RATE) -> DataFrame:
+    """Planned vs actual delivery per (year, month, category)."""
+    return derive_cost_variance(cost_variance_base(star), delay_cost_rate).orderBy("year", "month", "category")
 
 
 def monthly_category_spend(star, categories: Sequence[str]) -> DataFrame:
