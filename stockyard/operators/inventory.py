@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import amount, bin_right, cents, pd_round, safe_div, sql_round
-from ..plans.joins import lookup_join
-from .measures import avg_of, partial_measures, revenue, rollup
+from .measures import avg_of, revenue
 
 # Demand period (days), safety factor, stock bins, alert horizon.
 PERIOD_DAYS = 730
@@ -44,11 +43,10 @@ def reorder_status(per: DataFrame, period_days: int = PERIOD_DAYS) -> DataFrame:
 
 
 def product_aggregates(star) -> DataFrame:
-    """Fact measures per (product_name, category)."""
-    parts = partial_measures(star.fact_orders, ["product_id"])
-    dim = star.dim_product.select("product_id", "product_name", "category")
-    joined = lookup_join(parts, dim, "product_id", "inner", star.dim_rows("dim_product"))
-    return rollup(joined, ["product_name", "category"])
+    """Fact measures per (product_name, category) (product names are unique)."""
+    from .kpis import by_product
+
+    return by_product(star)
 
 
 def inventory_base(star) -> DataFrame:

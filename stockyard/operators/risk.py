@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import bin_right, clip, pd_round, safe_div, sql_round
-from ..plans.joins import lookup_join
-from .measures import avg_of, partial_measures, rate_pct, revenue, rollup
+from .measures import avg_of, rate_pct, revenue
 
 # Benchmark lead time (days), component weights, label bins.
 BENCHMARK_LEAD_TIME = 15
@@ -18,10 +17,9 @@ RISK_LABELS = ["Low Risk", "Medium Risk", "High Risk"]
 
 def supplier_aggregates(star) -> DataFrame:
     """Per supplier (and its reliability): order count, delay rate, lead-time stats, spend."""
-    parts = partial_measures(star.fact_orders, ["supplier_id"])
-    dim = star.dim_supplier.select("supplier_id", "supplier_name", "reliability")
-    joined = lookup_join(parts, dim, "supplier_id", "inner", star.dim_rows("dim_supplier"))
-    return rollup(joined, ["supplier_name", "reliability"])
+    from .kpis import by_supplier
+
+    return by_supplier(star)
 
 
 def supplier_base(star) -> DataFrame:

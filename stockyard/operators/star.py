@@ -2,9 +2,10 @@
 
 Dimensions are aggregates of the cleaned orders (map-side partial
 aggregation, so a hot product or supplier never lands whole in one task).
-Surrogate keys are dense 1..n in natural-key order, assigned without a
-single-partition window: range-partition the keys, number rows inside each
-partition and add the row counts of the partitions before it.
+Surrogate keys are dense 1..n in natural-key order.  A dimension whose
+counted size is small is numbered by one ordered window; a large one is
+range-partitioned by the key, numbered inside each partition, and shifted by
+the row counts of the partitions before it (no single-task window).
 """
 
 from __future__ import annotations
@@ -55,18 +56,33 @@ def literal_map(mapping: Mapping[str, str]) -> Column:
     return F.create_map(*items)
 
 
-def with_dense_ids(dim: DataFrame, order_cols: Sequence[str], id_col: str) -> DataFrame:
+# Dimensions up to this many rows get their keys from one ordered window
+# (a single task, but over a size proven by the count); larger ones use the
+# distributed numbering below.
+SMALL_DIM_ROWS = 1_000_000
+
+
+def with_dense_ids(
+    dim: DataFrame, order_cols: Sequence[str], id_col: str, small_rows: int = SMALL_DIM_ROWS
+) -> DataFrame:
     """Prepend ``id_col`` = 1..n following ``order_cols`` (which must be unique).
 
-    Range-partition by the key and sort inside partitions; tag each row with
-    ``monotonically_increasing_id`` (partition index in the high bits, row
-    position in the low bits) and checkpoint, so that the tags are fixed even
-    if a task is re-run.  The per-partition row counts (one row per partition,
-    a bound set by the partition count) give each partition's offset.
+    The dimension is checkpointed first (computed once, then fixed) and
+    counted.  A small one is numbered by a global ``row_number``.  A large one
+    is range-partitioned by the key and sorted inside partitions; each row is
+    tagged with ``monotonically_increasing_id`` (partition index in the high
+    bits, row position in the low bits) and checkpointed again so the tags
+    survive task re-runs; the per-partition row counts (one row per partition,
+    bounded by the partition count) give each partition's offset.
     """
     order_cols = list(order_cols)
+    cols = [F.col(f"`{c}`") for c in dim.columns]
+    staged = dim.checkpoint(eager=True)
+    if staged.count() <= small_rows:
+        rank = F.row_number().over(Window.orderBy(*order_cols))
+        return staged.select(rank.cast("int").alias(id_col), *cols)
     tagged = (
-        dim.repartitionByRange(*order_cols)
+        staged.repartitionByRange(*order_cols)
         .sortWithinPartitions(*order_cols)
         .withColumn("_tag", F.monotonically_increasing_id())
         .checkpoint(eager=True)
@@ -76,9 +92,8 @@ def with_dense_ids(dim: DataFrame, order_cols: Sequence[str], id_col: str) -> Da
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
     row_in_part = F.col("_tag").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
-    return (
-        tagged.join(F.broadcast(offsets), part == F.col("_part"))
-        .select((F.col("_offset") + row_in_part + 1).cast("int").alias(id_col), *[F.col(f"`{c}`") for c in dim.columns])
+    return tagged.join(F.broadcast(offsets), part == F.col("_part")).select(
+        (F.col("_offset") + row_in_part + 1).cast("int").alias(id_col), *cols
     )
 
 

@@ -69,8 +69,13 @@ def build_star_schema(
 
 
 def _write(df: DataFrame, path: str, sort_by: str | None = None) -> DataFrame:
-    out = df.sortWithinPartitions(sort_by) if sort_by else df
-    out.write.mode("overwrite").parquet(path)
+    sc = df.sparkSession.sparkContext
+    sc.setJobDescription(f"stockyard write {path.rstrip('/').rsplit('/', 1)[-1]}")
+    try:
+        out = df.sortWithinPartitions(sort_by) if sort_by else df
+        out.write.mode("overwrite").parquet(path)
+    finally:
+        sc.setJobDescription(None)
     return df.sparkSession.read.parquet(path)
 
 

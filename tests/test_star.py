@@ -61,10 +61,12 @@ def test_dim_date_attributes(spark):
 
 def test_dense_ids_across_many_partitions(spark):
     keys = spark.range(5000).select(F.sha2(F.col("id").cast("string"), 256).alias("k")).repartition(13)
-    got = with_dense_ids(keys, ["k"], "kid")
+    got = with_dense_ids(keys, ["k"], "kid", small_rows=0)  # force the distributed numbering
     expect = keys.withColumn("kid", F.row_number().over(Window.orderBy("k")))
     assert got.count() == 5000
     assert got.exceptAll(expect.select("kid", "k")).count() == 0
+    small = with_dense_ids(keys, ["k"], "kid")
+    assert small.exceptAll(expect.select("kid", "k")).count() == 0
 
 
 def test_fact_lookups_and_null_fk(spark):
