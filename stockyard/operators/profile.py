@@ -2,7 +2,8 @@
 
 Moments are taken over exact integers (values, or cents for money) so mean
 and standard deviation do not depend on row order (the standard deviation is
-reported to 6 decimals); quartiles are exact with linear interpolation.
+reported to 6 decimals); quartiles are exact with linear interpolation and
+computed without gathering a column's values in one task.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import cents, round_amount, sql_round
+from .quantiles import exact_quantiles
 
 # Numeric columns of the raw feed; money columns carry two decimals.
 INT_COLUMNS = ["quantity_ordered", "lead_time_days", "warehouse_stock", "delay_days", "actual_delivery_days"]
@@ -41,40 +43,53 @@ def profile_orders(
 ) -> DataFrame:
     """``describe()``: count, mean, std, min, quartiles, max per numeric column.
 
-    One aggregate over the feed computes every statistic of every column; the
-    wide row is then unpivoted to one row per column."""
+    One aggregate over the feed computes the moments and extremes of every
+    column (the wide row is then turned into one row per column); quartiles
+    come from the distributed exact quantile, joined on the column name (one
+    row per column on each side)."""
     ints = {c: F.col(c).cast("long") for c in int_columns}
-    money = {c: (F.col("quantity_ordered").cast("long") * cents(F.col("unit_cost"))) if c == "total_cost" else cents(F.col(c)) for c in money_columns}
+    money = {
+        c: (F.col("quantity_ordered").cast("long") * cents(F.col("unit_cost"))) if c == "total_cost" else cents(F.col(c))
+        for c in money_columns
+    }
     scaled = {**ints, **money}
     aggs = []
-    for i, (c, v) in enumerate(scaled.items()):
-        sq = v.cast("decimal(38,0)") * v.cast("decimal(38,0)")
+    for i, v in enumerate(scaled.values()):
+        big = v.cast("decimal(38,0)")
         aggs += [
             F.count(v).alias(f"n{i}"),
-            F.sum(v.cast("decimal(38,0)")).alias(f"s{i}"),
-            F.sum(sq).alias(f"q{i}"),
+            F.sum(big).alias(f"s{i}"),
+            F.sum(big * big).alias(f"q{i}"),
             F.min(v).alias(f"lo{i}"),
             F.max(v).alias(f"hi{i}"),
-            F.percentile(v, list(QUANTILES)).alias(f"p{i}"),
         ]
     wide = raw_orders.agg(*aggs)
     rows = []
     for i, c in enumerate(scaled):
-        unit = 100.0 if c in money else 1.0
+        unit = F.lit(100.0 if c in money else 1.0)
         n, s, q = F.col(f"n{i}"), F.col(f"s{i}"), F.col(f"q{i}")
-        var_num = n.cast("decimal(38,0)") * q - s * s
-        var = var_num.cast("double") / (n.cast("double") * (n - 1).cast("double"))
+        var = (n.cast("decimal(38,0)") * q - s * s).cast("double") / (n.cast("double") * (n - 1).cast("double"))
         rows.append(
             F.struct(
                 F.lit(c).alias("column_name"),
                 n.alias("count"),
-                (s.cast("double") / n.cast("double") / F.lit(unit)).alias("mean"),
-                sql_round(F.sqrt(F.when(n > 1, var)) / F.lit(unit), 6).alias("std"),
-                (F.col(f"lo{i}").cast("double") / F.lit(unit)).alias("min"),
-                (F.col(f"p{i}")[0] / F.lit(unit)).alias("p25"),
-                (F.col(f"p{i}")[1] / F.lit(unit)).alias("p50"),
-                (F.col(f"p{i}")[2] / F.lit(unit)).alias("p75"),
-                (F.col(f"hi{i}").cast("double") / F.lit(unit)).alias("max"),
+                (s.cast("double") / n.cast("double") / unit).alias("mean"),
+                sql_round(F.sqrt(F.when(n > 1, var)) / unit, 6).alias("std"),
+                (F.col(f"lo{i}").cast("double") / unit).alias("min"),
+                F.lit(100.0 if c in money else 1.0).alias("_unit"),
+                (F.col(f"hi{i}").cast("double") / unit).alias("max"),
             )
         )
-    return wide.select(F.inline(F.array(*rows)))
+    moments = wide.select(F.inline(F.array(*rows)))
+    quart = exact_quantiles(raw_orders, scaled, QUANTILES)
+    return moments.join(F.broadcast(quart), "column_name").select(
+        "column_name",
+        "count",
+        "mean",
+        "std",
+        "min",
+        (F.col("q0") / F.col("_unit")).alias("p25"),
+        (F.col("q1") / F.col("_unit")).alias("p50"),
+        (F.col("q2") / F.col("_unit")).alias("p75"),
+        "max",
+    )
