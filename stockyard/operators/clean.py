@@ -9,7 +9,11 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import pd_round
 from ..functions.text import clean_name
+from ..plans.joins import bounded_rows
 from ..schemas import CLEAN_ORDERS, column_names
+from ..session import broadcast_max_rows
+
+NAME_COLUMNS = ("product_name", "supplier_name", "region")
 
 # Hidden column added by the CSV reader: (file, block start, position) so that
 # "first in file order" is well defined after Spark has split the file.
@@ -48,6 +52,29 @@ def dedupe_first(df: DataFrame, key: str, first_by: Sequence[str]) -> DataFrame:
     )
 
 
+def tidy_names(df: DataFrame, cols: Sequence[str], source: DataFrame | None = None) -> DataFrame:
+    """``clean_name`` on ``cols``, evaluated once per distinct name when possible.
+
+    Names have few distinct values.  The distinct names of ``source`` (a
+    superset of those in ``df``, by default ``df``) are counted; if they fit the
+    broadcast limit each is cleaned once and looked up with a broadcast join,
+    otherwise every row is cleaned in place."""
+    src = source if source is not None else df
+    names = (
+        src.select(F.explode(F.array(*[F.col(c).cast("string") for c in cols])).alias("_raw"))
+        .where(F.col("_raw").isNotNull())
+        .distinct()
+    )
+    if bounded_rows(names, broadcast_max_rows(df.sparkSession)) is None:
+        return df.withColumns({c: clean_name(F.col(c)) for c in cols})
+    mapping = names.select("_raw", clean_name(F.col("_raw")).alias("_clean"))
+    out = df
+    for c in cols:
+        m = F.broadcast(mapping.select(F.col("_raw").alias(f"_r_{c}"), F.col("_clean").alias(f"_c_{c}")))
+        out = out.join(m, out[c] == m[f"_r_{c}"], "left").withColumn(c, F.col(f"_c_{c}")).drop(f"_r_{c}", f"_c_{c}")
+    return out
+
+
 def clean_orders(raw: DataFrame, first_by: Sequence[str] | None = None) -> DataFrame:
     """Cleaned orders: de-duplicate on order_id, drop rows without id/product,
     enforce types, recompute ``total_cost``, 0/1 delay flag, tidy names.
@@ -74,9 +101,6 @@ def clean_orders(raw: DataFrame, first_by: Sequence[str] | None = None) -> DataF
             "actual_delivery_days": F.col("actual_delivery_days").try_cast("int"),
             "delay_days": F.col("delay_days").try_cast("int"),
             "warehouse_stock": F.col("warehouse_stock").try_cast("int"),
-            "product_name": clean_name(F.col("product_name")),
-            "supplier_name": clean_name(F.col("supplier_name")),
-            "region": clean_name(F.col("region")),
         }
     )
-    return typed.select(*column_names(CLEAN_ORDERS))
+    return tidy_names(typed, NAME_COLUMNS, source=raw).select(*column_names(CLEAN_ORDERS))
