@@ -26,10 +26,15 @@ Z80 = 1.2816
 
 
 def daily_demand(star, keys: Sequence[str] = ()) -> DataFrame:
+    """(ds, y) per calendar day, in date order (the report)."""
+    return daily_series(star, keys).orderBy(*keys, "ds")
+
+
+def daily_series(star, keys: Sequence[str] = ()) -> DataFrame:
     """(ds, y): units ordered per calendar day (optionally per product attribute).
 
     The fact is aggregated by date_id (and product_id when keys are given)
-    before the date join."""
+    before the date join.  Unordered: the forecasts impose their own order."""
     keys = list(keys)
     fk = ["date_id"] + (["product_id"] if keys else [])
     parts = partial_measures(star.fact_orders, fk).select(*fk, "sum_qty")
@@ -40,7 +45,6 @@ def daily_demand(star, keys: Sequence[str] = ()) -> DataFrame:
         j.groupBy(*keys, "full_date")
         .agg(F.sum("sum_qty").cast("double").alias("y"))
         .select(*keys, F.col("full_date").alias("ds"), "y")
-        .orderBy(*keys, "ds")
     )
 
 

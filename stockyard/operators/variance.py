@@ -61,13 +61,18 @@ def derive_cost_variance(base: DataFrame, delay_cost_rate: float = DELAY_COST_RA
 
 
 def cost_variance(star, delay_cost_rate: float = DELAY_COST_RATE) -> DataFrame:
-    """Planned vs actual delivery per (year, month, category)."""
+    """Planned vs actual delivery per (year, month, category), in period order."""
     return derive_cost_variance(cost_variance_base(star), delay_cost_rate).orderBy("year", "month", "category")
 
 
+def cost_variance_rows(star) -> DataFrame:
+    """``cost_variance`` without the presentation sort (input of further aggregation)."""
+    return derive_cost_variance(cost_variance_base(star))
+
+
 def monthly_category_spend(star, categories: Sequence[str]) -> DataFrame:
     """Planned spend by calendar month (years merged) with one column per category, 0 if none."""
-    cv = cost_variance(star)
+    cv = cost_variance_rows(star)
     wide = cv.groupBy("month").pivot("category", list(categories)).agg(F.sum("planned_spend"))
     return wide.na.fill(0.0, subset=list(categories)).orderBy("month")
 
@@ -76,7 +81,7 @@ def monthly_on_time(star, sla_target: float = SLA_TARGET) -> DataFrame:
     """Unweighted mean of the (year, category) on-time rates per calendar month,
     against the SLA target.  Rates are multiples of 0.1, so they are summed as
     integer tenths: the mean does not depend on row order."""
-    cv = cost_variance(star).where(F.col("on_time_rate").isNotNull())
+    cv = cost_variance_rows(star).where(F.col("on_time_rate").isNotNull())
     tenths = F.rint(F.col("on_time_rate") * 10).cast("long")
     per_month = cv.groupBy("month").agg(F.sum(tenths).alias("_t"), F.count(F.lit(1)).alias("_n"))
     rate = F.col("_t").cast("double") / F.col("_n").cast("double") / F.lit(10.0)

@@ -71,12 +71,16 @@ _STAR_QUERIES: dict[str, Callable[[StarSchema], DataFrame]] = {
     "kpi_monthly_trend": kpis.kpi_monthly_trend,
     # forecasting
     "daily_demand": fc.daily_demand,
-    "forecast_rolling": lambda s: fc.forecast_rolling(fc.daily_demand(s)),
-    "forecast_segments": lambda s: fc.forecast_segments(fc.daily_demand(s)),
-    "forecast_seasonal": lambda s: fc.forecast_seasonal(fc.daily_demand(s)),
-    "forecast_tail": lambda s: fc.forecast_tail(fc.forecast_rolling(fc.daily_demand(s))),
-    "forecast_rolling_by_category": lambda s: fc.forecast_rolling(fc.daily_demand(s, ["category"]), ["category"]),
-    "forecast_seasonal_by_category": lambda s: fc.forecast_seasonal(fc.daily_demand(s, ["category"]), ["category"]),
+    "forecast_rolling": lambda s: fc.forecast_rolling(fc.daily_series(s)).orderBy("date"),
+    "forecast_segments": lambda s: fc.forecast_segments(fc.daily_series(s)).orderBy("date"),
+    "forecast_seasonal": lambda s: fc.forecast_seasonal(fc.daily_series(s)).orderBy("date"),
+    "forecast_tail": lambda s: fc.forecast_tail(fc.forecast_rolling(fc.daily_series(s))),
+    "forecast_rolling_by_category": lambda s: fc.forecast_rolling(fc.daily_series(s, ["category"]), ["category"]).orderBy(
+        "category", "date"
+    ),
+    "forecast_seasonal_by_category": lambda s: fc.forecast_seasonal(
+        fc.daily_series(s, ["category"]), ["category"]
+    ).orderBy("category", "date"),
     # stand-alone SQL reports
     "stg_monthly_volume": staging.stg_monthly_volume,
     "stg_supplier_performance": staging.stg_supplier_performance,
@@ -94,7 +98,9 @@ _STAR_QUERIES: dict[str, Callable[[StarSchema], DataFrame]] = {
     "kpi_sliced": kpis.kpi_sliced,
     "revenue_concentration": kpis.revenue_concentration,
     "delay_per_affected": kpis.delay_per_affected,
-    "kpi_targets": lambda s: kpis.kpi_targets(s, inventory.inventory_kpis(s), risk.supplier_risk(s)),
+    "kpi_targets": lambda s: kpis.kpi_targets(
+        s, inventory.derive_inventory_kpis(inventory.inventory_base(s)), risk.score_suppliers(risk.supplier_base(s))
+    ),
 }
 
 
