@@ -36,19 +36,24 @@ def sort_orders(orders: DataFrame) -> DataFrame:
     return orders.orderBy("order_date", "order_id")
 
 
-def dedupe_first(df: DataFrame, key: str, first_by: Sequence[str]) -> DataFrame:
+def dedupe_first(
+    df: DataFrame, key: str, first_by: Sequence[str], colocate_by: Sequence[str] = ()
+) -> DataFrame:
     """Keep one row per ``key``: the first by ``first_by`` (rest of the row breaks ties).
 
     Written as an aggregate (``min`` of a struct led by the ordering columns)
     rather than a ``row_number`` window, so each map task collapses its copies
     of a key before the shuffle: a key holding a third of all rows costs one
-    row per task, not one giant window partition.
+    row per task, not one giant window partition.  ``colocate_by`` names
+    columns that ``key`` determines; grouping by them too lets an input that
+    is already partitioned (bucketed) by them skip the shuffle.
     """
     first_by = list(first_by)
-    rest = [c for c in df.columns if c != key and c not in first_by]
+    group = [key, *colocate_by]
+    rest = [c for c in df.columns if c not in group and c not in first_by]
     packed = F.struct(*[F.col(f"`{c}`") for c in first_by + rest])
-    return df.groupBy(key).agg(F.min(packed).alias("_first")).select(
-        *[F.col(f"`{key}`") if c == key else F.col(f"_first.`{c}`").alias(c) for c in df.columns]
+    return df.groupBy(*group).agg(F.min(packed).alias("_first")).select(
+        *[F.col(f"`{c}`") if c in group else F.col(f"_first.`{c}`").alias(c) for c in df.columns]
     )
 
 
@@ -56,18 +61,20 @@ def tidy_names(df: DataFrame, cols: Sequence[str], source: DataFrame | None = No
     """``clean_name`` on ``cols``, evaluated once per distinct name when possible.
 
     Names have few distinct values.  The distinct names of ``source`` (a
-    superset of those in ``df``, by default ``df``) are counted; if they fit the
-    broadcast limit each is cleaned once and looked up with a broadcast join,
-    otherwise every row is cleaned in place."""
+    superset of those in ``df``, by default ``df``) are cleaned once and
+    checkpointed (one scan of the name columns); if their count fits the
+    broadcast limit they are looked up with broadcast joins, otherwise every
+    row is cleaned in place."""
     src = source if source is not None else df
-    names = (
+    mapping = (
         src.select(F.explode(F.array(*[F.col(c).cast("string") for c in cols])).alias("_raw"))
         .where(F.col("_raw").isNotNull())
         .distinct()
+        .select("_raw", clean_name(F.col("_raw")).alias("_clean"))
+        .checkpoint(eager=True)
     )
-    if bounded_rows(names, broadcast_max_rows(df.sparkSession)) is None:
+    if bounded_rows(mapping, broadcast_max_rows(df.sparkSession)) is None:
         return df.withColumns({c: clean_name(F.col(c)) for c in cols})
-    mapping = names.select("_raw", clean_name(F.col("_raw")).alias("_clean"))
     out = df
     for c in cols:
         m = F.broadcast(mapping.select(F.col("_raw").alias(f"_r_{c}"), F.col("_clean").alias(f"_c_{c}")))
@@ -75,7 +82,9 @@ def tidy_names(df: DataFrame, cols: Sequence[str], source: DataFrame | None = No
     return out
 
 
-def clean_orders(raw: DataFrame, first_by: Sequence[str] | None = None) -> DataFrame:
+def clean_orders(
+    raw: DataFrame, first_by: Sequence[str] | None = None, colocate_by: Sequence[str] = ()
+) -> DataFrame:
     """Cleaned orders: de-duplicate on order_id, drop rows without id/product,
     enforce types, recompute ``total_cost``, 0/1 delay flag, tidy names.
 
@@ -86,7 +95,7 @@ def clean_orders(raw: DataFrame, first_by: Sequence[str] | None = None) -> DataF
     """
     if first_by is None:
         first_by = [FILE_ORDER] if FILE_ORDER in raw.columns else ["order_date"]
-    deduped = dedupe_first(raw, "order_id", first_by).na.drop(subset=["order_id", "product_name"])
+    deduped = dedupe_first(raw, "order_id", first_by, colocate_by).na.drop(subset=["order_id", "product_name"])
 
     qty = F.col("quantity_ordered").try_cast("int")
     cost = pd_round(F.col("unit_cost").try_cast("double"), 2)

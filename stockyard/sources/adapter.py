@@ -5,10 +5,13 @@ integer arithmetic from the keys (the same expressions the SQL oracle uses).
 ``order_id`` is built from (order key, line number) and is *not* unique
 across the join fan-out, which exercises de-duplication.
 
-The join of lineitem to orders is big-to-big and is left to Catalyst
-(sort-merge on the order key at scale, AQE may switch it at runtime).  part
-and supplier grow with the data, so they are never hinted; nation and region
-are broadcast after their size is checked.
+Join order: line items meet part and supplier first (both grow with the
+data and are never hinted: Catalyst and AQE pick broadcast or sort-merge),
+then the stream is hash-partitioned by order key and meets orders last.  The
+feed therefore leaves the adapter partitioned by order key, which is also
+what de-duplication needs (``order_id`` is a function of the order key):
+written as a table bucketed by ``_orderkey`` it is de-duplicated without
+another shuffle.  nation and region are broadcast after their size is checked.
 """
 
 from __future__ import annotations
@@ -24,6 +27,9 @@ from .tables import read_table
 # earliest order date, then the line's part, supplier, quantity, price and
 # ship date (free of ties at every supplied scale factor).
 FIRST_BY = ["order_date", "_partkey", "_suppkey", "_quantity", "_extendedprice", "_shipdate"]
+# order_id determines the order key; grouping by both keeps de-duplication
+# co-located with the order-key partitioning of the feed.
+COLOCATE_BY = ["_orderkey"]
 
 # Lookup maps for this data set.  Category by the noun of the
 # part name (gizmo deliberately unmapped -> 'Other'); zone by region name
@@ -69,15 +75,12 @@ def raw_orders_from_tables(spark: SparkSession, base_dir: str) -> DataFrame:
     )
     sup = sp.join(checked_broadcast(geo), sp.s_nationkey == geo.n_nationkey).select("s_suppkey", "s_name", "r_name")
 
-    # Hash-partition the line items by order key: at scale this is the very
-    # exchange the order join needs (Catalyst reuses it, no extra shuffle);
-    # on a single-file input it also spreads the rest of the job over all cores.
-    li = li.repartition("l_orderkey")
-    j = (
-        li.join(od, li.l_orderkey == od.o_orderkey)
-        .join(pt, li.l_partkey == pt.p_partkey)
-        .join(sup, li.l_suppkey == sup.s_suppkey)
-    )
+    # Orders last, on a stream hash-partitioned by order key: at scale this is
+    # the exchange the sort-merge join needs anyway (no extra shuffle), the
+    # feed leaves partitioned by order key, and on a single-file input the rest
+    # of the job spreads over all cores.
+    lines = li.join(pt, li.l_partkey == pt.p_partkey).join(sup, li.l_suppkey == sup.s_suppkey)
+    j = lines.repartition("l_orderkey").join(od, F.col("l_orderkey") == od.o_orderkey)
 
     ok, ln, pk, sk = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")
     pname = F.col("p_name")
@@ -101,6 +104,7 @@ def raw_orders_from_tables(spark: SparkSession, base_dir: str) -> DataFrame:
         lead.cast("int").alias("lead_time_days"),
         stock.cast("int").alias("warehouse_stock"),
         delay.cast("int").alias("delay_days"),
+        ok.alias("_orderkey"),
         pk.alias("_partkey"),
         sk.alias("_suppkey"),
         F.col("l_quantity").alias("_quantity"),

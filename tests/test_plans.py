@@ -52,3 +52,13 @@ def test_broadcast_only_under_the_size_limit(spark):
         spark.conf.unset("stockyard.broadcast.maxRows")
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_dedup_of_bucketed_feed_needs_no_shuffle(spark):
+    from stockyard.operators.clean import dedupe_first
+    from stockyard.sources import adapter
+
+    star = warehouse(spark, SF_SMALL)
+    p = plan(dedupe_first(star.raw_orders, "order_id", adapter.FIRST_BY, adapter.COLOCATE_BY))
+    assert "Bucketed: true" in p
+    assert "Exchange" not in p
