@@ -618,7 +618,7 @@ GROUP BY d.year, p.category ORDER BY d.year, p.category"""
          SUM(rev) OVER () AS tot
   FROM per
 )
-SELECT revenue_rank, product_name, {sround('CAST(rev AS DOUBLE)', 0)} AS total_revenue,
+SELECT CAST(revenue_rank AS INTEGER) AS revenue_rank, product_name, {sround('CAST(rev AS DOUBLE)', 0)} AS total_revenue,
        {sround('CAST(rev * 100 AS DOUBLE) / CAST(tot * 100 AS DOUBLE) * 100', 2)} AS revenue_share_pct,
        {sround('CAST(cum * 100 AS DOUBLE) / CAST(tot * 100 AS DOUBLE) * 100', 2)} AS cumulative_share_pct
 FROM ranked WHERE revenue_rank <= 3 ORDER BY revenue_rank"""

@@ -10,6 +10,8 @@ import __spark_entry__ as E
 from conftest import SF_SMALL
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem"]
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+                 "boolean": "BOOLEAN"}
 
 
 def _norm(rows, cols):
@@ -46,7 +48,8 @@ def duck():
 def test_query_matches_oracle(spark, duck, key):
     df = E.queries()[key](spark, SF_SMALL)
     srows = [tuple(r) for r in df.collect()]
-    cur = duck.execute(E.oracle_sql()[key])
-    dcols = [d[0] for d in cur.description]
+    rel = duck.sql(E.oracle_sql()[key])
+    dcols, dtypes = rel.columns, [str(t) for t in rel.types]
     assert sorted(df.columns) == sorted(dcols)
-    assert _norm(srows, df.columns) == _norm(cur.fetchall(), dcols)
+    assert {c: SPARK_TO_DUCK[t] for c, t in df.dtypes} == dict(zip(dcols, dtypes))
+    assert _norm(srows, df.columns) == _norm(rel.fetchall(), dcols)
