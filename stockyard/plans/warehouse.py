@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import threading
 import uuid
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -141,6 +141,32 @@ _LOCK = threading.Lock()
 _CACHE: dict[tuple[str, str], StarSchema] = {}
 
 
+def build_warehouse(
+    spark: SparkSession,
+    raw: DataFrame,
+    root: str,
+    first_by: Sequence[str] | None = None,
+    colocate_by: Sequence[str] = (),
+    category_map: Mapping[str, str] = PRODUCT_CATEGORY,
+    category_key: Callable[[Column], Column] | None = None,
+    zone_map: Mapping[str, str] = REGION_ZONE,
+) -> StarSchema:
+    """Raw feed -> written raw layer -> cleaned orders -> dimensions -> fact.
+
+    With ``colocate_by`` the raw layer is written bucketed by its first column
+    (one bucket per shuffle partition) and de-duplication groups by it as
+    well, so no shuffle is needed there."""
+    if colocate_by:
+        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        raw_t = _write_bucketed(raw, f"{root}/raw_orders", colocate_by[0], buckets)
+    else:
+        raw_t = _write(raw, f"{root}/raw_orders")
+    orders = clean_orders(raw_t, first_by=first_by, colocate_by=colocate_by)
+    return materialize_star_schema(
+        spark, orders, root, category_map=category_map, category_key=category_key, zone_map=zone_map, raw_orders=raw_t
+    )
+
+
 def warehouse(spark: SparkSession, sf_dir: str) -> StarSchema:
     """Star schema over the driver tables in ``sf_dir``, built once per session.
 
@@ -150,20 +176,15 @@ def warehouse(spark: SparkSession, sf_dir: str) -> StarSchema:
     with _LOCK:
         star = _CACHE.get(key)
         if star is None:
-            root = scratch_path(spark, "warehouse")
-            buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-            raw = _write_bucketed(
-                adapter.raw_orders_from_tables(spark, sf_dir), f"{root}/raw_orders", "_orderkey", buckets
-            )
-            orders = clean_orders(raw, first_by=adapter.FIRST_BY, colocate_by=adapter.COLOCATE_BY)
-            star = materialize_star_schema(
+            star = build_warehouse(
                 spark,
-                orders,
-                root,
+                adapter.raw_orders_from_tables(spark, sf_dir),
+                scratch_path(spark, "warehouse"),
+                first_by=adapter.FIRST_BY,
+                colocate_by=adapter.COLOCATE_BY,
                 category_map=adapter.PART_NOUN_CATEGORY,
                 category_key=adapter.part_noun,
                 zone_map=adapter.REGION_ZONE,
-                raw_orders=raw,
             )
             _CACHE[key] = star
         return star

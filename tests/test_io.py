@@ -68,3 +68,19 @@ def test_forecast_csv_round_trip(spark, tmp_dir):
     assert back.exceptAll(fc).count() == 0
     assert [r.date for r in forecast_tail(back).collect()][-1] == dt.date(2023, 1, 1) + dt.timedelta(days=134)
     assert len([f for f in os.listdir(path) if f.endswith(".csv")]) == 1
+
+
+def test_build_from_csv_and_write_outputs(spark, tmp_dir):
+    from stockyard.plans.runs import build_from_csv, write_outputs
+
+    p = os.path.join(tmp_dir, "orders.csv")
+    write_feed(p)
+    star = build_from_csv(spark, p, os.path.join(tmp_dir, "wh"))
+    assert star.rows["fact_orders"] == 2 and star.rows["dim_supplier"] == 2
+    paths = write_outputs(star, os.path.join(tmp_dir, "out"))
+    risk = spark.read.option("header", True).csv(paths["supplier_risk"])
+    assert risk.count() == 2 and "risk_label" in risk.columns
+    assert spark.read.option("header", True).csv(paths["bi_fact_orders"]).count() == 2
+    assert spark.read.option("header", True).csv(paths["bi_mart"]).count() == 2
+    summary = {r.KPI: float(r.Value) for r in spark.read.option("header", True).csv(paths["kpi_summary"]).collect()}
+    assert summary["Total Orders"] == 2.0
