@@ -11,7 +11,7 @@ from ..functions.numeric import pd_round
 from ..functions.text import clean_name
 from ..plans.joins import bounded_rows
 from ..schemas import CLEAN_ORDERS, column_names
-from ..session import broadcast_max_rows
+from ..session import broadcast_max_rows, shared_dir
 
 NAME_COLUMNS = ("product_name", "supplier_name", "region")
 
@@ -66,6 +66,7 @@ def tidy_names(df: DataFrame, cols: Sequence[str], source: DataFrame | None = No
     broadcast limit they are looked up with broadcast joins, otherwise every
     row is cleaned in place."""
     src = source if source is not None else df
+    shared_dir(df.sparkSession)  # checkpoint() needs the shared folder
     mapping = (
         src.select(F.explode(F.array(*[F.col(c).cast("string") for c in cols])).alias("_raw"))
         .where(F.col("_raw").isNotNull())

@@ -21,6 +21,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import shared_dir
+
 _ROW_BITS = 33
 
 
@@ -30,6 +32,7 @@ def exact_quantiles(df: DataFrame, columns: Mapping[str, Column], probs: Sequenc
     Values must be integral (``long``); scale decimals to integers first so
     the interpolation is exact."""
     probs = list(probs)
+    shared_dir(df.sparkSession)  # checkpoint() needs the shared folder
     pairs = F.array(*[F.struct(F.lit(n).alias("column_name"), c.cast("long").alias("v")) for n, c in columns.items()])
     long = df.select(F.inline(pairs)).where(F.col("v").isNotNull())
     counts = long.groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("c"))

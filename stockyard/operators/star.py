@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..functions import calendar as cal
 from ..functions.numeric import amount, bin_right, cents, pd_round
 from ..plans.joins import lookup_join
+from ..session import shared_dir
 
 # The pipeline's own lookup maps and thresholds.
 PRODUCT_CATEGORY = {
@@ -77,6 +78,7 @@ def with_dense_ids(
     """
     order_cols = list(order_cols)
     cols = [F.col(f"`{c}`") for c in dim.columns]
+    shared_dir(dim.sparkSession)  # checkpoint() needs the shared folder
     staged = dim.checkpoint(eager=True)
     if staged.count() <= small_rows:
         rank = F.row_number().over(Window.orderBy(*order_cols))

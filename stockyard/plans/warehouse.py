@@ -9,6 +9,7 @@ the joins) and gives the KPI scans column pruning and filter pushdown.
 
 from __future__ import annotations
 
+import logging
 import threading
 import uuid
 from collections.abc import Callable, Mapping, Sequence
@@ -30,6 +31,7 @@ from ..session import scratch_path
 from ..sources import adapter
 
 DIMENSIONS = ("dim_date", "dim_product", "dim_supplier", "dim_region")
+log = logging.getLogger(__name__)
 
 
 @dataclass
@@ -156,11 +158,16 @@ def build_warehouse(
     With ``colocate_by`` the raw layer is written bucketed by its first column
     (one bucket per shuffle partition) and de-duplication groups by it as
     well, so no shuffle is needed there."""
+    raw_t = None
     if colocate_by:
         buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        raw_t = _write_bucketed(raw, f"{root}/raw_orders", colocate_by[0], buckets)
-    else:
-        raw_t = _write(raw, f"{root}/raw_orders")
+        try:
+            raw_t = _write_bucketed(raw, f"{root}/raw_orders", colocate_by[0], buckets)
+        except Exception as err:  # no writable catalog: same result, one more shuffle
+            log.warning("bucketed raw layer unavailable (%s); de-duplicating with a shuffle", err)
+            colocate_by = ()
+    if raw_t is None:
+        raw_t = _write(raw, f"{root}/raw_orders_plain")
     orders = clean_orders(raw_t, first_by=first_by, colocate_by=colocate_by)
     return materialize_star_schema(
         spark, orders, root, category_map=category_map, category_key=category_key, zone_map=zone_map, raw_orders=raw_t
