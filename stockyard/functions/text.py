@@ -19,16 +19,23 @@ def strip_ws(col: Column) -> Column:
     return F.btrim(col, F.lit(PY_WHITESPACE))
 
 
+# Letters that have case (upper, lower, title): Python starts a new word after
+# any character outside this set, including uncased letters such as CJK.
+_CASED = r"\p{Lu}\p{Ll}\p{Lt}"
+
+
 def title_case(col: Column) -> Column:
     """``str.title()``: a letter run starts upper-case, the rest is lower-case.
 
     Spark's ``initcap`` only starts a word after a space.  Both rules agree on
     ASCII text in which no letter follows a character other than a letter or a
     space, so such strings (nearly all names) take ``initcap``.  Others are cut
-    before every letter that follows a non-letter and each piece is
-    ``initcap``-ed: all on the JVM, no Python.
+    before every cased letter that follows an uncased character and each piece
+    is ``initcap``-ed: all on the JVM, no Python.  Characters whose Python
+    title case is several characters (``ß`` -> ``Ss``) keep Java's one-to-one
+    mapping.
     """
-    pieces = F.split(col, r"(?<=[^\p{L}])(?=\p{L})")
+    pieces = F.split(col, rf"(?<=[^{_CASED}])(?=[{_CASED}])")
     piecewise = F.array_join(F.transform(pieces, F.initcap), "")
     return F.when(col.rlike(r"[^\x00-\x7F]|[^A-Za-z ][A-Za-z]"), piecewise).otherwise(F.initcap(col))
 
