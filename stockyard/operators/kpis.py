@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import amount, sql_round
@@ -245,38 +245,46 @@ def delay_per_affected(star) -> DataFrame:
     )
 
 
+# KPI targets (metric, comparator, target), in report order.
+TARGETS = [
+    ("on_time_rate_pct", ">=", 80.0),
+    ("avg_lead_time_days", "<=", 20.0),
+    ("avg_inventory_turnover", ">=", 6.0),
+    ("max_supplier_risk_score", "<=", 30.0),
+    ("critical_stock_items", "<=", 0.0),
+]
+
+
 def kpi_targets(star, inventory: DataFrame, risk: DataFrame) -> DataFrame:
     """Headline KPIs against their targets, with MET / NOT MET.
 
-    Fixed values: on-time rate >= 80 %, mean lead time <= 20 days, mean
-    inventory turnover >= 6, highest supplier risk score <= 30, critical
-    stock items = 0."""
+    Mean inventory turnover stands for the per-product turnover target and
+    the highest supplier risk score for the risk target."""
     m = kpi_metrics(star).where(F.col("metric").isin("on_time_rate_pct", "avg_lead_time_days", "critical_stock_items"))
     turnover = inventory.agg(sql_round(F.avg("inventory_turnover"), 2).alias("value")).select(
         F.lit("avg_inventory_turnover").alias("metric"), "value"
     )
     worst = risk.agg(F.max("risk_score").alias("value")).select(F.lit("max_supplier_risk_score").alias("metric"), "value")
-    targets = {
-        "on_time_rate_pct": (">=", 80.0, 1),
-        "avg_lead_time_days": ("<=", 20.0, 2),
-        "avg_inventory_turnover": (">=", 6.0, 3),
-        "max_supplier_risk_score": ("<=", 30.0, 4),
-        "critical_stock_items": ("<=", 0.0, 5),
-    }
-    rows = m.unionByName(turnover).unionByName(worst)
-    cmp = F.col("comparator")
-    met = F.when(cmp == ">=", F.col("value") >= F.col("target")).otherwise(F.col("value") <= F.col("target"))
-    spec = F.create_map(*[x for k, (c, t, o) in targets.items() for x in (F.lit(k), F.struct(F.lit(c).alias("c"), F.lit(t).alias("t"), F.lit(o).alias("o")))])
+
+    def lookup(values) -> Column:
+        pairs = [x for (name, _, _), v in zip(TARGETS, values) for x in (F.lit(name), F.lit(v))]
+        return F.element_at(F.create_map(*pairs), F.col("metric"))
+
+    comparator = lookup([t[1] for t in TARGETS])
+    target = lookup([t[2] for t in TARGETS])
+    order = lookup(list(range(len(TARGETS))))
+    met = F.when(comparator == ">=", F.col("value") >= target).otherwise(F.col("value") <= target)
     return (
-        rows.withColumn("_spec", F.element_at(spec, F.col("metric")))
+        m.unionByName(turnover)
+        .unionByName(worst)
         .select(
             "metric",
             "value",
-            F.col("_spec.c").alias("comparator"),
-            F.col("_spec.t").alias("target"),
-            F.col("_spec.o").alias("_o"),
+            comparator.alias("comparator"),
+            target.alias("target"),
+            F.when(met, F.lit("MET")).otherwise(F.lit("NOT MET")).alias("status"),
+            order.alias("_o"),
         )
-        .withColumn("status", F.when(met, F.lit("MET")).otherwise(F.lit("NOT MET")))
         .orderBy("_o")
         .drop("_o")
     )
