@@ -79,7 +79,8 @@ def _write(df: DataFrame, path: str, sort_by: str | None = None) -> DataFrame:
         out.write.mode("overwrite").parquet(path)
     finally:
         sc.setJobDescription(None)
-    return df.sparkSession.read.parquet(path)
+    # The schema is known: passing it skips the footer-reading inference job.
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def _write_bucketed(df: DataFrame, path: str, key: str, buckets: int) -> DataFrame:

@@ -53,7 +53,7 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def load_star_schema(tables: Mapping[str, DataFrame], root: str) -> dict[str, DataFrame]:
