@@ -23,11 +23,13 @@ QUANTILES = (0.25, 0.5, 0.75)
 
 
 def feed_summary(raw_orders: DataFrame) -> DataFrame:
-    """Rows, columns, total value, delayed count and share, first and last order date."""
+    """Rows, columns (count and names), total value, delayed count and share,
+    first and last order date."""
     delayed = F.col("is_delayed").cast("int")
     return raw_orders.agg(
         F.count(F.lit(1)).alias("total_orders"),
         F.lit(len(raw_orders.columns)).cast("long").alias("n_columns"),
+        F.lit(",".join(raw_orders.columns)).alias("column_list"),
         round_amount(F.sum(F.col("quantity_ordered").cast("long") * cents(F.col("unit_cost"))), 0).alias("total_value"),
         F.sum(delayed).alias("delayed_orders"),
         sql_round(F.avg(delayed) * 100, 1).alias("delayed_pct"),

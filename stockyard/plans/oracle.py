@@ -395,6 +395,7 @@ def oracle_sql() -> dict[str, str]:
     )
     q["feed_summary"] = PREFIX + f"""
 SELECT COUNT(*) AS total_orders, CAST(13 AS BIGINT) AS n_columns,
+       '{RAW_COLS.replace(", ", ",")}' AS column_list,
        CAST(ROUND(SUM(CAST(quantity_ordered AS DECIMAL(18,0)) * CAST(unit_cost AS DECIMAL(18,2))), 0) AS DOUBLE) AS total_value,
        CAST(SUM(CAST(is_delayed AS INTEGER)) AS BIGINT) AS delayed_orders,
        {sround('AVG(CAST(is_delayed AS INTEGER)) * 100', 1)} AS delayed_pct,
