@@ -79,40 +79,35 @@ def dq_foreign_keys(star) -> DataFrame:
     return out.orderBy("_o").drop("_o")
 
 
-def _dupes(df: DataFrame, col: str) -> DataFrame:
-    """Surplus rows per duplicated non-null key value, summed."""
-    return (
-        df.where(F.col(col).isNotNull())
-        .groupBy(col)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > 1)
-        .agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("violations"))
-    )
-
-
 def dq_constraints(star) -> DataFrame:
-    """Declared PRIMARY KEY / UNIQUE / NOT NULL constraints: violating rows per constraint."""
-    rows = []
+    """Declared PRIMARY KEY / UNIQUE / NOT NULL constraints: violating rows per constraint.
+
+    One aggregate per table: key violations are surplus rows
+    (``count - count_distinct``; duplicated keys collapse map-side), NOT NULL
+    violations are ``count_if(is null)``.  The one-row results are unpivoted
+    and unioned."""
+    out = None
     order = 0
     for table, pk in PRIMARY_KEYS.items():
-        df = star.table(table)
-        rows.append((order, table, "PRIMARY KEY", pk, _dupes(df, pk)))
-        rows.append((order + 1, table, "NOT NULL", pk, df.agg(F.count_if(F.col(pk).isNull()).alias("violations"))))
-        order += 2
+        checks = [("PRIMARY KEY", pk, F.count(pk) - F.count_distinct(pk)), ("NOT NULL", pk, F.count_if(F.col(pk).isNull()))]
         if table in UNIQUE_NAMES:
-            rows.append((order, table, "UNIQUE", UNIQUE_NAMES[table], _dupes(df, UNIQUE_NAMES[table])))
-            order += 1
-        for c in NOT_NULL.get(table, []):
-            rows.append((order, table, "NOT NULL", c, df.agg(F.count_if(F.col(c).isNull()).alias("violations"))))
-            order += 1
-    out = None
-    for o, table, kind, col, agg in rows:
-        r = agg.select(
-            F.lit(o).alias("_o"),
-            F.lit(table).alias("table_name"),
-            F.lit(kind).alias("constraint_type"),
-            F.lit(col).alias("column_name"),
-            F.col("violations").cast("long").alias("violations"),
+            name = UNIQUE_NAMES[table]
+            checks.append(("UNIQUE", name, F.count(name) - F.count_distinct(name)))
+        checks += [("NOT NULL", c, F.count_if(F.col(c).isNull())) for c in NOT_NULL.get(table, [])]
+        wide = star.table(table).agg(*[expr.cast("long").alias(f"v{i}") for i, (_, _, expr) in enumerate(checks)])
+        rows = F.array(
+            *[
+                F.struct(
+                    F.lit(order + i).alias("_o"),
+                    F.lit(table).alias("table_name"),
+                    F.lit(kind).alias("constraint_type"),
+                    F.lit(col).alias("column_name"),
+                    F.col(f"v{i}").alias("violations"),
+                )
+                for i, (kind, col, _) in enumerate(checks)
+            ]
         )
-        out = r if out is None else out.unionByName(r)
+        order += len(checks)
+        part = wide.select(F.inline(rows))
+        out = part if out is None else out.unionByName(part)
     return out.orderBy("_o").drop("_o")
