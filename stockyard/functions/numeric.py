@@ -78,7 +78,3 @@ def amount(sum_cents: Column) -> Column:
     """Exact sum of money as double (correctly rounded once)."""
     return cents_to_amount(sum_cents).cast("double")
 
-
-def ratio(num: Column, den: Column) -> Column:
-    """``num / den`` in double, null when ``den`` is zero or null."""
-    return num.cast("double") / F.nullif(den, F.lit(0)).cast("double")

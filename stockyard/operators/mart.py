@@ -38,7 +38,3 @@ def export_mart(star) -> DataFrame:
     f = lookup_join(f, star.dim_date.select("date_id", "year", "month", "month_name", "quarter"), "date_id", "inner", star.dim_rows("dim_date"))
     return f.select(*MART_COLUMNS)
 
-
-def export_table(star, name: str) -> DataFrame:
-    """``SELECT *`` of one star-schema table."""
-    return star.table(name)

@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from stockyard.operators.clean import clean_orders, dedupe_first, enrich_orders
+from stockyard.operators.clean import clean_orders, dedupe_first, enrich_orders, sort_orders
 from stockyard.schemas import RAW_ORDERS
 
 D = dt.date
@@ -79,3 +79,8 @@ def test_dedupe_is_an_aggregate_not_a_window(spark):
     df = spark.createDataFrame([("a", 1, 2)], "k string, o int, p int")
     plan = dedupe_first(df, "k", ["o"])._jdf.queryExecution().executedPlan().toString()
     assert "Window" not in plan and "Aggregate" in plan
+
+
+def test_sort_orders_by_date(spark):
+    got = [r.order_id for r in sort_orders(raw_df(spark).where("order_id is not null")).collect()]
+    assert got[0] == "ORD-3" and got[-1] == "ORD-2"

@@ -74,6 +74,8 @@ def test_week_is_monday_based(spark):
         assert r.k == int(r.d.strftime("%Y%m%d"))
         assert r.m == r.d.strftime("%B") and r.a == r.d.strftime("%A")
         assert r.q == (r.d.month - 1) // 3 + 1
+    iso = df.select(cal.iso_text(F.col("d")).alias("t"), "d").first()
+    assert iso.t == iso.d.strftime("%Y-%m-%d")
 
 
 @pytest.mark.parametrize(

@@ -10,7 +10,6 @@ from stockyard.operators.star import (
     build_dim_product,
     build_dim_region,
     build_dim_supplier,
-    build_fact_orders,
     with_dense_ids,
 )
 from stockyard.plans.warehouse import build_star_schema
