@@ -12,6 +12,11 @@ value domain.  Here the work is distributed:
    each value's first global rank;
 4. keep only the values whose rank range covers a target rank
    (``floor``/``ceil`` of ``(n - 1) * p``) and interpolate.
+
+When the distinct (column, value) pairs are few (counted, at most
+``small_pairs``), Spark's exact ``percentile`` with the counts as
+frequencies does it in one aggregation: its buffer then holds at most that
+many values.
 """
 
 from __future__ import annotations
@@ -21,12 +26,16 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..plans.joins import bounded_rows
 from ..session import shared_dir
 
 _ROW_BITS = 33
+SMALL_PAIRS = 1_000_000
 
 
-def exact_quantiles(df: DataFrame, columns: Mapping[str, Column], probs: Sequence[float]) -> DataFrame:
+def exact_quantiles(
+    df: DataFrame, columns: Mapping[str, Column], probs: Sequence[float], small_pairs: int = SMALL_PAIRS
+) -> DataFrame:
     """One row per column name: ``q0, q1, ...`` = exact quantiles for ``probs``.
 
     Values must be integral (``long``); scale decimals to integers first so
@@ -35,7 +44,10 @@ def exact_quantiles(df: DataFrame, columns: Mapping[str, Column], probs: Sequenc
     shared_dir(df.sparkSession)  # checkpoint() needs the shared folder
     pairs = F.array(*[F.struct(F.lit(n).alias("column_name"), c.cast("long").alias("v")) for n, c in columns.items()])
     long = df.select(F.inline(pairs)).where(F.col("v").isNotNull())
-    counts = long.groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("c"))
+    counts = long.groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("c")).checkpoint(eager=True)
+    if bounded_rows(counts, small_pairs) is not None:
+        q = counts.groupBy("column_name").agg(F.percentile("v", probs, F.col("c")).alias("_q"))
+        return q.select("column_name", *[F.col("_q")[i].alias(f"q{i}") for i in range(len(probs))])
 
     tagged = (
         counts.repartitionByRange("column_name", "v")

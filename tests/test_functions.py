@@ -105,7 +105,9 @@ def test_exact_quantiles_match_numpy(spark):
     rows = [(int(x), int(b[i % len(b)]) if i < len(b) else None) for i, x in enumerate(a)]
     df = spark.createDataFrame(rows, "a long, b long").repartition(7)
     probs = [0.0, 0.25, 0.5, 0.75, 0.9, 1.0]
-    got = {r.column_name: r for r in exact_quantiles(df, {"a": F.col("a"), "b": F.col("b")}, probs).collect()}
-    for name, arr in (("a", a), ("b", b)):
-        for i, p in enumerate(probs):
-            assert got[name][f"q{i}"] == pytest.approx(float(np.quantile(arr, p)), rel=1e-12, abs=1e-9)
+    for small_pairs in (1_000_000, 0):  # one aggregation, and the distributed ranking
+        cols = {"a": F.col("a"), "b": F.col("b")}
+        got = {r.column_name: r for r in exact_quantiles(df, cols, probs, small_pairs=small_pairs).collect()}
+        for name, arr in (("a", a), ("b", b)):
+            for i, p in enumerate(probs):
+                assert got[name][f"q{i}"] == pytest.approx(float(np.quantile(arr, p)), rel=1e-12, abs=1e-9)
