@@ -31,6 +31,9 @@ from ..session import scratch_path
 from ..sources import adapter
 
 DIMENSIONS = ("dim_date", "dim_product", "dim_supplier", "dim_region")
+# Buckets of the raw layer; each becomes one de-duplication task.  Size it so a
+# bucket holds a few hundred MB (default: the shuffle partition count).
+RAW_BUCKETS_CONF = "stockyard.raw.buckets"
 log = logging.getLogger(__name__)
 
 
@@ -157,11 +160,11 @@ def build_warehouse(
     """Raw feed -> written raw layer -> cleaned orders -> dimensions -> fact.
 
     With ``colocate_by`` the raw layer is written bucketed by its first column
-    (one bucket per shuffle partition) and de-duplication groups by it as
-    well, so no shuffle is needed there."""
+    (``stockyard.raw.buckets`` buckets, default one per shuffle partition) and
+    de-duplication groups by it as well, so no shuffle is needed there."""
     raw_t = None
     if colocate_by:
-        buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        buckets = int(spark.conf.get(RAW_BUCKETS_CONF, spark.conf.get("spark.sql.shuffle.partitions")))
         try:
             raw_t = _write_bucketed(raw, f"{root}/raw_orders", colocate_by[0], buckets)
         except Exception as err:  # no writable catalog: same result, one more shuffle
