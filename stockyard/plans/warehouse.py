@@ -1,8 +1,9 @@
 """Build the star schema once, write it to the shared folder, read it back.
 
-Every analytics query runs over the materialised tables: the cleaned
-orders are computed once (one de-duplication shuffle), each dimension reads
-only its columns of them, and the fact is written once.  Re-reading written
+Every analytics query runs over the materialised tables: the raw feed is
+written once (bucketed by order key, so de-duplication needs no shuffle),
+the cleaned orders are computed once, each dimension reads only its columns
+of them, and the fact is written once.  Re-reading written
 Parquet cuts lineage (a lost executor re-reads files instead of re-running
 the joins) and gives the KPI scans column pruning and filter pushdown.
 """
