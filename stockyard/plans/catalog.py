@@ -27,12 +27,12 @@ def raw_feed(star: StarSchema) -> DataFrame:
     return star.raw_orders.select(*column_names(RAW_ORDERS))
 
 
-def _q(fn: Callable[[StarSchema], DataFrame]) -> Query:
+def _q(name: str, fn: Callable[[StarSchema], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(warehouse(spark, sf_dir))
 
-    run.__name__ = getattr(fn, "__name__", "query")
-    run.__doc__ = getattr(fn, "__doc__", None)
+    run.__name__ = run.__qualname__ = name
+    run.__doc__ = getattr(fn, "__doc__", None) or f"Query '{name}' over the star schema of sf_dir."
     return run
 
 
@@ -105,4 +105,4 @@ _STAR_QUERIES: dict[str, Callable[[StarSchema], DataFrame]] = {
 
 
 def queries() -> dict[str, Query]:
-    return {name: _q(fn) for name, fn in _STAR_QUERIES.items()}
+    return {name: _q(name, fn) for name, fn in _STAR_QUERIES.items()}
