@@ -8,6 +8,8 @@ dimension (a bound known from the calendar, not from the data volume).
 
 from __future__ import annotations
 
+from typing import TYPE_CHECKING
+
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
@@ -17,6 +19,9 @@ from ..functions.numeric import clip, pd_round
 from ..plans.joins import lookup_join
 from .measures import partial_measures
 
+if TYPE_CHECKING:
+    from ..plans.warehouse import StarSchema
+
 # Horizon (days), rolling window (observations), band (+-15 %),
 # and the normal quantile of an 80 % band for the seasonal model.
 HORIZON = 90
@@ -25,12 +30,12 @@ BAND = 0.15
 Z80 = 1.2816
 
 
-def daily_demand(star, keys: Sequence[str] = ()) -> DataFrame:
+def daily_demand(star: StarSchema, keys: Sequence[str] = ()) -> DataFrame:
     """(ds, y) per calendar day, in date order (the report)."""
     return daily_series(star, keys).orderBy(*keys, "ds")
 
 
-def daily_series(star, keys: Sequence[str] = ()) -> DataFrame:
+def daily_series(star: StarSchema, keys: Sequence[str] = ()) -> DataFrame:
     """(ds, y): units ordered per calendar day (optionally per product attribute).
 
     The fact is aggregated by date_id (and product_id when keys are given)

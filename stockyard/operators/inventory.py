@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from typing import TYPE_CHECKING
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import amount, bin_right, cents, pd_round, safe_div, sql_round
 from .measures import avg_of, revenue
 
+if TYPE_CHECKING:
+    from ..plans.warehouse import StarSchema
+
 # Demand period (days), safety factor, stock bins, alert horizon.
 PERIOD_DAYS = 730
 SAFETY_FACTOR = 1.5
@@ -42,14 +47,14 @@ def reorder_status(per: DataFrame, period_days: int = PERIOD_DAYS) -> DataFrame:
     )
 
 
-def product_aggregates(star) -> DataFrame:
+def product_aggregates(star: StarSchema) -> DataFrame:
     """Fact measures per (product_name, category) (product names are unique)."""
     from .kpis import by_product
 
     return by_product(star)
 
 
-def inventory_base(star) -> DataFrame:
+def inventory_base(star: StarSchema) -> DataFrame:
     """Rounded per-product aggregates the inventory KPIs are derived from."""
     return product_aggregates(star).select(
         "product_name",
@@ -80,14 +85,16 @@ def derive_inventory_kpis(
     )
 
 
-def inventory_kpis(star, period_days: int = PERIOD_DAYS, safety_factor: float = SAFETY_FACTOR) -> DataFrame:
+def inventory_kpis(
+    star: StarSchema, period_days: int = PERIOD_DAYS, safety_factor: float = SAFETY_FACTOR
+) -> DataFrame:
     """Per-product inventory KPIs, highest revenue first."""
     return derive_inventory_kpis(inventory_base(star), period_days, safety_factor).orderBy(
         F.desc("total_revenue"), "product_name"
     )
 
 
-def inventory_alerts(star, horizon_days: int = DAYS_OF_STOCK_ALERT) -> DataFrame:
+def inventory_alerts(star: StarSchema, horizon_days: int = DAYS_OF_STOCK_ALERT) -> DataFrame:
     """Status and the days-of-stock threshold flag per product."""
     return inventory_kpis(star).select(
         "product_name",
@@ -97,6 +104,6 @@ def inventory_alerts(star, horizon_days: int = DAYS_OF_STOCK_ALERT) -> DataFrame
     )
 
 
-def inventory_health(star) -> DataFrame:
+def inventory_health(star: StarSchema) -> DataFrame:
     """Inventory health table as shown in the report."""
     return inventory_kpis(star).select("product_name", "avg_stock", "reorder_point", "days_of_stock", "stock_status")

@@ -7,6 +7,8 @@ and pivoted back to one wide row where the contract asks for it.
 
 from __future__ import annotations
 
+from typing import TYPE_CHECKING
+
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -26,6 +28,9 @@ from .measures import (
     total,
 )
 
+if TYPE_CHECKING:
+    from ..plans.warehouse import StarSchema
+
 # Metric order of the two summaries, stock threshold, targets.
 EXECUTIVE_METRICS = [
     "total_orders",
@@ -60,7 +65,7 @@ def _long(one_row: DataFrame, metrics: Sequence[str]) -> DataFrame:
     return cast.unpivot([], list(metrics), "metric", "value")
 
 
-def kpi_metrics(star) -> DataFrame:
+def kpi_metrics(star: StarSchema) -> DataFrame:
     """All executive metrics in long form (metric, value)."""
     fact = star.fact_orders
     f = total(partial_measures(fact, [])).select(
@@ -88,7 +93,7 @@ def kpi_metrics(star) -> DataFrame:
     )
 
 
-def executive_kpis(star) -> DataFrame:
+def executive_kpis(star: StarSchema) -> DataFrame:
     """Nine headline metrics as one wide row."""
     wide = kpi_metrics(star).groupBy().pivot("metric", EXECUTIVE_METRICS).agg(F.first("value"))
     return wide.select(
@@ -96,7 +101,7 @@ def executive_kpis(star) -> DataFrame:
     )
 
 
-def kpi_summary(star) -> DataFrame:
+def kpi_summary(star: StarSchema) -> DataFrame:
     """Eight metrics as a (KPI, Value) table, labels from the metric keys."""
     order = F.array_position(F.array(*[F.lit(m) for m in SUMMARY_METRICS]), F.col("metric"))
     return (
@@ -112,7 +117,7 @@ def kpi_summary(star) -> DataFrame:
 NATURAL_KEYS = {"dim_product": "product_name", "dim_supplier": "supplier_name", "dim_region": "region_name"}
 
 
-def _by(star, fk: str, dim_name: str, attrs: Sequence[str]) -> DataFrame:
+def _by(star: StarSchema, fk: str, dim_name: str, attrs: Sequence[str]) -> DataFrame:
     """Fact measures per dimension attributes: aggregate by the foreign key,
     then join.  When the attributes contain the dimension's unique natural
     key, each foreign key maps to one attribute row and no second
@@ -125,23 +130,23 @@ def _by(star, fk: str, dim_name: str, attrs: Sequence[str]) -> DataFrame:
     return rollup(joined, list(attrs))
 
 
-def by_region(star) -> DataFrame:
+def by_region(star: StarSchema) -> DataFrame:
     return _by(star, "region_id", "dim_region", ["region_name"])
 
 
-def by_product(star) -> DataFrame:
+def by_product(star: StarSchema) -> DataFrame:
     return _by(star, "product_id", "dim_product", ["product_name", "category"])
 
 
-def by_supplier(star) -> DataFrame:
+def by_supplier(star: StarSchema) -> DataFrame:
     return _by(star, "supplier_id", "dim_supplier", ["supplier_name", "reliability"])
 
 
-def by_month(star) -> DataFrame:
+def by_month(star: StarSchema) -> DataFrame:
     return _by(star, "date_id", "dim_date", ["year", "month", "month_name"])
 
 
-def kpi_by_region(star) -> DataFrame:
+def kpi_by_region(star: StarSchema) -> DataFrame:
     return by_region(star).select(
         "region_name",
         F.col("n_orders").alias("total_orders"),
@@ -150,7 +155,7 @@ def kpi_by_region(star) -> DataFrame:
     ).orderBy(F.desc("total_revenue"), "region_name")
 
 
-def kpi_by_product(star) -> DataFrame:
+def kpi_by_product(star: StarSchema) -> DataFrame:
     return by_product(star).select(
         "product_name",
         "category",
@@ -161,7 +166,7 @@ def kpi_by_product(star) -> DataFrame:
     ).orderBy(F.desc("total_revenue"), "product_name")
 
 
-def kpi_monthly_trend(star) -> DataFrame:
+def kpi_monthly_trend(star: StarSchema) -> DataFrame:
     return by_month(star).select(
         "year",
         "month",
@@ -172,7 +177,7 @@ def kpi_monthly_trend(star) -> DataFrame:
     ).orderBy("year", "month")
 
 
-def kpi_sliced(star, years: Sequence[int] | None = None, categories: Sequence[str] | None = None) -> DataFrame:
+def kpi_sliced(star: StarSchema, years: Sequence[int] | None = None, categories: Sequence[str] | None = None) -> DataFrame:
     """Dashboard cards for every (year, category) slice, optionally restricted.
 
     A year slicer becomes date-key ranges on the fact scan (pushed to Parquet
@@ -205,7 +210,7 @@ def kpi_sliced(star, years: Sequence[int] | None = None, categories: Sequence[st
     ).orderBy("year", "category")
 
 
-def revenue_concentration(star, top_n: int = TOP_SHARE_N) -> DataFrame:
+def revenue_concentration(star: StarSchema, top_n: int = TOP_SHARE_N) -> DataFrame:
     """Share of total revenue of the top-N products (rank, share, cumulative share).
 
     Top-N by a distributed top-k; the grand total rides along as one extra
@@ -234,7 +239,7 @@ def revenue_concentration(star, top_n: int = TOP_SHARE_N) -> DataFrame:
     )
 
 
-def delay_per_affected(star) -> DataFrame:
+def delay_per_affected(star: StarSchema) -> DataFrame:
     """Delayed orders, their share, and the mean delay per delayed order."""
     return total(partial_measures(star.fact_orders, [])).select(
         F.col("sum_delayed").alias("delayed_orders"),
@@ -255,7 +260,7 @@ TARGETS = [
 ]
 
 
-def kpi_targets(star, inventory: DataFrame, risk: DataFrame) -> DataFrame:
+def kpi_targets(star: StarSchema, inventory: DataFrame, risk: DataFrame) -> DataFrame:
     """Headline KPIs against their targets, with MET / NOT MET.
 
     Mean inventory turnover stands for the per-product turnover target and

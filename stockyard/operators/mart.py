@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from typing import TYPE_CHECKING
+
 from pyspark.sql import DataFrame
 
 from ..plans.joins import lookup_join
 
+if TYPE_CHECKING:
+    from ..plans.warehouse import StarSchema
+
 MART_COLUMNS = [
     "product_name",
     "category",
@@ -26,7 +31,7 @@ MART_COLUMNS = [
 ]
 
 
-def export_mart(star) -> DataFrame:
+def export_mart(star: StarSchema) -> DataFrame:
     """One row per order with its dimension attributes (four inner joins).
 
     Dimensions are broadcast when their recorded size allows; otherwise the

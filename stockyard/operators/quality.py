@@ -7,12 +7,17 @@ only the small distinct-key sets.
 
 from __future__ import annotations
 
+from typing import TYPE_CHECKING
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import sql_round
 from .measures import avg_of, partial_measures, revenue, total
 
+if TYPE_CHECKING:
+    from ..plans.warehouse import StarSchema
+
 FOREIGN_KEYS = {
     "date_id": "dim_date",
     "product_id": "dim_product",
@@ -39,7 +44,7 @@ def _one(df: DataFrame, label: str, value, order: int) -> DataFrame:
     return df.select(F.lit(order).alias("_o"), F.lit(label).alias("check"), value.cast("double").alias("value"))
 
 
-def validate_schema(star) -> DataFrame:
+def validate_schema(star: StarSchema) -> DataFrame:
     """Seven (check, value) rows: counts, delay %, lead time, revenue, null product ids."""
     f = total(partial_measures(star.fact_orders, []))
     nulls = star.fact_orders.agg(F.count_if(F.col("product_id").isNull()).alias("n"))
@@ -58,13 +63,13 @@ def validate_schema(star) -> DataFrame:
     return out.orderBy("_o").drop("_o")
 
 
-def fact_null_cells(star) -> DataFrame:
+def fact_null_cells(star: StarSchema) -> DataFrame:
     """Null count over all cells of the fact (one scan)."""
     fact = star.fact_orders
     return fact.agg(sum(F.count_if(F.col(c).isNull()) for c in fact.columns).alias("null_cells"))
 
 
-def dq_foreign_keys(star) -> DataFrame:
+def dq_foreign_keys(star: StarSchema) -> DataFrame:
     """Per foreign key: null references and references with no dimension row."""
     out = None
     for order, (fk, dim) in enumerate(FOREIGN_KEYS.items()):
@@ -79,7 +84,7 @@ def dq_foreign_keys(star) -> DataFrame:
     return out.orderBy("_o").drop("_o")
 
 
-def dq_constraints(star) -> DataFrame:
+def dq_constraints(star: StarSchema) -> DataFrame:
     """Declared PRIMARY KEY / UNIQUE / NOT NULL constraints: violating rows per constraint.
 
     One aggregate per table: key violations are surplus rows

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
+from typing import TYPE_CHECKING
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import bin_right, clip, pd_round, safe_div, sql_round
 from .measures import avg_of, rate_pct, revenue
 
+if TYPE_CHECKING:
+    from ..plans.warehouse import StarSchema
+
 # Benchmark lead time (days), component weights, label bins.
 BENCHMARK_LEAD_TIME = 15
 WEIGHTS = (0.40, 0.35, 0.25)
@@ -15,14 +20,14 @@ RISK_EDGES = [-1, 30, 60, 101]
 RISK_LABELS = ["Low Risk", "Medium Risk", "High Risk"]
 
 
-def supplier_aggregates(star) -> DataFrame:
+def supplier_aggregates(star: StarSchema) -> DataFrame:
     """Per supplier (and its reliability): order count, delay rate, lead-time stats, spend."""
     from .kpis import by_supplier
 
     return by_supplier(star)
 
 
-def supplier_base(star) -> DataFrame:
+def supplier_base(star: StarSchema) -> DataFrame:
     """Rounded per-supplier aggregates the scores are derived from."""
     return supplier_aggregates(star).select(
         "supplier_name",
@@ -63,7 +68,7 @@ def score_suppliers(
 
 
 def supplier_risk(
-    star,
+    star: StarSchema,
     benchmark_lead_time: float = BENCHMARK_LEAD_TIME,
     weights: tuple[float, float, float] = WEIGHTS,
 ) -> DataFrame:
@@ -73,6 +78,6 @@ def supplier_risk(
     )
 
 
-def supplier_risk_view(star) -> DataFrame:
+def supplier_risk_view(star: StarSchema) -> DataFrame:
     """Risk table as shown in the report: name, delay rate, lead time, score, label."""
     return supplier_risk(star).select("supplier_name", "delay_rate_pct", "avg_lead_time", "risk_score", "risk_label")

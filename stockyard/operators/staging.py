@@ -8,6 +8,8 @@ name as tie-breaker so equal metrics sort deterministically.
 
 from __future__ import annotations
 
+from typing import TYPE_CHECKING
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -24,13 +26,16 @@ from .measures import (
     total,
 )
 
+if TYPE_CHECKING:
+    from ..plans.warehouse import StarSchema
+
 # Stock alert thresholds of the staging report, top-N size.
 ALERT_CRITICAL_BELOW = 100
 ALERT_LOW_BELOW = 250
 TOP_N = 5
 
 
-def stg_monthly_volume(star) -> DataFrame:
+def stg_monthly_volume(star: StarSchema) -> DataFrame:
     return by_month(star).select(
         "year",
         "month_name",
@@ -41,7 +46,7 @@ def stg_monthly_volume(star) -> DataFrame:
     ).orderBy("year", "month")
 
 
-def stg_supplier_performance(star) -> DataFrame:
+def stg_supplier_performance(star: StarSchema) -> DataFrame:
     return by_supplier(star).select(
         "supplier_name",
         "reliability",
@@ -53,7 +58,7 @@ def stg_supplier_performance(star) -> DataFrame:
     ).orderBy(F.desc("delay_rate_pct"), "supplier_name")
 
 
-def stg_product_profitability(star) -> DataFrame:
+def stg_product_profitability(star: StarSchema) -> DataFrame:
     return by_product(star).select(
         "product_name",
         "category",
@@ -65,7 +70,7 @@ def stg_product_profitability(star) -> DataFrame:
     ).orderBy(F.desc("total_revenue"), "product_name")
 
 
-def stg_region_performance(star) -> DataFrame:
+def stg_region_performance(star: StarSchema) -> DataFrame:
     return by_region(star).select(
         "region_name",
         F.col("n_orders").alias("total_orders"),
@@ -75,7 +80,7 @@ def stg_region_performance(star) -> DataFrame:
     ).orderBy(F.desc("total_revenue"), "region_name")
 
 
-def stg_stock_alert(star) -> DataFrame:
+def stg_stock_alert(star: StarSchema) -> DataFrame:
     """Stock status on the unrounded mean stock (<100 CRITICAL, <250 LOW).
     ``monthly_demand`` is the order count, as in the source report."""
     stock = avg_of("stock")
@@ -94,7 +99,7 @@ def stg_stock_alert(star) -> DataFrame:
     ).orderBy("current_stock", "product_name")
 
 
-def stg_cost_variance(star) -> DataFrame:
+def stg_cost_variance(star: StarSchema) -> DataFrame:
     """Planned vs actual days per product; variance = round of the difference of unrounded means."""
     return by_product(star).select(
         "product_name",
@@ -105,7 +110,7 @@ def stg_cost_variance(star) -> DataFrame:
     ).orderBy(F.desc("avg_variance_days"), "product_name")
 
 
-def sql_overall_health(star) -> DataFrame:
+def sql_overall_health(star: StarSchema) -> DataFrame:
     return total(partial_measures(star.fact_orders, [])).select(
         F.col("n_rows").alias("total_orders"),
         revenue(0).alias("total_revenue"),
@@ -116,7 +121,7 @@ def sql_overall_health(star) -> DataFrame:
     )
 
 
-def sql_monthly_revenue(star) -> DataFrame:
+def sql_monthly_revenue(star: StarSchema) -> DataFrame:
     """Month is sorted on but not projected."""
     return (
         by_month(star)
@@ -125,7 +130,7 @@ def sql_monthly_revenue(star) -> DataFrame:
     )
 
 
-def sql_top_products(star, n: int = TOP_N) -> DataFrame:
+def sql_top_products(star: StarSchema, n: int = TOP_N) -> DataFrame:
     return (
         by_product(star)
         .select("product_name", "category", revenue(0).alias("revenue"), F.col("sum_qty").alias("units_sold"))
@@ -134,7 +139,7 @@ def sql_top_products(star, n: int = TOP_N) -> DataFrame:
     )
 
 
-def sql_supplier_leaderboard(star) -> DataFrame:
+def sql_supplier_leaderboard(star: StarSchema) -> DataFrame:
     return by_supplier(star).select(
         "supplier_name",
         "reliability",
@@ -144,7 +149,7 @@ def sql_supplier_leaderboard(star) -> DataFrame:
     ).orderBy(F.desc("delay_rate_pct"), "supplier_name")
 
 
-def sql_region_sla(star) -> DataFrame:
+def sql_region_sla(star: StarSchema) -> DataFrame:
     return by_region(star).select(
         "region_name",
         revenue(0).alias("revenue"),
@@ -153,7 +158,7 @@ def sql_region_sla(star) -> DataFrame:
     ).orderBy(F.desc("on_time_pct"), "region_name")
 
 
-def sql_top_products_orders(star, n: int = TOP_N) -> DataFrame:
+def sql_top_products_orders(star: StarSchema, n: int = TOP_N) -> DataFrame:
     return (
         by_product(star)
         .select("product_name", "category", F.col("n_orders").alias("orders"), revenue(0).alias("revenue"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import TYPE_CHECKING
+
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -11,12 +13,15 @@ from ..functions.numeric import pd_round, sql_round
 from ..plans.joins import lookup_join
 from .measures import avg_of, partial_measures, revenue, rollup
 
+if TYPE_CHECKING:
+    from ..plans.warehouse import StarSchema
+
 # Cost of one delay day as a share of order value, SLA target (%).
 DELAY_COST_RATE = 0.005
 SLA_TARGET = 80
 
 
-def month_category_aggregates(star) -> DataFrame:
+def month_category_aggregates(star: StarSchema) -> DataFrame:
     """Fact measures per (year, month, month_name, quarter, category).
 
     The fact is aggregated by (date_id, product_id) first; both dimension
@@ -30,7 +35,7 @@ def month_category_aggregates(star) -> DataFrame:
     return rollup(joined, ["year", "month", "month_name", "quarter", "category"])
 
 
-def cost_variance_base(star) -> DataFrame:
+def cost_variance_base(star: StarSchema) -> DataFrame:
     """Rounded per (year, month, category) aggregates."""
     return month_category_aggregates(star).select(
         "year",
@@ -60,24 +65,24 @@ def derive_cost_variance(base: DataFrame, delay_cost_rate: float = DELAY_COST_RA
     )
 
 
-def cost_variance(star, delay_cost_rate: float = DELAY_COST_RATE) -> DataFrame:
+def cost_variance(star: StarSchema, delay_cost_rate: float = DELAY_COST_RATE) -> DataFrame:
     """Planned vs actual delivery per (year, month, category), in period order."""
     return derive_cost_variance(cost_variance_base(star), delay_cost_rate).orderBy("year", "month", "category")
 
 
-def cost_variance_rows(star) -> DataFrame:
+def cost_variance_rows(star: StarSchema) -> DataFrame:
     """``cost_variance`` without the presentation sort (input of further aggregation)."""
     return derive_cost_variance(cost_variance_base(star))
 
 
-def monthly_category_spend(star, categories: Sequence[str]) -> DataFrame:
+def monthly_category_spend(star: StarSchema, categories: Sequence[str]) -> DataFrame:
     """Planned spend by calendar month (years merged) with one column per category, 0 if none."""
     cv = cost_variance_rows(star)
     wide = cv.groupBy("month").pivot("category", list(categories)).agg(F.sum("planned_spend"))
     return wide.na.fill(0.0, subset=list(categories)).orderBy("month")
 
 
-def monthly_on_time(star, sla_target: float = SLA_TARGET) -> DataFrame:
+def monthly_on_time(star: StarSchema, sla_target: float = SLA_TARGET) -> DataFrame:
     """Unweighted mean of the (year, category) on-time rates per calendar month,
     against the SLA target.  Rates are multiples of 0.1, so they are summed as
     integer tenths: the mean does not depend on row order."""
