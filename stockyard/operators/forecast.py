@@ -35,17 +35,36 @@ def daily_demand(star: StarSchema, keys: Sequence[str] = ()) -> DataFrame:
     return daily_series(star, keys).orderBy(*keys, "ds")
 
 
+# Series keys a daily series can be split by: attribute -> (foreign key, dimension).
+SERIES_ATTRIBUTES = {
+    "product_name": ("product_id", "dim_product"),
+    "category": ("product_id", "dim_product"),
+    "supplier_name": ("supplier_id", "dim_supplier"),
+    "reliability": ("supplier_id", "dim_supplier"),
+    "region_name": ("region_id", "dim_region"),
+    "zone": ("region_id", "dim_region"),
+}
+
+
 def daily_series(star: StarSchema, keys: Sequence[str] = ()) -> DataFrame:
-    """(ds, y): units ordered per calendar day (optionally per product attribute).
+    """(keys..., ds, y): units ordered per calendar day, optionally per series
+    key (any attribute in ``SERIES_ATTRIBUTES``).
 
-    The fact is aggregated by date_id (and product_id when keys are given)
-    before the date join.  Unordered: the forecasts impose their own order."""
+    The fact is aggregated by date_id and the needed foreign keys before the
+    dimension joins.  Unordered: the forecasts impose their own order."""
     keys = list(keys)
-    fk = ["date_id"] + (["product_id"] if keys else [])
-    parts = partial_measures(star.fact_orders, fk).select(*fk, "sum_qty")
-    j = lookup_join(parts, star.dim_date.select("date_id", "full_date"), "date_id", "inner", star.dim_rows("dim_date"))
-    if keys:
-        j = lookup_join(j, star.dim_product.select("product_id", *keys), "product_id", "inner", star.dim_rows("dim_product"))
+    unknown = [k for k in keys if k not in SERIES_ATTRIBUTES]
+    if unknown:
+        raise ValueError(f"unknown series keys {unknown}; choose from {sorted(SERIES_ATTRIBUTES)}")
+    dims: dict[str, tuple[str, list[str]]] = {}
+    for k in keys:
+        fk, dim = SERIES_ATTRIBUTES[k]
+        dims.setdefault(dim, (fk, []))[1].append(k)
+    fks = ["date_id"] + sorted({fk for fk, _ in dims.values()})
+    j = partial_measures(star.fact_orders, fks).select(*fks, "sum_qty")
+    j = lookup_join(j, star.dim_date.select("date_id", "full_date"), "date_id", "inner", star.dim_rows("dim_date"))
+    for dim, (fk, attrs) in dims.items():
+        j = lookup_join(j, star.table(dim).select(fk, *attrs), fk, "inner", star.dim_rows(dim))
     return (
         j.groupBy(*keys, "full_date")
         .agg(F.sum("sum_qty").cast("double").alias("y"))

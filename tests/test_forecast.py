@@ -57,3 +57,18 @@ def test_tail_last_ten(spark):
     fc = forecast_rolling(series(spark, 40))
     out = forecast_tail(fc).collect()
     assert len(out) == 10 and out[-1].date == D(2023, 1, 1) + dt.timedelta(days=129)
+
+
+def test_daily_series_by_any_dimension_attribute(spark):
+    from conftest import SF_SMALL
+    from stockyard.operators.forecast import daily_series
+    from stockyard.plans.warehouse import warehouse
+
+    star = warehouse(spark, SF_SMALL)
+    total = {r.ds: r.y for r in daily_series(star).collect()}
+    by = daily_series(star, ["region_name", "reliability"])
+    assert set(by.columns) == {"region_name", "reliability", "ds", "y"}
+    sums = {r.ds: r.s for r in by.groupBy("ds").agg(F.sum("y").alias("s")).collect()}
+    assert sums == total
+    per_zone = forecast_rolling(daily_series(star, ["zone"]), ["zone"])
+    assert per_zone.select("zone").distinct().count() == 5  # four zones and the unmapped region (null)
