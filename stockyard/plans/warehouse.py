@@ -28,7 +28,7 @@ from ..operators.star import (
     build_dim_supplier,
     build_fact_orders,
 )
-from ..session import scratch_path
+from ..session import job_label, scratch_path, session_key
 from ..sources import adapter
 
 DIMENSIONS = ("dim_date", "dim_product", "dim_supplier", "dim_region")
@@ -76,13 +76,9 @@ def build_star_schema(
 
 
 def _write(df: DataFrame, path: str, sort_by: str | None = None) -> DataFrame:
-    sc = df.sparkSession.sparkContext
-    sc.setJobDescription(f"stockyard write {path.rstrip('/').rsplit('/', 1)[-1]}")
-    try:
+    with job_label(df.sparkSession, f"stockyard write {path.rstrip('/').rsplit('/', 1)[-1]}"):
         out = df.sortWithinPartitions(sort_by) if sort_by else df
         out.write.mode("overwrite").parquet(path)
-    finally:
-        sc.setJobDescription(None)
     # The schema is known: passing it skips the footer-reading inference job.
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -94,12 +90,8 @@ def _write_bucketed(df: DataFrame, path: str, key: str, buckets: int) -> DataFra
     partitions, so aggregations keyed by it need no exchange."""
     spark = df.sparkSession
     name = "stockyard_" + uuid.uuid4().hex
-    sc = spark.sparkContext
-    sc.setJobDescription(f"stockyard write {path.rstrip('/').rsplit('/', 1)[-1]} (bucketed)")
-    try:
+    with job_label(spark, f"stockyard write {path.rstrip('/').rsplit('/', 1)[-1]} (bucketed)"):
         df.write.mode("overwrite").bucketBy(buckets, key).format("parquet").option("path", path).saveAsTable(name)
-    finally:
-        sc.setJobDescription(None)
     return spark.table(name)
 
 
@@ -184,7 +176,7 @@ def warehouse(spark: SparkSession, sf_dir: str) -> StarSchema:
 
     Raw feed, cleaned orders, dimensions and fact are written below the
     shared folder; later queries of the same session reuse them."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (session_key(spark), sf_dir.rstrip("/"))
     with _LOCK:
         star = _CACHE.get(key)
         if star is None:
@@ -204,7 +196,7 @@ def warehouse(spark: SparkSession, sf_dir: str) -> StarSchema:
 
 def forget(spark: SparkSession, sf_dir: str | None = None) -> None:
     """Drop cached star schemas of this session (forces a rebuild)."""
-    app = spark.sparkContext.applicationId
+    app = session_key(spark)
     with _LOCK:
         for k in [k for k in _CACHE if k[0] == app and (sf_dir is None or k[1] == sf_dir.rstrip("/"))]:
             del _CACHE[k]

@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -54,6 +55,33 @@ def local_session(
     return spark
 
 
+def spark_context(spark: SparkSession):
+    """The session's SparkContext, or None where there is none (Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:
+        return None
+
+
+def session_key(spark: SparkSession) -> str:
+    """An id that changes when the application (or remote session) changes."""
+    sc = spark_context(spark)
+    return sc.applicationId if sc is not None else f"session-{id(spark)}"
+
+
+@contextmanager
+def job_label(spark: SparkSession, text: str):
+    """Label the jobs started inside the block (shown in event logs)."""
+    sc = spark_context(spark)
+    if sc is not None:
+        sc.setJobDescription(text)
+    try:
+        yield
+    finally:
+        if sc is not None:
+            sc.setJobDescription(None)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder for checkpoints and materialised tables.
 
@@ -61,11 +89,13 @@ def shared_dir(spark: SparkSession) -> str:
     dir).  If neither is set we are in a test or on one machine: create a
     private temporary folder and register it as the checkpoint dir.
     """
-    sc = spark.sparkContext
+    sc = spark_context(spark)
+    conf = spark.conf.get("spark.checkpoint.dir", None)
+    if sc is None:  # remote session: the server's checkpoint folder is used
+        return conf or ""
     current = sc.getCheckpointDir()
     if current:
         return current
-    conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
         conf = tempfile.mkdtemp(prefix="stockyard-ckpt-")
     sc.setCheckpointDir(conf)
