@@ -13,6 +13,7 @@ from __future__ import annotations
 import logging
 import threading
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
@@ -112,14 +113,23 @@ def materialize_star_schema(
     slicers, trend windows).
     """
     clean = _write(orders, f"{root}/orders_clean")
-    dims = {
-        "dim_date": build_dim_date(clean),
-        "dim_product": build_dim_product(clean, category_map, category_key),
-        "dim_supplier": build_dim_supplier(clean),
-        "dim_region": build_dim_region(clean, zone_map),
+    builders = {
+        "dim_date": lambda: build_dim_date(clean),
+        "dim_product": lambda: build_dim_product(clean, category_map, category_key),
+        "dim_supplier": lambda: build_dim_supplier(clean),
+        "dim_region": lambda: build_dim_region(clean, zone_map),
     }
-    written = {name: _write(df, f"{root}/{name}") for name, df in dims.items()}
-    rows = {name: df.count() for name, df in written.items()}
+
+    def build(name: str) -> tuple[str, DataFrame, int]:
+        df = _write(builders[name](), f"{root}/{name}")
+        return name, df, df.count()
+
+    # The dimensions are independent small jobs: submit them concurrently
+    # (Spark schedules jobs from several threads of one session in parallel).
+    with ThreadPoolExecutor(max_workers=len(builders)) as pool:
+        done = list(pool.map(build, builders))
+    written = {name: df for name, df, _ in done}
+    rows = {name: n for name, _, n in done}
     fact = build_fact_orders(clean, written["dim_product"], written["dim_supplier"], written["dim_region"], rows)
     fact = _write(fact, f"{root}/fact_orders", sort_by="date_id")
     rows["fact_orders"] = fact.count()
