@@ -8,11 +8,13 @@ driver only names paths.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import forecast as fc
 from ..operators import inventory, kpis, mart, risk, variance
-from ..sources.files import export_for_bi, read_raw_orders_csv, write_csv
+from ..sources.files import EXPORT_TABLES, read_raw_orders_csv, write_csv
 from .warehouse import StarSchema, build_warehouse
 
 
@@ -32,9 +34,21 @@ def outputs(star: StarSchema) -> dict[str, DataFrame]:
     }
 
 
-def write_outputs(star: StarSchema, root: str) -> dict[str, str]:
+def write_outputs(star: StarSchema, root: str, parallel_jobs: int = 4) -> dict[str, str]:
     """Write each analytics table as one CSV (they are small aggregates) plus the
-    BI exports (five tables and the flattened mart)."""
-    paths = {name: write_csv(df, f"{root}/outputs/{name}", single_file=True) for name, df in outputs(star).items()}
-    paths.update({f"bi_{k}": v for k, v in export_for_bi(star, f"{root}/bi", mart.export_mart(star)).items()})
-    return paths
+    BI exports (five tables as CSV, dimensions as one file each, and the
+    flattened mart).  The writes are independent Spark jobs and are submitted
+    from ``parallel_jobs`` threads."""
+    tasks: dict[str, tuple[DataFrame, str, bool]] = {
+        name: (df, f"{root}/outputs/{name}", True) for name, df in outputs(star).items()
+    }
+    for name in EXPORT_TABLES:
+        tasks[f"bi_{name}"] = (star.table(name), f"{root}/bi/{name}", name.startswith("dim_"))
+    tasks["bi_mart"] = (mart.export_mart(star), f"{root}/bi/mart", False)
+
+    def run(item: tuple[str, tuple[DataFrame, str, bool]]) -> tuple[str, str]:
+        name, (df, path, single) = item
+        return name, write_csv(df, path, single_file=single)
+
+    with ThreadPoolExecutor(max_workers=parallel_jobs) as pool:
+        return dict(pool.map(run, tasks.items()))
