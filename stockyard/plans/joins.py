@@ -32,6 +32,34 @@ def checked_broadcast(df: DataFrame, known_rows: int | None = None) -> DataFrame
     return df
 
 
+def _skew_join_on(spark) -> bool:
+    conf = spark.conf
+    return (
+        conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
+        and conf.get("spark.sql.adaptive.skewJoin.enabled", "true").lower() == "true"
+    )
+
+
+def hot_key_join(left: DataFrame, dim: DataFrame, key: str, how: str = "left") -> DataFrame:
+    """Equi-join on ``key`` that keeps hot keys out of the shuffle.
+
+    A key is hot when it has more left rows than an average shuffle partition,
+    so there are at most as many hot keys as partitions (a proven bound).  Rows
+    of hot keys join a broadcast of just those keys' dimension rows; all other
+    rows take the ordinary shuffle join.  The result equals
+    ``left.join(dim, key, how)`` for ``how`` in {"inner", "left"}."""
+    spark = left.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    threshold = max(1, left.count() // parts)
+    hot = left.groupBy(key).count().where((F.col("count") > threshold) & F.col(key).isNotNull()).select(key)
+    if bounded_rows(hot, parts) in (None, 0):
+        return left.join(dim, key, how)
+    hot = F.broadcast(hot)
+    hot_part = left.join(hot, key, "left_semi").join(F.broadcast(dim.join(hot, key, "left_semi")), key, how)
+    cold_part = left.join(hot, key, "left_anti").join(dim, key, how)
+    return cold_part.unionByName(hot_part)
+
+
 def lookup_join(
     left: DataFrame,
     dim: DataFrame,
@@ -43,7 +71,11 @@ def lookup_join(
     """Join a (possibly huge) left side to a dimension.
 
     With ``check`` the dimension is broadcast only after its size is proven;
-    without it Catalyst decides from statistics.
+    without it Catalyst decides from statistics.  A dimension too large to
+    broadcast is joined by shuffle; hot keys are then split by AQE's skew-join
+    handling, or, where that is switched off, isolated by ``hot_key_join``.
     """
     right = checked_broadcast(dim, dim_rows) if check else dim
-    return left.join(right, on, how)
+    if right is not dim or not isinstance(on, str) or how not in ("left", "inner") or _skew_join_on(left.sparkSession):
+        return left.join(right, on, how)
+    return hot_key_join(left, dim, on, how)

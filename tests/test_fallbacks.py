@@ -47,3 +47,36 @@ def test_fact_lookups_without_broadcast(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert small == big and len(big) == 200
     assert all(r.product_id is not None and r.supplier_id is not None for r in big.values())
+
+
+def test_hot_key_join_equals_plain_join(spark):
+    from stockyard.plans.joins import hot_key_join
+
+    left = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.concat(F.lit("k"), (F.col("id") % 997).cast("string"))).alias("k"),
+        F.col("id"),
+    )
+    left = left.unionByName(spark.createDataFrame([(None, -1)], "k string, id long"))
+    dim = spark.range(500).select(F.concat(F.lit("k"), F.col("id").cast("string")).alias("k"), (F.col("id") * 2).alias("v"))
+    dim = dim.unionByName(spark.createDataFrame([("HOT", -7)], "k string, v long"))
+    for how in ("left", "inner"):
+        got = hot_key_join(left, dim, "k", how)
+        assert sorted(got.collect(), key=repr) == sorted(left.join(dim, "k", how).collect(), key=repr)
+    plan = hot_key_join(left, dim, "k", "left")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Union" in plan
+
+
+def test_lookup_join_uses_hot_key_split_without_aqe_skew_handling(spark):
+    left = spark.range(3000).select((F.col("id") % 2).alias("k"), F.col("id"))
+    dim = spark.range(5).select(F.col("id").alias("k"), F.lit("x").alias("v"))
+    from stockyard.plans.joins import lookup_join
+
+    spark.conf.set("stockyard.broadcast.maxRows", "1")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    try:
+        out = lookup_join(left, dim, "k", "left", dim_rows=5)
+        assert "Union" in out._jdf.queryExecution().executedPlan().toString()
+        assert out.count() == 3000
+    finally:
+        spark.conf.unset("stockyard.broadcast.maxRows")
+        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
