@@ -1,6 +1,8 @@
 """Regenerate docs/PLANS.md from real explain output (sf0.01, local[8])."""
 import io, sys, contextlib
-sys.path.insert(0, '/root/repo')
+import os
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
 from stockyard.session import local_session
 from stockyard.plans import catalog
 from stockyard.plans.warehouse import warehouse
@@ -8,7 +10,7 @@ from stockyard.operators.clean import dedupe_first
 from stockyard.operators.kpis import kpi_sliced
 from stockyard.sources import adapter
 spark = local_session(shuffle_partitions=8)
-sf = '/root/testdata/sf0.01'
+sf = sys.argv[1] if len(sys.argv) > 1 else '/root/testdata/sf0.01'
 q = catalog.queries()
 star = warehouse(spark, sf)
 
@@ -39,5 +41,5 @@ out = ["# Physical plans of representative queries", "",
        "the trees are the initial adaptive plans). Regenerate with `python tools/show_plans.py <sf_dir> <key>`.", ""]
 for title, note, df in items:
     out += [f"## {title}", "", note, "", "```", tree(df, scan_detail=title.startswith(("kpi_sliced", "supplier_risk"))), "```", ""]
-open('/root/repo/docs/PLANS.md', 'w').write("\n".join(out))
+open(os.path.join(ROOT, 'docs', 'PLANS.md'), 'w').write("\n".join(out))
 print("written")
