@@ -1,14 +1,23 @@
-"""Regenerate docs/PLANS.md from real explain output (sf0.01, local[8])."""
-import io, sys, contextlib
+"""Regenerate docs/PLANS.md from real explain output (sf0.01, local[8]).
+
+Usage: python tools/gen_plans_doc.py [sf_dir]
+"""
+
+import contextlib
+import io
 import os
+import sys
+
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
-from stockyard.session import local_session
-from stockyard.plans import catalog
-from stockyard.plans.warehouse import warehouse
-from stockyard.operators.clean import dedupe_first
-from stockyard.operators.kpis import kpi_sliced
-from stockyard.sources import adapter
+
+from stockyard.operators.clean import dedupe_first  # noqa: E402
+from stockyard.operators.kpis import kpi_sliced  # noqa: E402
+from stockyard.plans import catalog  # noqa: E402
+from stockyard.plans.warehouse import warehouse  # noqa: E402
+from stockyard.session import local_session  # noqa: E402
+from stockyard.sources import adapter  # noqa: E402
+
 spark = local_session(shuffle_partitions=8)
 sf = sys.argv[1] if len(sys.argv) > 1 else '/root/testdata/sf0.01'
 q = catalog.queries()
