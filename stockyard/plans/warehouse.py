@@ -1,9 +1,9 @@
 """Build the star schema once, write it to the shared folder, read it back.
 
 Every analytics query runs over the materialised tables: the raw feed is
-written once (bucketed by order key, so de-duplication needs no shuffle),
-the cleaned orders are computed once, each dimension reads only its columns
-of them, and the fact is written once.  Re-reading written
+written once, the cleaned orders are computed once (one skew-safe
+de-duplication shuffle), each dimension reads only its columns of them, and
+the fact is written once.  Re-reading written
 Parquet cuts lineage (a lost executor re-reads files instead of re-running
 the joins) and gives the KPI scans column pruning and filter pushdown.
 """
@@ -162,9 +162,15 @@ def build_warehouse(
 ) -> StarSchema:
     """Raw feed -> written raw layer -> cleaned orders -> dimensions -> fact.
 
-    With ``colocate_by`` the raw layer is written bucketed by its first column
+    By default de-duplication is a shuffled aggregate whose map-side partial
+    aggregation collapses the copies of an order in every task, so even one
+    order holding a third of all rows never lands whole in one task.
+
+    ``colocate_by`` (opt-in, for feeds whose keys are known not to be skewed)
+    writes the raw layer bucketed by its first column
     (``stockyard.raw.buckets`` buckets, default one per shuffle partition) and
-    de-duplication groups by it as well, so no shuffle is needed there."""
+    de-duplicates by it as well without a shuffle; all copies of one key then
+    share a bucket and a task."""
     raw_t = None
     if colocate_by:
         buckets = int(spark.conf.get(RAW_BUCKETS_CONF, spark.conf.get("spark.sql.shuffle.partitions")))
@@ -195,7 +201,6 @@ def warehouse(spark: SparkSession, sf_dir: str) -> StarSchema:
                 adapter.raw_orders_from_tables(spark, sf_dir),
                 scratch_path(spark, "warehouse"),
                 first_by=adapter.FIRST_BY,
-                colocate_by=adapter.COLOCATE_BY,
                 category_map=adapter.PART_NOUN_CATEGORY,
                 category_key=adapter.part_noun,
                 zone_map=adapter.REGION_ZONE,

@@ -54,11 +54,26 @@ def test_broadcast_only_under_the_size_limit(spark):
         spark.conf.set("spark.sql.adaptive.enabled", "true")
 
 
-def test_dedup_of_bucketed_feed_needs_no_shuffle(spark):
+def test_dedup_combines_copies_before_the_shuffle(spark):
     from stockyard.operators.clean import dedupe_first
     from stockyard.sources import adapter
 
     star = warehouse(spark, SF_SMALL)
-    p = plan(dedupe_first(star.raw_orders, "order_id", adapter.FIRST_BY, adapter.COLOCATE_BY))
-    assert "Bucketed: true" in p
-    assert "Exchange" not in p
+    p = plan(dedupe_first(star.raw_orders, "order_id", adapter.FIRST_BY))
+    # partial aggregate below the exchange: copies of a key collapse in every map task
+    assert p.index("partial_min") > p.index("Exchange hashpartitioning(order_id")
+    assert "Window" not in p
+
+
+def test_opt_in_bucketed_dedup_needs_no_shuffle(spark, tmp_dir):
+    from stockyard.operators.clean import dedupe_first
+    from stockyard.plans.warehouse import _write_bucketed
+
+    df = spark.range(2000).select(
+        F.concat(F.lit("O"), (F.col("id") % 500).cast("string")).alias("order_id"),
+        (F.col("id") % 500).alias("_k"),
+        F.col("id").alias("v"),
+    )
+    t = _write_bucketed(df, tmp_dir + "/raw", "_k", 8)
+    p = plan(dedupe_first(t, "order_id", ["v"], colocate_by=["_k"]))
+    assert "Bucketed: true" in p and "Exchange" not in p

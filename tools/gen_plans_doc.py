@@ -39,7 +39,7 @@ def tree(df, scan_detail=False):
 
 items = [
     ("supplier_risk", "Fact partially aggregated by supplier_id before the only fact exchange; dimension broadcast after its recorded size check; no second aggregation (supplier names are unique).", q["supplier_risk"](spark, sf)),
-    ("de-duplication of the bucketed raw layer", "No Exchange: the scan is bucketed by order key and the aggregate groups by (order_id, order key).", dedupe_first(star.raw_orders, "order_id", adapter.FIRST_BY, adapter.COLOCATE_BY)),
+    ("de-duplication of the raw layer", "Partial aggregate (map-side combine) below the exchange: the copies of an order collapse in every map task, so even a hot order never lands whole in one task.", dedupe_first(star.raw_orders, "order_id", adapter.FIRST_BY)),
     ("cost_variance", "Fact reduced by (date_id, product_id) first; both dimension joins touch only that aggregate; one roll-up to (year, month, category).", q["cost_variance"](spark, sf)),
     ("kpi_sliced(years=[1997])", "The year slicer reaches the Parquet scan as date-key ranges (see PushedFilters in the full explain).", kpi_sliced(star, years=[1997])),
     ("forecast_rolling_by_category", "The per-series last-30 filter becomes a partial WindowGroupLimit before the exchange.", q["forecast_rolling_by_category"](spark, sf)),
