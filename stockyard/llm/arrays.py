@@ -112,9 +112,16 @@ def doc_chunks(off: np.ndarray, limit: int = CHUNK) -> Iterator[tuple[int, int]]
         lo = hi
 
 
-def words(buf: np.ndarray, off: np.ndarray, table: np.ndarray = WHITE_WORDS) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of every word in order, word offsets per document)."""
+def words(
+    buf: np.ndarray, off: np.ndarray, table: np.ndarray = WHITE_WORDS, prefixes: tuple[int, ...] = ()
+) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of every word in order, word offsets per document).
+
+    With ``prefixes`` every word is followed by the hashes of its first 4, 5, ... bytes, as named;
+    a word without that many bytes and one more has 0 in that place.
+    """
     all_hashes, counts = [], []
+    width = 1 + len(prefixes)
     for lo, hi in doc_chunks(off):
         a, b = off[lo], off[hi]
         if a == b:
@@ -128,18 +135,28 @@ def words(buf: np.ndarray, off: np.ndarray, table: np.ndarray = WHITE_WORDS) ->
         firsts = firsts[firsts < b - a]
         begins[firsts] = inside[firsts]
         starts = np.flatnonzero(begins)
-        all_hashes.append(_word_hashes(codes, starts, firsts))
-        counts.append(np.diff(np.searchsorted(starts, off[lo : hi + 1] - a)))
+        hashes = segment_hashes(codes, starts)  # a word ends at a separator (0) or with its text, where the next segment begins
+        if prefixes:
+            ends = np.append(starts[1:], len(codes))
+            hashes = np.column_stack([hashes, *(_prefix_hashes(codes, starts, ends, k) for k in prefixes)]).ravel()
+        all_hashes.append(hashes)
+        counts.append(width * np.diff(np.searchsorted(starts, off[lo : hi + 1] - a)))
     woff = np.zeros(len(off), np.int64)
     if counts:
         np.cumsum(np.concatenate(counts), out=woff[1:])
     return (np.concatenate(all_hashes) if all_hashes else np.empty(0, _U)), woff
 
 
-def _word_hashes(codes: np.ndarray, starts: np.ndarray, firsts: np.ndarray) -> np.ndarray:
-    """Hashes of the words; a word ends at a separator (code 0) or where a document ends,
-    and either way the next segment begins there, so a plain segment hash is the word's."""
-    return segment_hashes(codes, starts)
+def _prefix_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, size: int) -> np.ndarray:
+    """Hashes of the first ``size`` bytes of the words that are longer than that, else 0."""
+    out = np.zeros(len(starts), _U)
+    long = np.flatnonzero(starts + size < ends)
+    long = long[codes[starts[long] + size] != 0]
+    at, total = starts[long], np.full(len(long), size, _U)
+    for k in range(size):
+        total = total * _RADIX + codes[at + k]
+    out[long] = mix64(total)
+    return out
 
 
 def owners(woff: np.ndarray) -> np.ndarray:

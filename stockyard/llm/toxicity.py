@@ -1,5 +1,8 @@
 """Toxicity by the nearest labelled examples under TF-IDF cosine.
 
+Terms are words and word beginnings that mark one of the labels; all other words of a text
+count as one pooled term, so a vector tells how dense its marked words are.
+
 Labelled examples form an inverted index whose postings are cut into blocks of examples, each
 with its largest weight per term.  For a text, the block maxima bound what any example of a
 block can reach; blocks are scored from the highest bound down until no bound can enter the k
@@ -22,13 +25,17 @@ from . import arrays as A
 from .store import Shared, col, materialise
 
 _U = np.uint64
+#: Word beginnings of so many bytes are terms too.
+PREFIXES = (4, 5, 6)
 
 
 @dataclass(frozen=True)
 class Params:
     """per_class: examples in the index for each label; calibration: further labelled rows that fit
     the scores (both bound the sample the model is fitted on).  terms: vocabulary bound;
-    least_chi2: association with the label that a term needs in the examples.  k: neighbours.
+    least_chi2: association with the label that a term needs in the examples; least_gap: difference
+    it needs between the shares of the two classes that hold it, which keeps out the words of a
+    small group of copies.  k: neighbours.
     block: examples in a block.  threshold: score from which a text is predicted toxic.
     held_mod, held_rest: rows with crc32(id) mod held_mod = held_rest are not learned from.
     """
@@ -37,6 +44,7 @@ class Params:
     calibration: int = 4000
     terms: int = 2048
     least_chi2: float = 30.0
+    least_gap: float = 0.03
     k: int = 10
     block: int = 32
     threshold: float = 0.7
@@ -58,12 +66,12 @@ BAG = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("terms"
 def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         buf, off = A.text_buffer(batch.column(1))
-        h, woff = A.words(buf, off, A.ALNUM_WORDS)
+        h, woff = A.words(buf, off, A.ALNUM_WORDS, PREFIXES)
         terms, counts = [], []
         for a, b in zip(woff[:-1], woff[1:], strict=True):
             t, n = np.unique(h[a:b], return_counts=True)
-            terms.append(t.view(np.int64))
-            counts.append(n)
+            terms.append(t[t != 0].view(np.int64))
+            counts.append(n[t != 0])
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(terms, pa.list_(pa.int64())), pa.array(counts, pa.list_(pa.int64()))], names=BAG.names
         )
@@ -88,16 +96,22 @@ class Vocabulary:
 
 
 def _term_counts(buf, off, vocabulary: Vocabulary):
-    """Sorted (document, term) pairs of a batch with their counts."""
+    """Sorted (document, term) pairs of a batch with their counts; the term after the last is the
+    pooled one, which counts the words that neither are nor begin with a term."""
     docs, terms, counts = [], [], []
+    size, width = len(vocabulary.terms) + 1, 1 + len(PREFIXES)
     for lo, hi in A.doc_chunks(off, 4 * A.CHUNK):
-        h, woff = A.words(buf[off[lo] : off[hi]], off[lo : hi + 1] - off[lo], A.ALNUM_WORDS)
+        h, woff = A.words(buf[off[lo] : off[hi]], off[lo : hi + 1] - off[lo], A.ALNUM_WORDS, PREFIXES)
         at, term = vocabulary.find(h)
-        doc = np.searchsorted(woff, at, "right") - 1 + lo
-        key, n = np.unique(doc * len(vocabulary.terms) + term, return_counts=True)
-        docs.append(key // len(vocabulary.terms))
-        terms.append(key % len(vocabulary.terms))
-        counts.append(n)
+        key, n = np.unique((np.searchsorted(woff, at, "right") - 1) * size + term, return_counts=True)
+        marked = np.searchsorted(woff, np.unique(at // width) * width, "right") - 1
+        rest = np.diff(woff) // width - np.bincount(marked, minlength=hi - lo)
+        some = np.flatnonzero(rest)
+        key, n = np.append(key, some * size + size - 1), np.append(n, rest[some])
+        order = np.argsort(key)
+        docs.append(key[order] // size + lo)
+        terms.append(key[order] % size)
+        counts.append(n[order])
     if not docs:
         return (np.empty(0, np.int64),) * 3
     return np.concatenate(docs), np.concatenate(terms), np.concatenate(counts)
@@ -108,7 +122,7 @@ def _document_counts(terms):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = terms.get(Vocabulary)
-        df, n = np.zeros(len(vocabulary.terms), np.int64), 0
+        df, n = np.zeros(len(vocabulary.terms) + 1, np.int64), 0
         for batch in batches:
             buf, off = A.text_buffer(batch.column(0))
             df += np.bincount(_term_counts(buf, off, vocabulary)[1], minlength=len(df))
@@ -118,6 +132,24 @@ def _document_counts(terms):
     return run
 
 
+VECTOR = T.StructType([BAG["doc_id"], T.StructField("toxic", T.IntegerType()), T.StructField("use", T.StringType()), BAG["terms"], BAG["counts"]])
+
+
+def _vectors(terms: Shared):
+    """(doc_id, toxic, use, text) rows with the text as term numbers and counts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        vocabulary = terms.get(Vocabulary)
+        for batch in batches:
+            buf, off = A.text_buffer(batch.column(3))
+            doc, term, count = _term_counts(buf, off, vocabulary)
+            edge = pa.array(np.searchsorted(doc, np.arange(len(off))).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(edge, pa.array(x.astype(np.int64))) for x in (term, count)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], *lists], names=VECTOR.names)
+
+    return run
+
+
 # --- index ---------------------------------------------------------------------------------
 
 
@@ -138,7 +170,7 @@ class Index:
     no_evidence: float = 0.0
 
     def weigh(self, term: np.ndarray, count: np.ndarray) -> np.ndarray:
-        w = (1.0 + np.log(count)) * self.idf[term]
+        w = np.sqrt(count) * self.idf[term]
         return w / np.sqrt((w * w).sum())
 
     def nearest(self, term: np.ndarray, weight: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -185,9 +217,9 @@ def build_index(terms: np.ndarray, idf: np.ndarray, rows: list[tuple[int, int, n
     order = np.lexsort((who, term))
     term, who, weight = term[order], who[order], weight[order]
     cell = term * (blocks + 1) + who // block
-    top = np.zeros((len(terms), blocks))
+    top = np.zeros((len(idf), blocks))
     np.maximum.at(top, (term, who // block), weight)
-    index.start = np.searchsorted(cell, np.arange(len(terms) * (blocks + 1))).reshape(len(terms), blocks + 1)
+    index.start = np.searchsorted(cell, np.arange(len(idf) * (blocks + 1))).reshape(len(idf), blocks + 1)
     index.example, index.weight, index.top = who, weight, top
     index.examples = np.array([v[0] for v in vectors], np.int64)
     index.labels = np.array([v[1] for v in vectors], np.int64)
@@ -232,16 +264,22 @@ def _evaluate(model, p: Params):
 
     def run(column):
         index, vocabulary = model
+        known: dict[int, tuple] = {}  # texts with a single term share a vector
         buf, off = A.text_buffer(column)
         doc, term, count = _term_counts(buf, off, vocabulary)
         edge = np.searchsorted(doc, np.arange(len(off)))
         for a, b in zip(edge[:-1], edge[1:], strict=True):
-            near, cos = index.nearest(term[a:b], index.weigh(term[a:b], count[a:b]), p.k) if a < b else (np.empty(0, np.int64), np.empty(0))
-            if not len(near):
-                yield index.no_evidence, None, [], []
+            if b - a == 1 and int(term[a]) in known:
+                yield known[int(term[a])]
                 continue
-            v = vote(index.labels[near], cos)
-            yield float(np.interp(v, *index.curve)), v, index.examples[near].tolist(), cos.tolist()
+            near, cos = index.nearest(term[a:b], index.weigh(term[a:b], count[a:b]), p.k) if a < b else (np.empty(0, np.int64), np.empty(0))
+            out = (index.no_evidence, None, [], [])
+            if len(near):
+                v = vote(index.labels[near], cos)
+                out = (float(np.interp(v, *index.curve)), v, index.examples[near].tolist(), cos.tolist())
+            if b - a == 1:
+                known[int(term[a])] = out
+            yield out
 
     return run
 
@@ -297,26 +335,22 @@ def fit(docs: DataFrame, labels: DataFrame, p: Params | None = None, id_col: str
         .agg(F.sum("toxic").cast("double").alias("a"), F.sum(1 - F.col("toxic")).cast("double").alias("b"))
         .where((a + b < n1 + n0) & (F.lit(n1 * n0) > 0))
         .withColumn("chi2", chi2)
-        .where(F.col("chi2") >= p.least_chi2)
+        .where((F.col("chi2") >= p.least_chi2) & (F.abs(a / n1 - b / n0) >= p.least_gap))
         .orderBy(F.desc("chi2"), "term")
         .limit(p.terms)
     )
     terms = np.sort(np.array([r[0] for r in used.select("term").collect()], np.int64).view(_U))
     shared = Shared(docs, "terms", terms)
-    freq = np.zeros(len(terms) + 1, np.int64)
-    if len(terms):
-        found = src.select("text").mapInArrow(_document_counts(shared), "term long, df long").groupBy("term").agg(F.sum("df"))
-        for t, n in found.collect():
-            freq[t] = n
+    freq = np.zeros(len(terms) + 2, np.int64)
+    found = src.select("text").mapInArrow(_document_counts(shared), "term long, df long").groupBy("term").agg(F.sum("df"))
+    for t, n in found.collect():
+        freq[t] = n
     idf = np.log((freq[-1] + 1.0) / (freq[:-1] + 1.0)) + 1.0
-    number = {int(t): k for k, t in enumerate(terms.view(np.int64))}
-    names = F.array(*[F.lit(int(t)) for t in terms.view(np.int64)]) if len(terms) else F.array().cast("array<bigint>")
-    both = F.filter(F.arrays_zip("terms", "counts"), lambda x: F.array_contains(names, x["terms"]))
     rows = {"index": [], "curve": []}
-    for r in sample.select("doc_id", "toxic", "use", both.alias("b")).collect():  # the bounded sample, vocabulary terms only
-        pairs = sorted((number[x["terms"]], x["counts"]) for x in r["b"])
-        t, n = (np.array(x, np.int64) for x in zip(*pairs, strict=True)) if pairs else (np.empty(0, np.int64),) * 2
-        rows[r["use"]].append((r["doc_id"], r["toxic"], t, n))
+    chosen = sample.select("doc_id", "toxic", "use")
+    vectors = src.join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", "use", "text").mapInArrow(_vectors(shared), VECTOR)
+    for r in vectors.dropDuplicates(["doc_id"]).collect():  # the bounded sample, vocabulary terms only
+        rows[r["use"]].append((r["doc_id"], r["toxic"], np.array(r["terms"], np.int64), np.array(r["counts"], np.int64)))
     index = build_index(terms, idf, sorted(rows["index"], key=lambda r: r[0]), p.block)
     votes, truth, silent = [], [], []
     for _, y, t, n in sorted(rows["curve"] or rows["index"], key=lambda r: r[0]):
@@ -335,8 +369,8 @@ def fit(docs: DataFrame, labels: DataFrame, p: Params | None = None, id_col: str
 def score(docs: DataFrame, index: Index, p: Params | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, held_out, score, predicted, vote, evidence, cosines) for every row of ``docs``.
 
-    Texts without a vocabulary term (null and empty ones too) have no neighbours: null vote, no
-    evidence, and the share of label 1 among labelled rows like them as score.
+    Texts without a word (null and empty ones too) have no neighbours: null vote, no evidence, and
+    the share of label 1 among labelled rows like them as score.
     """
     p = p or Params()
     shared = Shared(docs, "examples", index)
