@@ -123,7 +123,8 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     seen = materialise(repeated_filter(packed.select("h"), words), "filter")
     flagged = flag_repeated(packed, seen, words)
     text, key = F.col("row").getField(text_col), F.col("row").getField(id_col)
-    last = F.struct(key.isNotNull(), key, *[F.col("row").getField(c) for c in names if c not in (id_col, text_col)])
+    ordered = [c for c, kind in docs.dtypes if c not in (id_col, text_col) and "map<" not in kind and "variant" not in kind]
+    last = F.struct(key.isNotNull(), key, *[F.col("row").getField(c) for c in ordered])
     one = flagged.where("maybe").groupBy(digest(text).alias("sha")).agg(F.max_by("row", last).alias("row"))
     whole = flagged.where("not maybe").select("row").unionByName(one.select("row"))
     return whole.select("row.*")
