@@ -7,8 +7,7 @@ miss probability; the survivors are verified exactly on their full shingle sets.
 
 Texts with equal shingle sets are one class, so copies never meet in pairs.  Members of
 a bucket are not all paired: two rounds link them to one centre each, and only members
-that are then still in different components are compared across, in blocks of bounded
-size.  What is lost is only what the bands or the chosen miss probability lose.
+that these links do not yet join are compared across, in blocks of bounded size.  What is lost is only what the bands or the chosen miss probability lose.
 """
 
 from __future__ import annotations
@@ -35,7 +34,8 @@ class Params:
     bands x rows signature positions: a pair at the threshold of 0.8 is missed by all bands
     with probability (1 - 0.8**rows)**bands, below 1e-5.  miss: posterior bound at which a
     pair is pruned.  batch: positions compared between two looks at the posterior.  block:
-    bucket members compared across in one group.  broadcast_rows: bound of a counted broadcast.
+    shingles (about) in one block of bucket members; two blocks are compared in one group.
+    broadcast_rows: bound of a counted broadcast.
     """
 
     width: int = 5
@@ -44,7 +44,7 @@ class Params:
     rows: int = 5
     batch: int = 30
     miss: float = 1e-5
-    block: int = 2048
+    block: int = 1_000_000
     star_rounds: int = 2
     broadcast_rows: int = 1_000_000
 
@@ -218,21 +218,27 @@ def _verify(p: Params):
     return run
 
 
-def _links(candidates: DataFrame, sigs: DataFrame, texts: DataFrame, p: Params, pruned: bool = False) -> DataFrame:
-    """The candidate pairs (u, v) that are links, written out."""
-    pairs = candidates
-    if not pruned:
-        s = sigs.select(F.col("id").alias("v"), F.col("sig").alias("sig_v"))
-        pairs = pairs.join(s, "v").join(s.toDF("u", "sig_u"), "u").select("u", "v", "sig_u", "sig_v")
-        pairs = pairs.mapInArrow(_prune(p), PAIR)
-    pairs = materialise(pairs.distinct(), "survivors")
+def _links(candidates: DataFrame, sigs: DataFrame, texts: DataFrame, p: Params) -> DataFrame:
+    """The distinct candidate pairs (u, v) that are links, written out."""
+    s = sigs.select(F.col("id").alias("v"), F.col("sig").alias("sig_v"))
+    pairs = candidates.join(s, "v").join(s.toDF("u", "sig_u"), "u").select("u", "v", "sig_u", "sig_v")
+    pairs = materialise(pairs.mapInArrow(_prune(p), PAIR), "survivors")
     t = texts.select(F.col("id").alias("v"), F.col("text").alias("text_v"))
     whole = pairs.join(t, "v").join(t.toDF("u", "text_u"), "u").select("u", "v", "text_u", "text_v")
-    return materialise(whole.mapInArrow(_verify(p), PAIR).distinct(), "links")
+    return materialise(whole.mapInArrow(_verify(p), PAIR), "links")
+
+
+def _near_labels(links: DataFrame) -> DataFrame:
+    """(id, component): a smaller id that ``id`` surely reaches, at most two links away.
+
+    Enough to tell most pairs of one component without the rounds of ``components``."""
+    least = materialise(links.groupBy(F.col("v").alias("id")).agg(F.min("u").alias("component")), "near-labels")
+    further = least.select(F.col("id").alias("component"), F.col("component").alias("further"))
+    return least.join(further, "component", "left").select("id", F.coalesce("further", "component").alias("component"))
 
 
 def _centre_pairs(members: DataFrame, labels: DataFrame | None, turn: int) -> DataFrame:
-    """One centre for each bucket, paired with the bucket's members outside the centre's component."""
+    """One centre for each bucket, paired with the bucket's members not yet known in the centre's component."""
     rows = members
     if labels is not None:
         rows = rows.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
@@ -253,10 +259,10 @@ def _blocks(members: DataFrame, labels: DataFrame, p: Params) -> DataFrame:
     only meet the blocks of the others (side 0).
     """
     rows = members.join(labels, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    by = rows.groupBy("key", "component").agg(F.count("id").alias("n"))
+    by = rows.groupBy("key", "component").agg(F.sum("n").alias("n"))
     mixed = (
         by.groupBy("key")
-        .agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("all"), F.count("n").alias("parts"))
+        .agg(F.max(F.struct("n", "component")).alias("top"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("parts"))
         .where("parts > 1")
         .select(
             "key",
@@ -281,42 +287,70 @@ def _blocks(members: DataFrame, labels: DataFrame, p: Params) -> DataFrame:
 
 
 def _across(p: Params):
-    """Within each group of sorted rows (key, i, j, main_side), the pairs of different components
-    that the sequential test lets live."""
+    """For sorted rows (key, i, j, main_side, side, id, component, sig, text): in each group of equal
+    key, i, j and main_side, links (u, v) that join all members a link of the group joins.
+
+    Candidates of different components pass the sequential test and are verified on their
+    shingle sets; a link makes its components one, so what is joined already is not
+    compared, and a group gives fewer links than it has members.
+    """
 
-    def flush(sides, ids, comps, sigs, main_side, least) -> Iterator[pa.RecordBatch]:
-        sides, ids, comps = np.array(sides), np.array(ids), np.array(comps)
+    def flush(rows, main_side, least) -> tuple[list[int], list[int]]:
+        side, ids, comps, sigs, texts = zip(*rows, strict=True)
+        side, ids = np.array(side), np.array(ids)
+        root = np.unique(comps, return_inverse=True)[1]
+        u, v = [], []
+        if root.max() == 0:
+            return u, v
         sig = np.frombuffer(b"".join(sigs), np.uint8).reshape(len(ids), -1)
-        left = np.flatnonzero(sides == 0)
-        right = np.flatnonzero(sides == 1) if main_side else left
-        if not len(right):
-            return
-        step = max(1, (1 << 18) // len(right))
-        for k in range(0, len(left), step):
-            a = np.repeat(left[k : k + step], len(right))
-            b = np.tile(right, len(left[k : k + step]))
-            ok = comps[a] != comps[b]
-            if not main_side:
-                ok &= a < b
-            a, b = a[ok], b[ok]
-            keep = alive(sig[a], sig[b], p, least) if len(a) else np.empty(0, np.int64)
-            if len(keep):
-                x, y = ids[a[keep]], ids[b[keep]]
-                yield _pair_batch(np.minimum(x, y), np.maximum(x, y))
+        raw = [t.encode("utf-8", "surrogatepass") for t in texts]
+        off = np.zeros(len(raw) + 1, np.int64)
+        np.cumsum([len(t) for t in raw], out=off[1:])
+        sh, soff = shingles(np.frombuffer(b"".join(raw), np.uint8), off, p.width)
+        who = A.owners(soff)
+        # Distinct (member, shingle) pairs, shingles as small numbers.
+        number = np.unique(sh, return_inverse=True)[1]
+        item = np.unique(who * (number.max() + 1) + number)
+        who, number = np.divmod(item, number.max() + 1)
+        edge = np.searchsorted(who, np.arange(len(ids) + 1))
+        size = np.diff(edge)
+        mark = np.zeros(number.max() + 1, bool)
+        for k in np.flatnonzero(side == 0):
+            other = (root != root[k]) & ((side == 1) if main_side else (np.arange(len(ids)) > k))
+            near = np.flatnonzero(other)
+            if not len(near):
+                continue
+            near = near[alive(np.broadcast_to(sig[k], (len(near), sig.shape[1])), sig[near], p, least)]
+            if not len(near):
+                continue
+            own = number[edge[k] : edge[k + 1]]
+            mark[own] = True
+            n = size[near]
+            at = np.arange(n.sum()) + np.repeat(edge[near] - (np.cumsum(n) - n), n)
+            both = np.add.reduceat(mark[number[at]], np.cumsum(n) - n, dtype=np.int64)
+            mark[own] = False
+            linked = near[100 * both >= p.percent * (size[k] + n - both)]
+            found, first = np.unique(root[linked], return_index=True)
+            u += [int(ids[k])] * len(found)
+            v += ids[linked[first]].tolist()
+            root[np.isin(root, found)] = root[k]
+        return u, v
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         least = least_matches(p)
-        now, held = None, ([], [], [], [])
+        now, held, u, v = None, [], [], []
         for batch in batches:
-            for key, i, j, main_side, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (key, i, j, main_side) != now:
-                    if now is not None:
-                        yield from flush(*held, now[3], least)
-                    now, held = (key, i, j, main_side), ([], [], [], [])
-                for into, value in zip(held, row, strict=True):
-                    into.append(value)
-        if now is not None:
-            yield from flush(*held, now[3], least)
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if row[:4] != now:
+                    if held:
+                        for into, more in zip((u, v), flush(held, now[3], least), strict=True):
+                            into += more
+                    now, held = row[:4], []
+                held.append(row[4:])
+            yield _pair_batch(u, v)
+            u, v = [], []
+        if held:
+            yield _pair_batch(*flush(held, now[3], least))
 
     return run
 
@@ -337,10 +371,10 @@ def near_duplicates(
     sketch = materialise(src.mapInArrow(_sketch(p), SKETCH), "sketch")
     named = sketch.where("n_shingles > 0 and doc_id is not null")
     classes = named.groupBy("set_a", "set_b").agg(
-        F.min("doc_id").alias("id"), F.min_by("sig", "doc_id").alias("sig"), F.min_by("keys", "doc_id").alias("keys")
+        F.min("doc_id").alias("id"), F.min_by("sig", "doc_id").alias("sig"), F.min_by("keys", "doc_id").alias("keys"), F.first("n_shingles").alias("n")
     )
     classes = materialise(classes, "classes")
-    rows = classes.select("id", F.explode("keys").alias("key"))
+    rows = classes.select("id", "n", F.explode("keys").alias("key"))
     shared = rows.groupBy("key").agg(F.count("id").alias("n")).where("n > 1").select("key")
     members = materialise(rows.join(shared, "key", "left_semi"), "members")
     sigs = classes.select("id", "sig")
@@ -356,12 +390,11 @@ def near_duplicates(
     for turn in range(p.star_rounds):
         links = _links(_centre_pairs(members, labels, turn), sigs, texts, p)
         found = links if found is None else found.union(links)
-        labels = components(found)
-    groups = _blocks(members, labels, p).join(sigs, "id").select("key", "i", "j", "main_side", "side", "id", "component", "sig")
+        labels = materialise(_near_labels(found), "labels")
     order = ["key", "i", "j", "main_side"]
+    groups = _blocks(members, labels, p).join(sigs.join(texts, "id"), "id").select(*order, "side", "id", "component", "sig", "text")
     across = groups.repartition(partitions(docs), *order).sortWithinPartitions(*order).mapInArrow(_across(p), PAIR)
-    links = _links(across, sigs, texts, p, pruned=True)
-    labels = materialise(components(found.union(links).union(edges)), "labels")
+    labels = materialise(components(found.union(across).union(edges)), "labels")
     out = sketch.select("doc_id", "n_shingles").join(labels, sketch["doc_id"] == labels["id"], "left")
     component = F.coalesce("component", "doc_id")
     return out.select(
@@ -381,4 +414,5 @@ def keep_representatives(docs: DataFrame, p: Params | None = None, id_col: str =
     gone = found.where("not kept").select(F.col("doc_id").alias("_gone")).distinct()
     # Few enough ids are broadcast after a count; more are joined by shuffle.
     gone = bounded(materialise(gone, "dropped"), (p or Params()).broadcast_rows)
-    return docs.join(gone, col(id_col).cast("long") == F.col("_gone"), "left_anti")
+    packed = docs.select(F.struct(*[col(c) for c in docs.columns]).alias("row"), col(id_col).cast("long").alias("_id"))
+    return packed.join(gone, F.col("_id") == F.col("_gone"), "left_anti").select("row.*")
