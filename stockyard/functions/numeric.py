@@ -20,6 +20,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def whole_number(col: Column) -> Column:
+    """Integer of a cell the way a data frame casts it: ``7``, ``7.0`` and ``7.9`` (cut) give 7.
+
+    What is no number gives null; ``bad_cells`` counts those."""
+    return col.try_cast("decimal(38,6)").try_cast("int")
+
+
 def sql_round(col: Column, n: int) -> Column:
     """SQL ``ROUND(x, n)``: half away from zero, returned as double."""
     return F.round(col.cast("decimal(28,10)"), n).cast("double")

@@ -7,17 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import pd_round
+from ..functions.numeric import pd_round, whole_number
 from ..functions.text import clean_name
-from ..plans.joins import bounded_rows
-from ..schemas import CLEAN_ORDERS, column_names
+from ..schemas import CLEAN_ORDERS, RAW_ORDERS, column_names
 from ..session import broadcast_max_rows, shared_dir
 
+# Bytes of names up to which the name map is broadcast.
+MAP_MAX_BYTES = 64 << 20
 NAME_COLUMNS = ("product_name", "supplier_name", "region")
 
 # Hidden column added by the CSV reader: (file, block start, position) so that
 # "first in file order" is well defined after Spark has split the file.
 FILE_ORDER = "_file_order"
+# Holds the whole line of a CSV row with too few or too many cells.
+MALFORMED = "_malformed"
 
 
 def enrich_orders(raw: DataFrame) -> DataFrame:
@@ -31,6 +34,33 @@ def enrich_orders(raw: DataFrame) -> DataFrame:
     )
 
 
+def _typed(name: str, kind: str):
+    c = F.col(name)
+    return c if kind == "string" else whole_number(c) if kind == "int" else c.try_cast(kind)
+
+
+def typed_feed(text: DataFrame) -> DataFrame:
+    """A feed of text cells with the types of ``RAW_ORDERS``; further columns stay.
+
+    Cells that do not parse become null; ``bad_cells`` tells how many."""
+    types = {f.name: f.dataType.simpleString() for f in RAW_ORDERS.fields}
+    rest = [c for c in text.columns if c not in types]
+    return text.select(*[_typed(c, t).alias(c) for c, t in types.items()], *[F.col(f"`{c}`") for c in rest])
+
+
+def bad_cells(text: DataFrame) -> DataFrame:
+    """(column_name, bad_cells): non-null cells of each typed column that do not parse, in one scan.
+
+    A feed read with ``read_raw_orders_text`` also reports its malformed lines, as column ``*``."""
+    types = [(f.name, f.dataType.simpleString()) for f in RAW_ORDERS.fields if f.dataType.simpleString() != "string"]
+    counts = [(c, F.count_if(F.col(c).isNotNull() & _typed(c, t).isNull())) for c, t in types]
+    if MALFORMED in text.columns:
+        counts.append(("*", F.count(MALFORMED)))
+    wide = text.agg(*[n.alias(f"n{i}") for i, (_, n) in enumerate(counts)])
+    rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("bad_cells")) for i, (c, _) in enumerate(counts)]
+    return wide.select(F.inline(F.array(*rows)))
+
+
 def sort_orders(orders: DataFrame) -> DataFrame:
     """Presentation order of the feed (by order date).  A global sort: use only for output."""
     return orders.orderBy("order_date", "order_id")
@@ -41,10 +71,10 @@ def dedupe_first(
 ) -> DataFrame:
     """Keep one row per ``key``: the first by ``first_by`` (rest of the row breaks ties).
 
-    Written as an aggregate (``min`` of a struct led by the ordering columns)
-    rather than a ``row_number`` window, so each map task collapses its copies
-    of a key before the shuffle: a key holding a third of all rows costs one
-    row per task, not one giant window partition.  ``colocate_by`` names
+    Written as an aggregate (``min`` of a struct led by the ordering columns):
+    each map task collapses its copies of a key before the shuffle, so a key
+    holding a third of all rows costs one row per task.  (A ``row_number() = 1``
+    filter limits groups before its shuffle too, but sorts every task's rows.)  ``colocate_by`` names
     columns that ``key`` determines; grouping by them too lets an input that
     is already partitioned (bucketed) by them skip the shuffle.
     """
@@ -62,9 +92,9 @@ def tidy_names(df: DataFrame, cols: Sequence[str], source: DataFrame | None = No
 
     Names have few distinct values.  The distinct names of ``source`` (a
     superset of those in ``df``, by default ``df``) are cleaned once and
-    checkpointed (one scan of the name columns); if their count fits the
-    broadcast limit they are looked up with broadcast joins, otherwise every
-    row is cleaned in place."""
+    checkpointed (one scan of the name columns, started while the plan is
+    built); if their count and bytes fit the broadcast limits they are looked
+    up with broadcast joins, otherwise every row is cleaned in place."""
     src = source if source is not None else df
     shared_dir(df.sparkSession)  # checkpoint() needs the shared folder
     mapping = (
@@ -74,7 +104,9 @@ def tidy_names(df: DataFrame, cols: Sequence[str], source: DataFrame | None = No
         .select("_raw", clean_name(F.col("_raw")).alias("_clean"))
         .checkpoint(eager=True)
     )
-    if bounded_rows(mapping, broadcast_max_rows(df.sparkSession)) is None:
+    size = F.sum(F.octet_length("_raw") + F.octet_length("_clean"))
+    rows, size = mapping.agg(F.count("_raw"), size).first()
+    if rows > broadcast_max_rows(df.sparkSession) or (size or 0) > MAP_MAX_BYTES:
         return df.withColumns({c: clean_name(F.col(c)) for c in cols})
     out = df
     for c in cols:
@@ -98,7 +130,7 @@ def clean_orders(
         first_by = [FILE_ORDER] if FILE_ORDER in raw.columns else ["order_date"]
     deduped = dedupe_first(raw, "order_id", first_by, colocate_by).na.drop(subset=["order_id", "product_name"])
 
-    qty = F.col("quantity_ordered").try_cast("int")
+    qty = whole_number(F.col("quantity_ordered"))
     cost = pd_round(F.col("unit_cost").try_cast("double"), 2)
     typed = deduped.withColumns(
         {
@@ -107,10 +139,10 @@ def clean_orders(
             "unit_cost": cost,
             "total_cost": pd_round(qty * cost, 2),
             "is_delayed": F.col("is_delayed").try_cast("boolean").cast("int"),
-            "lead_time_days": F.col("lead_time_days").try_cast("int"),
-            "actual_delivery_days": F.col("actual_delivery_days").try_cast("int"),
-            "delay_days": F.col("delay_days").try_cast("int"),
-            "warehouse_stock": F.col("warehouse_stock").try_cast("int"),
+            "lead_time_days": whole_number(F.col("lead_time_days")),
+            "actual_delivery_days": whole_number(F.col("actual_delivery_days")),
+            "delay_days": whole_number(F.col("delay_days")),
+            "warehouse_stock": whole_number(F.col("warehouse_stock")),
         }
     )
     return tidy_names(typed, NAME_COLUMNS, source=raw).select(*column_names(CLEAN_ORDERS))

@@ -7,7 +7,7 @@ from typing import TYPE_CHECKING
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import amount, bin_right, cents, pd_round, safe_div, sql_round
+from ..functions.numeric import bin_right, pd_round, safe_div, sql_round
 from .measures import avg_of, revenue
 
 if TYPE_CHECKING:
@@ -22,18 +22,17 @@ DAYS_OF_STOCK_ALERT = 30
 
 
 def inventory_snapshot(raw_orders: DataFrame, period_days: int = PERIOD_DAYS) -> DataFrame:
-    """Per product of the raw feed: mean stock, units, value, mean lead time,
-    reorder point (from the unrounded means) and a Low Stock / Adequate flag."""
-    per = raw_orders.groupBy("product_name").agg(
+    """Per product of the raw feed: mean stock, units, value (the feed's own
+    ``total_cost``), mean lead time, reorder point (from the unrounded means) and
+    a Low Stock / Adequate flag.  Rows without a product belong to none."""
+    per = raw_orders.where(F.col("product_name").isNotNull()).groupBy("product_name").agg(
         F.avg("warehouse_stock").alias("avg_stock"),
         F.sum("quantity_ordered").alias("total_ordered"),
-        F.sum(F.col("quantity_ordered").cast("long") * cents(F.col("unit_cost"))).alias("_cost_c"),
+        F.sum(F.col("total_cost").cast("decimal(28,6)")).cast("double").alias("total_cost"),
         F.avg("lead_time_days").alias("avg_lead_time"),
     )
     return reorder_status(
-        per.select(
-            "product_name", "avg_stock", "total_ordered", amount(F.col("_cost_c")).alias("total_cost"), "avg_lead_time"
-        ),
+        per.select("product_name", "avg_stock", "total_ordered", "total_cost", "avg_lead_time"),
         period_days,
     ).orderBy("product_name")
 

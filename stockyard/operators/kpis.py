@@ -10,6 +10,7 @@ from __future__ import annotations
 from typing import TYPE_CHECKING
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -67,30 +68,23 @@ def _long(one_row: DataFrame, metrics: Sequence[str]) -> DataFrame:
 
 def kpi_metrics(star: StarSchema) -> DataFrame:
     """All executive metrics in long form (metric, value)."""
-    fact = star.fact_orders
-    f = total(partial_measures(fact, [])).select(
-        F.col("n_rows").alias("total_orders"),
+    # One scan of the fact: measures per product (rows without one included) give the totals and the
+    # products short of stock.
+    short = F.count_if(avg_of("stock") < CRITICAL_STOCK_BELOW).alias("critical_stock_items")
+    f = total(partial_measures(star.fact_orders, ["product_id"]), [short]).select(
+        F.coalesce("n_rows", F.lit(0)).alias("total_orders"),
         revenue(0).alias("total_revenue"),
         sql_round(avg_cost(), 0).alias("avg_order_value"),
         on_time_pct(1).alias("on_time_rate_pct"),
         sql_round(avg_of("lead"), 1).alias("avg_lead_time_days"),
         sql_round(avg_of("delay"), 2).alias("avg_delay_days"),
         F.col("sum_delayed").alias("total_delayed_orders"),
-    )
-    critical = (
-        fact.groupBy("product_id")
-        .agg(F.avg("warehouse_stock").alias("_s"))
-        .where(F.col("_s") < CRITICAL_STOCK_BELOW)
-        .agg(F.count(F.lit(1)).alias("critical_stock_items"))
+        "critical_stock_items",
     )
     risky = star.dim_supplier.where(F.col("reliability") == HIGH_RISK_RELIABILITY).agg(
         F.count(F.lit(1)).alias("high_risk_suppliers")
     )
-    return (
-        _long(f, EXECUTIVE_METRICS[:7])
-        .unionByName(_long(risky, ["high_risk_suppliers"]))
-        .unionByName(_long(critical, ["critical_stock_items"]))
-    )
+    return _long(f, [*EXECUTIVE_METRICS[:7], "critical_stock_items"]).unionByName(_long(risky, ["high_risk_suppliers"]))
 
 
 def executive_kpis(star: StarSchema) -> DataFrame:
@@ -177,27 +171,33 @@ def kpi_monthly_trend(star: StarSchema) -> DataFrame:
     ).orderBy("year", "month")
 
 
-def kpi_sliced(star: StarSchema, years: Sequence[int] | None = None, categories: Sequence[str] | None = None) -> DataFrame:
-    """Dashboard cards for every (year, category) slice, optionally restricted.
+def sliced(star: StarSchema, years: Sequence[int] | None = None, categories: Sequence[str] | None = None) -> StarSchema:
+    """The star schema with its fact restricted to years and categories: the slicers of every report.
 
-    A year slicer becomes date-key ranges on the fact scan (pushed to Parquet
-    row-group statistics; the fact is written sorted by date key); the
-    category slicer applies to the small aggregate after the fact has been
-    reduced by (date_id, product_id)."""
+    Years become date-key ranges on the fact scan (pushed to Parquet row-group
+    statistics; the fact is written sorted by date key).  Categories keep the
+    fact rows of their products, a semi-join with a size-checked dimension."""
     fact = star.fact_orders
     if years is not None:
-        ranges = [(F.col("date_id") >= y * 10000) & (F.col("date_id") < (y + 1) * 10000) for y in years]
         cond = F.lit(False)
-        for r in ranges:
-            cond = cond | r
+        for y in years:
+            cond = cond | ((F.col("date_id") >= y * 10000) & (F.col("date_id") < (y + 1) * 10000))
         fact = fact.where(cond)
-    parts = partial_measures(fact, ["date_id", "product_id"])
-    joined = lookup_join(parts, star.dim_date.select("date_id", "year"), "date_id", "inner", star.dim_rows("dim_date"))
+    if categories is not None:
+        wanted = star.dim_product.where(F.col("category").isin(list(categories))).select("product_id")
+        fact = lookup_join(fact, wanted, "product_id", "left_semi", star.dim_rows("dim_product"))
+    return replace(star, fact_orders=fact)
+
+
+def kpi_sliced(star: StarSchema, years: Sequence[int] | None = None, categories: Sequence[str] | None = None) -> DataFrame:
+    """Dashboard cards for every (year, category) slice, optionally restricted.
+
+    The fact is reduced by (year of the date key, product) before its join."""
+    year = F.floor(F.col("date_id") / 10000).cast("int").alias("year")
+    parts = partial_measures(sliced(star, years).fact_orders.where(F.col("date_id").isNotNull()), [year, "product_id"])
     joined = lookup_join(
-        joined, star.dim_product.select("product_id", "category"), "product_id", "inner", star.dim_rows("dim_product")
+        parts, star.dim_product.select("product_id", "category"), "product_id", "inner", star.dim_rows("dim_product")
     )
-    if years is not None:
-        joined = joined.where(F.col("year").isin(list(years)))
     if categories is not None:
         joined = joined.where(F.col("category").isin(list(categories)))
     return rollup(joined, ["year", "category"]).select(

@@ -59,9 +59,9 @@ def rollup(parts: DataFrame, keys: Sequence[str | Column]) -> DataFrame:
     return parts.groupBy(*keys).agg(*[_COMBINE[how](name).alias(name) for name, _, how in _parts()])
 
 
-def total(parts: DataFrame) -> DataFrame:
-    """Global roll-up of partial measures (one row)."""
-    return rollup(parts, [])
+def total(parts: DataFrame, more: Sequence[Column] = ()) -> DataFrame:
+    """Global roll-up of partial measures (one row), with ``more`` aggregates beside them."""
+    return parts.agg(*[_COMBINE[how](name).alias(name) for name, _, how in _parts()], *more)
 
 
 def avg_of(measure: str) -> Column:
@@ -84,11 +84,6 @@ def revenue(n: int = 0) -> Column:
     return round_amount(F.col("cost_c"), n)
 
 
-def revenue_exact() -> Column:
-    """``SUM(total_cost)`` as double, exact then rounded once."""
-    return amount(F.col("cost_c"))
-
-
 def avg_cost() -> Column:
     """``AVG(total_cost)`` from exact cents."""
     return amount(F.col("cost_c")) / F.col("n_cost").cast("double")

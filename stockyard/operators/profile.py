@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.numeric import cents, round_amount, sql_round
+from ..functions.numeric import cents, sql_round
 from .quantiles import exact_quantiles
 
 # Numeric columns of the raw feed; money columns carry two decimals.
@@ -30,7 +30,7 @@ def feed_summary(raw_orders: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("total_orders"),
         F.lit(len(raw_orders.columns)).cast("long").alias("n_columns"),
         F.lit(",".join(raw_orders.columns)).alias("column_list"),
-        round_amount(F.sum(F.col("quantity_ordered").cast("long") * cents(F.col("unit_cost"))), 0).alias("total_value"),
+        F.round(F.sum(F.col("total_cost").cast("decimal(28,6)")), 0).cast("double").alias("total_value"),
         F.sum(delayed).alias("delayed_orders"),
         sql_round(F.avg(delayed) * 100, 1).alias("delayed_pct"),
         F.min("order_date").alias("first_order_date"),
@@ -48,12 +48,10 @@ def profile_orders(
     One aggregate over the feed computes the moments and extremes of every
     column (the wide row is then turned into one row per column); quartiles
     come from the distributed exact quantile, joined on the column name (one
-    row per column on each side)."""
+    row per column on each side).  A column of nulls only has count 0 and null
+    statistics.  Money is taken to whole cents."""
     ints = {c: F.col(c).cast("long") for c in int_columns}
-    money = {
-        c: (F.col("quantity_ordered").cast("long") * cents(F.col("unit_cost"))) if c == "total_cost" else cents(F.col(c))
-        for c in money_columns
-    }
+    money = {c: cents(F.col(c)) for c in money_columns}
     scaled = {**ints, **money}
     aggs = []
     for i, v in enumerate(scaled.values()):
@@ -84,7 +82,7 @@ def profile_orders(
         )
     moments = wide.select(F.inline(F.array(*rows)))
     quart = exact_quantiles(raw_orders, scaled, QUANTILES)
-    return moments.join(F.broadcast(quart), "column_name").select(
+    return moments.join(F.broadcast(quart), "column_name", "left").select(
         "column_name",
         "count",
         "mean",

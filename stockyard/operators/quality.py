@@ -40,27 +40,33 @@ NOT_NULL = {
 }
 
 
-def _one(df: DataFrame, label: str, value, order: int) -> DataFrame:
-    return df.select(F.lit(order).alias("_o"), F.lit(label).alias("check"), value.cast("double").alias("value"))
+def _rows(df: DataFrame, checks: list) -> DataFrame:
+    """One-row ``df`` as one (_o, check, value) row for each (order, label, value)."""
+    rows = [F.struct(F.lit(o).alias("_o"), F.lit(label).alias("check"), v.cast("double").alias("value")) for o, label, v in checks]
+    return df.select(F.inline(F.array(*rows)))
 
 
 def validate_schema(star: StarSchema) -> DataFrame:
-    """Seven (check, value) rows: counts, delay %, lead time, revenue, null product ids."""
-    f = total(partial_measures(star.fact_orders, []))
-    nulls = star.fact_orders.agg(F.count_if(F.col("product_id").isNull()).alias("n"))
-    parts = [
-        _one(f, "Total orders", F.col("n_rows"), 1),
-        _one(star.dim_product.agg(F.count(F.lit(1)).alias("n")), "Unique products", F.col("n"), 2),
-        _one(star.dim_supplier.agg(F.count(F.lit(1)).alias("n")), "Unique suppliers", F.col("n"), 3),
-        _one(f, "Delayed order %", sql_round(avg_of("delayed") * 100, 1), 4),
-        _one(f, "Avg lead time (days)", sql_round(avg_of("lead"), 1), 5),
-        _one(f, "Total revenue", revenue(0), 6),
-        _one(nulls, "Null product_ids", F.col("n"), 7),
-    ]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.orderBy("_o").drop("_o")
+    """Seven (check, value) rows: counts, delay %, lead time, revenue, null product ids.
+
+    One scan of the fact: it is grouped by whether a row has a product, and the
+    two rows that gives are rolled up."""
+    parts = partial_measures(star.fact_orders, [F.col("product_id").isNull().alias("no_product")])
+    nulls = F.coalesce(F.sum(F.when(F.col("no_product"), F.col("n_rows"))), F.lit(0)).alias("nulls")
+    facts = _rows(
+        total(parts, [nulls]),
+        [
+            (1, "Total orders", F.coalesce("n_rows", F.lit(0))),
+            (4, "Delayed order %", sql_round(avg_of("delayed") * 100, 1)),
+            (5, "Avg lead time (days)", sql_round(avg_of("lead"), 1)),
+            (6, "Total revenue", revenue(0)),
+            (7, "Null product_ids", F.col("nulls")),
+        ],
+    )
+    count = F.count(F.lit(1)).alias("n")
+    products = _rows(star.dim_product.agg(count), [(2, "Unique products", F.col("n"))])
+    suppliers = _rows(star.dim_supplier.agg(count), [(3, "Unique suppliers", F.col("n"))])
+    return facts.unionByName(products).unionByName(suppliers).orderBy("_o").drop("_o")
 
 
 def fact_null_cells(star: StarSchema) -> DataFrame:

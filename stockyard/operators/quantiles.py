@@ -14,9 +14,8 @@ value domain.  Here the work is distributed:
    (``floor``/``ceil`` of ``(n - 1) * p``) and interpolate.
 
 When the distinct (column, value) pairs are few (counted, at most
-``small_pairs``), Spark's exact ``percentile`` with the counts as
-frequencies does it in one aggregation: its buffer then holds at most that
-many values.
+``small_pairs``), one running sum per column gives the first ranks instead of
+steps 2 and 3; picking and interpolating are the same for both.
 """
 
 from __future__ import annotations
@@ -26,7 +25,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..plans.joins import bounded_rows
 from ..session import shared_dir
 
 _ROW_BITS = 33
@@ -45,10 +43,22 @@ def exact_quantiles(
     pairs = F.array(*[F.struct(F.lit(n).alias("column_name"), c.cast("long").alias("v")) for n, c in columns.items()])
     long = df.select(F.inline(pairs)).where(F.col("v").isNotNull())
     counts = long.groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("c")).checkpoint(eager=True)
-    if bounded_rows(counts, small_pairs) is not None:
-        q = counts.groupBy("column_name").agg(F.percentile("v", probs, F.col("c")).alias("_q"))
-        return q.select("column_name", *[F.col("_q")[i].alias(f"q{i}") for i in range(len(probs))])
-
+    if counts.count() <= small_pairs:
+        by_value = Window.partitionBy("column_name").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
+        ranked = counts.select(
+            "column_name",
+            "v",
+            "c",
+            F.coalesce(F.sum("c").over(by_value), F.lit(0)).alias("_start"),
+            F.sum("c").over(Window.partitionBy("column_name")).alias("_n"),
+        )
+    else:
+        ranked = _ranked_by_partition(counts)
+    return _interpolate(ranked, probs)
+
+
+def _ranked_by_partition(counts: DataFrame) -> DataFrame:
+    """(column_name, v, c, _start, _n): first rank of every value and its column's row count."""
     tagged = (
         counts.repartitionByRange("column_name", "v")
         .sortWithinPartitions("column_name", "v")
@@ -65,12 +75,16 @@ def exact_quantiles(
         F.sum("_pc").over(Window.partitionBy("column_name")).alias("_n"),
     )
     inside = Window.partitionBy(part, "column_name").orderBy("_tag").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = (
+    return (
         tagged.withColumn("_before", F.coalesce(F.sum("c").over(inside), F.lit(0)))
         .join(F.broadcast(offsets), (part == F.col("_part")) & (F.col("column_name") == F.col("_cn")))
         .withColumn("_start", F.col("_off") + F.col("_before"))
     )
 
+
+def _interpolate(ranked: DataFrame, probs: Sequence[float]) -> DataFrame:
+    """The values at the target ranks, joined by straight lines."""
+
     def pos(p: float) -> Column:
         return (F.col("_n") - 1).cast("double") * F.lit(float(p))
 

@@ -49,14 +49,16 @@ def score_suppliers(
     """Add delay / lead-time / variance scores, the weighted risk score and its label.
 
     Derived from the already-rounded aggregates.  "Variance" is the lead-time
-    range over its mean (null when the mean is 0)."""
+    range over its mean: without bound, so 100, when only the mean is 0, and null
+    when both are."""
+    spread = F.col("max_lead_time") - F.col("min_lead_time")
     bench = F.lit(float(benchmark_lead_time))
     scored = base.withColumns(
         {
             "delay_score": clip(F.col("delay_rate_pct") / 100 * 100, 0, 100),
             "lead_time_score": clip((F.col("avg_lead_time") - bench) / bench * 100, 0, 100),
-            "variance_score": clip(
-                safe_div(F.col("max_lead_time") - F.col("min_lead_time"), F.col("avg_lead_time")) * 100, 0, 100
+            "variance_score": F.when((F.col("avg_lead_time") == 0) & (spread > 0), F.lit(100.0)).otherwise(
+                clip(safe_div(spread, F.col("avg_lead_time")) * 100, 0, 100)
             ),
         }
     )

@@ -24,15 +24,16 @@ SLA_TARGET = 80
 def month_category_aggregates(star: StarSchema) -> DataFrame:
     """Fact measures per (year, month, month_name, quarter, category).
 
-    The fact is aggregated by (date_id, product_id) first; both dimension
-    joins then touch at most days x products rows.
+    The fact is aggregated by (month of the date key, product_id) first and rolled
+    up to categories; the month's names join that small result.
     """
-    parts = partial_measures(star.fact_orders, ["date_id", "product_id"])
-    dates = star.dim_date.select("date_id", "year", "month", "month_name", "quarter")
+    month_key = F.floor(F.col("date_id") / 100).cast("int").alias("month_key")
+    parts = partial_measures(star.fact_orders, [month_key, "product_id"])
     products = star.dim_product.select("product_id", "category")
-    joined = lookup_join(parts, dates, "date_id", "inner", star.dim_rows("dim_date"))
-    joined = lookup_join(joined, products, "product_id", "inner", star.dim_rows("dim_product"))
-    return rollup(joined, ["year", "month", "month_name", "quarter", "category"])
+    joined = lookup_join(parts, products, "product_id", "inner", star.dim_rows("dim_product"))
+    rolled = rollup(joined, ["month_key", "category"])
+    months = star.dim_date.select(month_key, "year", "month", "month_name", "quarter").distinct()
+    return lookup_join(rolled, months, "month_key", "inner", star.dim_rows("dim_date")).drop("month_key")
 
 
 def cost_variance_base(star: StarSchema) -> DataFrame:
@@ -76,8 +77,12 @@ def cost_variance_rows(star: StarSchema) -> DataFrame:
 
 
 def monthly_category_spend(star: StarSchema, categories: Sequence[str]) -> DataFrame:
-    """Planned spend by calendar month (years merged) with one column per category, 0 if none."""
-    cv = cost_variance_rows(star)
+    """Planned spend by calendar month (years merged) with one column per category, 0 if none.
+
+    A category that is not listed fails the query: its spend would have no column."""
+    listed = F.col("category").isin(list(categories))
+    unlisted = F.raise_error(F.concat(F.lit("category without a column: "), F.col("category"))).cast("string")
+    cv = cost_variance_rows(star).withColumn("category", F.when(listed, F.col("category")).otherwise(unlisted))
     wide = cv.groupBy("month").pivot("category", list(categories)).agg(F.sum("planned_spend"))
     return wide.na.fill(0.0, subset=list(categories)).orderBy("month")
 

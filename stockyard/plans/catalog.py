@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import forecast as fc
-from ..operators import inventory, kpis, mart, profile, quality, risk, staging, variance
+from ..operators import clean, inventory, kpis, mart, profile, quality, risk, staging, variance
 from ..schemas import RAW_ORDERS, column_names
 from ..sources import adapter
 from .warehouse import StarSchema, warehouse
@@ -27,6 +27,15 @@ def raw_feed(star: StarSchema) -> DataFrame:
     return star.raw_orders.select(*column_names(RAW_ORDERS))
 
 
+def text_feed(star: StarSchema) -> DataFrame:
+    """The feed read back from text cells."""
+    return clean.typed_feed(adapter.text_feed(star.raw_orders))
+
+
+# The slice that the filtered dashboard keys show.
+SLICE = {"years": [1996, 1997], "categories": ["Hardware", "Other"]}
+
+
 def _q(name: str, fn: Callable[[StarSchema], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         return fn(warehouse(spark, sf_dir))
@@ -43,6 +52,11 @@ _STAR_QUERIES: dict[str, Callable[[StarSchema], DataFrame]] = {
     "profile_orders": lambda s: profile.profile_orders(raw_feed(s)),
     "feed_summary": lambda s: profile.feed_summary(raw_feed(s)),
     "inventory_snapshot": lambda s: inventory.inventory_snapshot(raw_feed(s)),
+    # the same feed as text cells with planted faults
+    "text_bad_cells": lambda s: clean.bad_cells(adapter.text_feed(s.raw_orders)),
+    "text_feed_summary": lambda s: profile.feed_summary(text_feed(s)),
+    "text_profile_orders": lambda s: profile.profile_orders(text_feed(s)),
+    "text_inventory_snapshot": lambda s: inventory.inventory_snapshot(text_feed(s)),
     # star schema
     "dim_date": lambda s: s.dim_date,
     "dim_product": lambda s: s.dim_product,
@@ -96,6 +110,12 @@ _STAR_QUERIES: dict[str, Callable[[StarSchema], DataFrame]] = {
     "sql_top_products_orders": staging.sql_top_products_orders,
     # dashboard data sets
     "kpi_sliced": kpis.kpi_sliced,
+    "sliced_cards": lambda s: kpis.kpi_sliced(s, **SLICE),
+    "sliced_by_region": lambda s: kpis.kpi_by_region(kpis.sliced(s, **SLICE)),
+    "sliced_by_product": lambda s: kpis.kpi_by_product(kpis.sliced(s, **SLICE)),
+    "sliced_monthly_trend": lambda s: kpis.kpi_monthly_trend(kpis.sliced(s, **SLICE)),
+    "sliced_supplier_leaderboard": lambda s: staging.sql_supplier_leaderboard(kpis.sliced(s, **SLICE)),
+    "sliced_stock_alert": lambda s: staging.stg_stock_alert(kpis.sliced(s, **SLICE)),
     "revenue_concentration": kpis.revenue_concentration,
     "delay_per_affected": kpis.delay_per_affected,
     "kpi_targets": lambda s: kpis.kpi_targets(

@@ -14,8 +14,8 @@ from ..session import broadcast_max_rows
 
 
 def bounded_rows(df: DataFrame, max_rows: int) -> int | None:
-    """Row count if it is at most ``max_rows``, else None (reads at most max+1 rows)."""
-    n = df.limit(max_rows + 1).count()
+    """Row count if it is at most ``max_rows``, else None.  One distributed count."""
+    n = df.count()
     return n if n <= max_rows else None
 
 
@@ -23,7 +23,7 @@ def checked_broadcast(df: DataFrame, known_rows: int | None = None) -> DataFrame
     """``F.broadcast(df)`` if its size is proven small, else ``df`` unchanged.
 
     ``known_rows`` is the count recorded when the table was materialised; when
-    it is missing the side is counted here, stopping after ``maxRows + 1``.
+    it is missing the side is counted here.
     """
     limit = broadcast_max_rows(df.sparkSession)
     rows = known_rows if known_rows is not None else bounded_rows(df, limit)

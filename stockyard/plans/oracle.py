@@ -68,13 +68,13 @@ WITH feed AS (
     CAST((l.l_orderkey*11) % 100 + (ascii(p.p_name)*37 + ascii(split_part(p.p_name, ' ', 2))*53 + length(p.p_name)*11) % 700 AS INTEGER) AS warehouse_stock,
     CAST(CASE WHEN (l.l_orderkey*31 + l.l_linenumber*17) % 100 >= 95 - (l.l_suppkey%3)*15
               THEN 1 + (l.l_orderkey + l.l_partkey) % 14 ELSE 0 END AS INTEGER) AS delay_days,
-    l.l_partkey AS k_part, l.l_suppkey AS k_supp, l.l_quantity AS k_qty, l.l_extendedprice AS k_price, l.l_shipdate AS k_ship
+    l.l_orderkey AS k_order, l.l_partkey AS k_part, l.l_suppkey AS k_supp, l.l_quantity AS k_qty, l.l_extendedprice AS k_price, l.l_shipdate AS k_ship
   FROM lineitem l
-  JOIN orders o ON l.l_orderkey = o.o_orderkey
-  JOIN part p ON l.l_partkey = p.p_partkey
-  JOIN supplier s ON l.l_suppkey = s.s_suppkey
-  JOIN nation n ON s.s_nationkey = n.n_nationkey
-  JOIN region r ON n.n_regionkey = r.r_regionkey
+  LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
+  LEFT JOIN part p ON l.l_partkey = p.p_partkey
+  LEFT JOIN supplier s ON l.l_suppkey = s.s_suppkey
+  LEFT JOIN nation n ON s.s_nationkey = n.n_nationkey
+  LEFT JOIN region r ON n.n_regionkey = r.r_regionkey
 ),
 raw_orders AS (
   SELECT order_id, order_date, product_name, supplier_name, region, quantity_ordered, unit_cost,
@@ -82,7 +82,7 @@ raw_orders AS (
          quantity_ordered * unit_cost AS total_cost,
          lead_time_days + delay_days AS actual_delivery_days,
          delay_days > 0 AS is_delayed,
-         k_part, k_supp, k_qty, k_price, k_ship
+         k_order, k_part, k_supp, k_qty, k_price, k_ship
   FROM feed
 ),
 firsts AS (
@@ -147,6 +147,18 @@ fact_orders AS (
 )
 """
 
+# The feed as typed again from text cells with planted faults.
+TEXT_FEED = """
+, text_orders AS (
+  SELECT order_id, order_date, CASE WHEN k_order % 97 <> 3 THEN product_name END AS product_name, supplier_name, region,
+         CASE WHEN k_order % 50 <> 7 THEN quantity_ordered END AS quantity_ordered, k_order % 50 = 7 AS quantity_bad,
+         unit_cost, lead_time_days, warehouse_stock, delay_days,
+         round_even(total_cost * 100, 0) / 100 + CASE WHEN k_order % 31 = 4 THEN 1 ELSE 0 END AS total_cost,
+         CAST(NULL AS INTEGER) AS actual_delivery_days, is_delayed
+  FROM raw_orders
+)
+"""
+
 RAW_COLS = (
     "order_id, order_date, product_name, supplier_name, region, quantity_ordered, unit_cost, "
     "lead_time_days, warehouse_stock, delay_days, total_cost, actual_delivery_days, is_delayed"
@@ -170,7 +182,8 @@ supplier_scored AS (
   SELECT *,
          {clip('delay_rate_pct / 100 * 100', 0, 100)} AS delay_score,
          {clip('(avg_lead_time - 15.0::DOUBLE) / 15.0::DOUBLE * 100', 0, 100)} AS lead_time_score,
-         {clip('(max_lead_time - min_lead_time) / NULLIF(avg_lead_time, 0) * 100', 0, 100)} AS variance_score
+         CASE WHEN avg_lead_time = 0 AND max_lead_time > min_lead_time THEN 100.0::DOUBLE ELSE
+         {clip('(max_lead_time - min_lead_time) / NULLIF(avg_lead_time, 0) * 100', 0, 100)} END AS variance_score
   FROM supplier_base
 ),
 supplier_risk AS (
@@ -410,6 +423,25 @@ FROM (
          AVG(lead_time_days) AS avg_lead_time,
          {pround('AVG(lead_time_days) * (SUM(quantity_ordered) / 730)', 0)} AS reorder_point
   FROM raw_orders GROUP BY product_name)"""
+    text = PREFIX + TEXT_FEED
+    cells = (
+        "order_date", "quantity_ordered", "unit_cost", "lead_time_days", "warehouse_stock", "delay_days", "total_cost",
+        "actual_delivery_days", "is_delayed",
+    )
+    q["text_bad_cells"] = text + " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, COUNT(*) FILTER (WHERE {'quantity_bad' if c == 'quantity_ordered' else 'false'}) AS bad_cells FROM text_orders"
+        for c in cells
+    )
+    typed = lambda sql: text + sql.removeprefix(PREFIX).replace("raw_orders", "text_orders")
+    q["text_profile_orders"] = typed(q["profile_orders"]).replace(
+        "CAST(quantity_ordered AS BIGINT) * CAST(round_even(unit_cost * 100.0::DOUBLE, 0) AS BIGINT)",
+        "CAST(round_even(total_cost * 100.0::DOUBLE, 0) AS BIGINT)",
+    )
+    value = "CAST(quantity_ordered AS DECIMAL(18,0)) * CAST(unit_cost AS DECIMAL(18,2))"
+    q["text_feed_summary"] = typed(q["feed_summary"]).replace(value, "CAST(total_cost AS DECIMAL(18,2))")
+    q["text_inventory_snapshot"] = typed(q["inventory_snapshot"]).replace(value, "CAST(total_cost AS DECIMAL(18,2))").replace(
+        "FROM text_orders GROUP BY", "FROM text_orders WHERE product_name IS NOT NULL GROUP BY"
+    )
     for t in ("dim_date", "dim_product", "dim_supplier", "dim_region", "fact_orders"):
         q[t] = PREFIX + f"SELECT * FROM {t}"
     q["export_mart"] = PREFIX + """
@@ -609,6 +641,21 @@ SELECT d.year, p.category, {money('f.total_cost')} AS total_revenue,
        COUNT(f.order_id) AS total_orders, {sround('AVG(f.lead_time_days)', 1)} AS avg_lead_time
 FROM fact_orders f JOIN dim_date d ON f.date_id = d.date_id JOIN dim_product p ON f.product_id = p.product_id
 GROUP BY d.year, p.category ORDER BY d.year, p.category"""
+    keep = (
+        ", shown AS (SELECT f.* FROM fact_orders f JOIN dim_product p ON f.product_id = p.product_id "
+        "WHERE f.date_id // 10000 IN (1996, 1997) AND p.category IN ('Hardware', 'Other'))\n"
+    )
+    for name, source in (
+        ("sliced_cards", "kpi_sliced"),
+        ("sliced_by_region", "kpi_by_region"),
+        ("sliced_by_product", "kpi_by_product"),
+        ("sliced_monthly_trend", "kpi_monthly_trend"),
+        ("sliced_supplier_leaderboard", "sql_supplier_leaderboard"),
+        ("sliced_stock_alert", "stg_stock_alert"),
+    ):
+        report = q[source].removeprefix(PREFIX)
+        assert "fact_orders f" in report
+        q[name] = PREFIX + keep + report.replace("fact_orders f", "shown f")
     q["revenue_concentration"] = PREFIX + f"""
 , per AS (
   SELECT p.product_name, SUM(CAST(f.total_cost AS DECIMAL(18,2))) AS rev

@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import forecast as fc
 from ..operators import inventory, kpis, mart, risk, variance
-from ..sources.files import EXPORT_TABLES, read_raw_orders_csv, write_csv
+from ..schemas import RAW_ORDERS, column_names
+from ..sources.files import EXPORT_TABLES, read_raw_orders_csv, write_csv, write_table
 from .warehouse import StarSchema, build_warehouse
 
 
@@ -35,20 +36,25 @@ def outputs(star: StarSchema) -> dict[str, DataFrame]:
 
 
 def write_outputs(star: StarSchema, root: str, parallel_jobs: int = 4) -> dict[str, str]:
-    """Write each analytics table as one CSV (they are small aggregates) plus the
-    BI exports (five tables as CSV, dimensions as one file each, and the
-    flattened mart).  The writes are independent Spark jobs and are submitted
-    from ``parallel_jobs`` threads."""
-    tasks: dict[str, tuple[DataFrame, str, bool]] = {
-        name: (df, f"{root}/outputs/{name}", True) for name, df in outputs(star).items()
+    """Write each analytics table as CSV, the inventory snapshot of the feed as CSV and
+    as table ``raw_inventory``, and the BI exports (five tables and the
+    flattened mart as CSV).  Outputs and dimensions of at most
+    ``SINGLE_FILE_ROWS`` rows are one file each.  The writes are independent
+    Spark jobs and are submitted from ``parallel_jobs`` threads."""
+    tasks: dict[str, tuple[DataFrame, str, bool, int | None]] = {
+        name: (df, f"{root}/outputs/{name}", True, None) for name, df in outputs(star).items()
     }
     for name in EXPORT_TABLES:
-        tasks[f"bi_{name}"] = (star.table(name), f"{root}/bi/{name}", name.startswith("dim_"))
-    tasks["bi_mart"] = (mart.export_mart(star), f"{root}/bi/mart", False)
-
-    def run(item: tuple[str, tuple[DataFrame, str, bool]]) -> tuple[str, str]:
-        name, (df, path, single) = item
-        return name, write_csv(df, path, single_file=single)
+        tasks[f"bi_{name}"] = (star.table(name), f"{root}/bi/{name}", name.startswith("dim_"), star.dim_rows(name))
+    tasks["bi_mart"] = (mart.export_mart(star), f"{root}/bi/mart", False, None)
+    if star.raw_orders is not None:
+        snapshot = inventory.inventory_snapshot(star.raw_orders.select(*column_names(RAW_ORDERS)))
+        snapshot = write_table(snapshot, f"{root}/tables/raw_inventory")
+        tasks["inventory"] = (snapshot.orderBy("product_name"), f"{root}/raw/inventory", True, None)
+
+    def run(item: tuple[str, tuple[DataFrame, str, bool, int | None]]) -> tuple[str, str]:
+        name, (df, path, single, rows) = item
+        return name, write_csv(df, path, single_file=single, rows=rows)
 
     with ThreadPoolExecutor(max_workers=parallel_jobs) as pool:
         return dict(pool.map(run, tasks.items()))

@@ -17,6 +17,7 @@ from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from ..operators.clean import clean_orders
@@ -176,7 +177,7 @@ def build_warehouse(
         buckets = int(spark.conf.get(RAW_BUCKETS_CONF, spark.conf.get("spark.sql.shuffle.partitions")))
         try:
             raw_t = _write_bucketed(raw, f"{root}/raw_orders", colocate_by[0], buckets)
-        except Exception as err:  # no writable catalog: same result, one more shuffle
+        except AnalysisException as err:  # the catalog takes no table here: same result, one more shuffle
             log.warning("bucketed raw layer unavailable (%s); de-duplicating with a shuffle", err)
             colocate_by = ()
     if raw_t is None:

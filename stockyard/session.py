@@ -86,8 +86,9 @@ def shared_dir(spark: SparkSession) -> str:
     """The cluster-shared folder for checkpoints and materialised tables.
 
     Read from the session (``spark.checkpoint.dir`` / the context's checkpoint
-    dir).  If neither is set we are in a test or on one machine: create a
-    private temporary folder and register it as the checkpoint dir.
+    dir).  If neither is set on a local master (a test, a laptop) a private
+    temporary folder becomes the checkpoint dir; on a cluster every executor
+    would write to its own disk, so that is refused.
     """
     sc = spark_context(spark)
     conf = spark.conf.get("spark.checkpoint.dir", None)
@@ -96,6 +97,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not conf and not sc.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     if not conf:
         conf = tempfile.mkdtemp(prefix="stockyard-ckpt-")
     sc.setCheckpointDir(conf)

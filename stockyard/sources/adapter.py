@@ -20,17 +20,13 @@ from pyspark.sql import functions as F
 
 from ..operators.clean import enrich_orders
 from ..plans.joins import checked_broadcast
+from ..schemas import RAW_ORDERS, column_names
 from .tables import read_table
 
 # Tie-break columns that make "first copy of an order_id" deterministic:
 # earliest order date, then the line's part, supplier, quantity, price and
 # ship date (free of ties at every supplied scale factor).
 FIRST_BY = ["order_date", "_partkey", "_suppkey", "_quantity", "_extendedprice", "_shipdate"]
-# order_id determines the order key.  Grouping by both lets de-duplication
-# read a raw layer bucketed by order key without a shuffle (opt-in, see
-# ``build_warehouse``); the default keeps the skew-safe shuffled aggregate.
-COLOCATE_BY = ["_orderkey"]
-
 # Lookup maps for this data set.  Category by the noun of the
 # part name (gizmo deliberately unmapped -> 'Other'); zone by region name
 # (Middle East deliberately unmapped -> null).
@@ -70,13 +66,14 @@ def raw_orders_from_tables(spark: SparkSession, base_dir: str) -> DataFrame:
     nation = read_table(spark, base_dir, "nation", ["n_nationkey", "n_regionkey"])
     region = read_table(spark, base_dir, "region", ["r_regionkey", "r_name"])
 
-    geo = nation.join(checked_broadcast(region), nation.n_regionkey == region.r_regionkey).select(
+    geo = nation.join(checked_broadcast(region), nation.n_regionkey == region.r_regionkey, "left").select(
         "n_nationkey", "r_name"
     )
-    sup = sp.join(checked_broadcast(geo), sp.s_nationkey == geo.n_nationkey).select("s_suppkey", "s_name", "r_name")
+    sup = sp.join(checked_broadcast(geo), sp.s_nationkey == geo.n_nationkey, "left").select("s_suppkey", "s_name", "r_name")
 
-    lines = li.join(pt, li.l_partkey == pt.p_partkey).join(sup, li.l_suppkey == sup.s_suppkey)
-    j = lines.join(od, F.col("l_orderkey") == od.o_orderkey)
+    # Left joins: a line whose part, supplier or order is missing stays, with nulls that the checks report.
+    lines = li.join(pt, li.l_partkey == pt.p_partkey, "left").join(sup, li.l_suppkey == sup.s_suppkey, "left")
+    j = lines.join(od, F.col("l_orderkey") == od.o_orderkey, "left")
 
     ok, ln, pk, sk = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")
     pname = F.col("p_name")
@@ -108,3 +105,20 @@ def raw_orders_from_tables(spark: SparkSession, base_dir: str) -> DataFrame:
         F.col("l_shipdate").alias("_shipdate"),
     )
     return enrich_orders(raw)
+
+
+def text_feed(raw: DataFrame) -> DataFrame:
+    """The feed as a CSV holds it: text cells, some with faults planted by order key.
+
+    Quantities written as ``7.0`` or as no number, rows without a product, totals that
+    are not quantity x cost, and a column with no value at all."""
+    key = F.col("_orderkey")
+    text = {c: F.col(c).cast("string") for c in column_names(RAW_ORDERS)}
+    quantity = F.when(key % 50 == 7, F.lit("oops")).when(key % 50 == 8, F.concat(text["quantity_ordered"], F.lit(".0")))
+    text["quantity_ordered"] = quantity.otherwise(text["quantity_ordered"])
+    text["product_name"] = F.when(key % 97 != 3, F.col("product_name"))
+    cost = F.rint(F.col("total_cost") * 100).cast("long").cast("decimal(20,0)") / 100
+    text["total_cost"] = (cost + F.when(key % 31 == 4, F.lit(1)).otherwise(F.lit(0))).cast("decimal(18,2)").cast("string")
+    text["actual_delivery_days"] = F.lit(None).cast("string")
+    text["is_delayed"] = F.when(F.col("is_delayed"), F.lit("True")).otherwise(F.lit("False"))
+    return raw.select(*[c.alias(name) for name, c in text.items()])

@@ -13,26 +13,38 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..operators.clean import FILE_ORDER
+from ..operators.clean import FILE_ORDER, MALFORMED, typed_feed
 from ..schemas import RAW_CSV_SCHEMA, STAR_TABLES
 
+# Rows up to which an output is gathered in one file.
+SINGLE_FILE_ROWS = 1_000_000
 EXPORT_TABLES = ("fact_orders", "dim_product", "dim_supplier", "dim_region", "dim_date")
 
 
-def read_raw_orders_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Raw order feed from CSV with a header, every column as text.
+def read_raw_orders_text(spark: SparkSession, path: str) -> DataFrame:
+    """Raw order feed from CSV with a header, every cell as text.
 
     Adds ``_file_order`` = (file, block start, position inside the block) so
-    that "first copy in file order" survives Spark's file splitting; the
-    always-empty ``actual_delivery`` column is dropped.  Types are enforced by
-    ``clean_orders`` with ``try_cast``."""
-    df = spark.read.option("header", True).option("mode", "PERMISSIVE").schema(RAW_CSV_SCHEMA).csv(path)
+    that "first copy in file order" survives Spark's file splitting, and
+    ``_malformed``: the whole line where it has too few or too many cells.  The
+    always-empty ``actual_delivery`` column is dropped."""
+    schema = T.StructType([*RAW_CSV_SCHEMA.fields, T.StructField(MALFORMED, T.StringType())])
+    # Without pruning every line's cells are counted, whatever columns a query reads.
+    reader = spark.read.options(header=True, mode="PERMISSIVE", columnPruning=False, columnNameOfCorruptRecord=MALFORMED)
     order = F.struct(
         F.input_file_name().alias("file"),
         F.input_file_block_start().alias("block"),
         F.monotonically_increasing_id().alias("pos"),
     )
-    return df.drop("actual_delivery").withColumn(FILE_ORDER, order)
+    return reader.schema(schema).csv(path).drop("actual_delivery").withColumn(FILE_ORDER, order)
+
+
+def read_raw_orders_csv(spark: SparkSession, path: str) -> DataFrame:
+    """The CSV feed with the types of ``RAW_ORDERS`` (and ``_file_order``).
+
+    Cells that do not parse are null; ``operators.clean.bad_cells`` over
+    ``read_raw_orders_text`` counts them and the malformed lines."""
+    return typed_feed(read_raw_orders_text(spark, path)).drop(MALFORMED)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -40,8 +52,13 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     return spark.read.option("header", True).schema(schema).csv(path)
 
 
-def write_csv(df: DataFrame, path: str, single_file: bool = False) -> str:
-    """Write with a header, replacing what is there; returns the path."""
+def write_csv(df: DataFrame, path: str, single_file: bool = False, rows: int | None = None) -> str:
+    """Write with a header, replacing what is there; returns the path.
+
+    ``single_file`` gathers the rows in one part file, but only up to
+    ``SINGLE_FILE_ROWS`` (``rows`` if known, else counted): one task writes it."""
+    if single_file and (df.count() if rows is None else rows) > SINGLE_FILE_ROWS:
+        single_file = False
     out = df.coalesce(1) if single_file else df
     out.write.mode("overwrite").option("header", True).csv(path)
     return path
@@ -61,16 +78,6 @@ def load_star_schema(tables: Mapping[str, DataFrame], root: str) -> dict[str, Da
     return {name: write_table(tables[name], f"{root}/{name}") for name in STAR_TABLES}
 
 
-def export_for_bi(star, root: str, mart: DataFrame) -> dict[str, str]:
-    """CSV exports of the five tables plus the flattened mart.  Dimensions are
-    small and go to one file each; the fact and mart stay partitioned."""
-    paths = {}
-    for name in EXPORT_TABLES:
-        paths[name] = write_csv(star.table(name), f"{root}/{name}", single_file=name.startswith("dim_"))
-    paths["mart"] = write_csv(mart, f"{root}/mart")
-    return paths
-
-
 def _ddl_type(t: T.DataType) -> str:
     return t.simpleString().upper()
 

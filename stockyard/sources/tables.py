@@ -4,17 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-INPUT_TABLES = (
-    "region",
-    "nation",
-    "customer",
-    "supplier",
-    "part",
-    "orders",
-    "lineitem",
-)
-
-
 def table_path(base_dir: str, name: str) -> str:
     return f"{base_dir.rstrip('/')}/{name}.parquet"
 

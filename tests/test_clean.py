@@ -4,7 +4,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from stockyard.operators.clean import clean_orders, dedupe_first, enrich_orders, sort_orders
+from stockyard.functions.numeric import whole_number
+from stockyard.operators.clean import bad_cells, clean_orders, dedupe_first, enrich_orders, sort_orders
 from stockyard.schemas import RAW_ORDERS
 
 D = dt.date
@@ -56,7 +57,16 @@ def test_clean_casts_text_feed(spark):
     out = {r.order_id: r for r in clean_orders(spark.createDataFrame(rows, cols), first_by=["order_date"]).collect()}
     assert out["ORD-9"].order_date == D(2022, 3, 4) and out["ORD-9"].quantity_ordered == 12
     assert out["ORD-9"].is_delayed == 1 and out["ORD-9"].total_cost == 126.0
-    assert out["ORD-8"].quantity_ordered is None and out["ORD-8"].total_cost is None  # bad cell -> null, not a failure
+    assert out["ORD-8"].quantity_ordered is None and out["ORD-8"].total_cost is None  # bad cell -> null, and counted:
+    faults = {r.column_name: r.bad_cells for r in bad_cells(spark.createDataFrame(rows, cols)).collect()}
+    assert faults["quantity_ordered"] == 1 and sum(faults.values()) == 1
+
+
+def test_whole_numbers_of_cells(spark):
+    cells = [("7",), ("7.0",), ("7.9",), (" 8 ",), ("-3.5",), ("oops",), (None,), ("1e3",)]
+    got = [r[0] for r in spark.createDataFrame(cells, "c string").select(whole_number(F.col("c"))).collect()]
+    assert got == [7, 7, 7, 8, -3, None, None, 1000]
+    assert spark.sql("select 7.0D as c").select(whole_number(F.col("c"))).first()[0] == 7
 
 
 def test_dedupe_hot_key_is_exact(spark):

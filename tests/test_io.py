@@ -87,10 +87,11 @@ def test_build_from_csv_and_write_outputs(spark, tmp_dir):
 
 
 def test_bucketed_layer_falls_back_to_plain_parquet(spark, tmp_dir, monkeypatch):
+    from pyspark.errors import AnalysisException
     from stockyard.plans import warehouse as W
 
     def no_catalog(*a, **k):
-        raise RuntimeError("catalog is read-only")
+        raise AnalysisException("catalog is read-only")
 
     monkeypatch.setattr(W, "_write_bucketed", no_catalog)
     p = os.path.join(tmp_dir, "orders.csv")
