@@ -1,4 +1,4 @@
-"""stockyard: order and demand analytics as lazy Spark DataFrame operators.
+"""stockyard: order and demand analytics as Spark DataFrame operators.
 
 Entry points:
 

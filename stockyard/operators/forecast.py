@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import clip, pd_round
 from ..plans.joins import lookup_join
+from ..session import broadcast_max_rows
 from .measures import partial_measures
 
 if TYPE_CHECKING:
@@ -50,8 +51,10 @@ def daily_series(star: StarSchema, keys: Sequence[str] = ()) -> DataFrame:
     """(keys..., ds, y): units ordered per calendar day, optionally per series
     key (any attribute in ``SERIES_ATTRIBUTES``).
 
-    The fact is aggregated by date_id and the needed foreign keys before the
-    dimension joins.  Unordered: the forecasts impose their own order."""
+    Attributes of a dimension that is proven small enough to broadcast are
+    attached first, so the fact is aggregated by (day, attributes); a larger
+    dimension joins after the fact is aggregated by its foreign key.  Both give
+    the same series.  Unordered: the forecasts impose their own order."""
     keys = list(keys)
     unknown = [k for k in keys if k not in SERIES_ATTRIBUTES]
     if unknown:
@@ -60,10 +63,18 @@ def daily_series(star: StarSchema, keys: Sequence[str] = ()) -> DataFrame:
     for k in keys:
         fk, dim = SERIES_ATTRIBUTES[k]
         dims.setdefault(dim, (fk, []))[1].append(k)
-    fks = ["date_id"] + sorted({fk for fk, _ in dims.values()})
-    j = partial_measures(star.fact_orders, fks).select(*fks, "sum_qty")
-    j = lookup_join(j, star.dim_date.select("date_id", "full_date"), "date_id", "inner", star.dim_rows("dim_date"))
+    fact, group, late = star.fact_orders, ["date_id"], []
+    limit = broadcast_max_rows(fact.sparkSession)
     for dim, (fk, attrs) in dims.items():
+        if (star.dim_rows(dim) or limit + 1) <= limit:
+            fact = fact.join(F.broadcast(star.table(dim).select(fk, *attrs)), fk)
+            group += attrs
+        else:
+            group.append(fk)
+            late.append((dim, fk, attrs))
+    j = partial_measures(fact, group).select(*group, "sum_qty")
+    j = lookup_join(j, star.dim_date.select("date_id", "full_date"), "date_id", "inner", star.dim_rows("dim_date"))
+    for dim, fk, attrs in late:
         j = lookup_join(j, star.table(dim).select(fk, *attrs), fk, "inner", star.dim_rows(dim))
     return (
         j.groupBy(*keys, "full_date")

@@ -25,9 +25,9 @@ def _parts() -> list[tuple[str, Column, str]]:
         ("n_orders", F.count("order_id"), "sum"),
         ("n_rows", F.count(F.lit(1)), "sum"),
         ("sum_qty", F.sum("quantity_ordered"), "sum"),
-        ("cost_c", F.sum(cents(F.col("total_cost"))), "sum"),
+        ("cost_c", F.sum(cents(F.col("total_cost"))), "money"),
         ("n_cost", F.count("total_cost"), "sum"),
-        ("unit_c", F.sum(cents(F.col("unit_cost"))), "sum"),
+        ("unit_c", F.sum(cents(F.col("unit_cost"))), "money"),
         ("n_unit", F.count("unit_cost"), "sum"),
         ("sum_lead", F.sum("lead_time_days"), "sum"),
         ("n_lead", F.count("lead_time_days"), "sum"),
@@ -46,7 +46,8 @@ def _parts() -> list[tuple[str, Column, str]]:
     ]
 
 
-_COMBINE = {"sum": F.sum, "min": F.min, "max": F.max}
+# Money totals are rolled up as decimals: cents of a very large fact do not fit 64 bits.
+_COMBINE = {"sum": F.sum, "min": F.min, "max": F.max, "money": lambda c: F.sum(F.col(c).cast("decimal(38,0)"))}
 
 
 def partial_measures(fact: DataFrame, keys: Sequence[str | Column]) -> DataFrame:

@@ -211,7 +211,9 @@ def warehouse(spark: SparkSession, sf_dir: str) -> StarSchema:
 
 
 def forget(spark: SparkSession, sf_dir: str | None = None) -> None:
-    """Drop cached star schemas of this session (forces a rebuild)."""
+    """Drop cached star schemas of this session (forces a rebuild).
+
+    Their files stay until ``session.drop_scratch``."""
     app = session_key(spark)
     with _LOCK:
         for k in [k for k in _CACHE if k[0] == app and (sf_dir is None or k[1] == sf_dir.rstrip("/"))]:

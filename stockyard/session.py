@@ -106,9 +106,22 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, *parts: str) -> str:
-    """A fresh path below the shared folder (never reused between runs)."""
-    base = shared_dir(spark).rstrip("/")
-    return "/".join([base, "stockyard", *parts, uuid.uuid4().hex])
+    """A fresh path below this application's own folder in the shared folder."""
+    return "/".join([scratch_root(spark), *parts, uuid.uuid4().hex])
+
+
+def scratch_root(spark: SparkSession) -> str:
+    """The folder that holds all tables this application materialises."""
+    return "/".join([shared_dir(spark).rstrip("/"), "stockyard", session_key(spark)])
+
+
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete everything this application has materialised (its lazy results with it).
+
+    Call it when the results are saved; nothing is deleted by itself, since
+    results that are still lazy read these tables."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(scratch_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def broadcast_max_rows(spark: SparkSession) -> int:
