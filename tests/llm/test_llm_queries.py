@@ -227,13 +227,49 @@ def test_op10_base_score(result, docs):
         assert r["score"] < 0 and math.isfinite(r["score"])
 
 
-def test_pipeline(result, docs):
-    """Rows, repeats and tokens of the pipeline against the operators one by one."""
-    rows = result("pipeline")
-    assert {r["doc_id"] for r in rows} <= set(docs)
-    times = Counter(r["doc_id"] for r in rows)
-    assert max(times.values()) <= 3
-    toxic = {r["doc_id"] for r in result("op3_toxicity") if r["predicted"]}
-    assert not toxic & set(times)
-    texts = [az_lower(docs[i]["text"] or "") for i in times]
-    assert len(texts) == len(set(texts))
+def mix_targets(sizes, source):
+    """(target, size) by source: weights 1, 2, 3 in turn, capped at three times the size."""
+    total = Counter()
+    for i, n in sizes.items():
+        total[source[i]] += n
+    names = sorted(total, key=lambda s: (s is None, s))
+    weight = {s: k % 3 + 1 for k, s in enumerate(names)}
+    capped: set = set()
+    while True:
+        free = [s for s in names if s not in capped]
+        level = (sum(total.values()) - sum(3 * total[s] for s in capped)) / sum(weight[s] for s in free)
+        more = {s for s in free if level * weight[s] > 3 * total[s]}
+        if not more:
+            return {s: (min(3.0 * total[s], level * weight[s]), total[s]) for s in names}
+        capped |= more
+
+
+def test_pipeline(result):
+    """The pipeline's rows, repeats and tokens against brute force, stage by stage."""
+    import public_tokenizers as P
+    import tiktoken
+
+    from stockyard.llm.bpe import read_ranks
+
+    docs = {r["doc_id"]: r for r in table(SF_BIG, "documents")}
+    left = {r["doc_id"] for r in result("op3_toxicity", SF_BIG) if not r["predicted"]}
+    assert 0 < len(left) < len(docs)
+    last = {}
+    for i in sorted(left):
+        last[az_lower(docs[i]["text"] or "")] = i
+    left = set(last.values())
+    left = {i for i, (_, c) in brute_components({i: docs[i] for i in left}, 5).items() if i == c}
+    sizes = {i: len(WORD.findall(docs[i]["text"] or "")) for i in left}
+    targets = mix_targets(sizes, {i: docs[i]["source"] for i in left})
+    want = Counter()
+    for i in left:
+        target, size = targets[docs[i]["source"]]
+        rate = target / size if size else 1.0
+        coin = int(hashlib.md5(f"0:{i}".encode()).hexdigest()[:13], 16) / 2**52
+        want[i] = math.floor(rate) + (coin < rate - math.floor(rate))
+    rows = result("pipeline", SF_BIG)
+    assert Counter(r["doc_id"] for r in rows) == +want
+    enc = tiktoken.Encoding("t", pat_str=P.PATTERN, mergeable_ranks=read_ranks(P.path(Q.RANK_FILE)), special_tokens={})
+    for r in rows:
+        assert r["ids"] == enc.encode_ordinary(docs[r["doc_id"]]["text"] or "") and r["n_tokens"] == len(r["ids"])
+        assert r["source"] == docs[r["doc_id"]]["source"]
