@@ -1,8 +1,8 @@
 """Byte-level BPE with a local rank file: encode, digest, decode.
 
 The tiktoken library does the merges.  Long texts are cut first where no match of the
-pattern can span (before a space that follows an ASCII letter or digit), and very long single
-matches, on which its pair scan is quadratic, are merged here with a heap.
+pattern can span (before a space that follows an ASCII letter or digit), and parts with very long
+runs, on which its pair scan is quadratic, are merged here with a heap.
 """
 
 from __future__ import annotations
@@ -23,8 +23,8 @@ from .store import Shared, col
 
 #: Texts above this many characters are cut at safe boundaries.
 PART_CHARS = 1 << 16
-#: A single match of the pattern above this many bytes is merged with the heap.
-LONG_PIECE = 1 << 13
+#: A part with a run of this many characters without or of white space is merged with the heap.
+LONG_RUN = 1 << 11
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -60,7 +60,7 @@ class Codec:
         self.ranks = ranks
         self.encoding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.pattern = regex.compile(pattern)
-        self.run = regex.compile(r"\S{%d,}|\s{%d,}" % (LONG_PIECE // 4, LONG_PIECE // 4))
+        self.run = regex.compile(r"\S{%d,}|\s{%d,}" % (LONG_RUN, LONG_RUN))
 
     def merge(self, piece: bytes) -> list[int]:
         """Lowest rank first, leftmost first, over one match, in O(n log n)."""
@@ -88,7 +88,7 @@ class Codec:
         return out
 
     def encode(self, text: str) -> list[int]:
-        if len(text) <= LONG_PIECE // 4:
+        if len(text) < LONG_RUN:
             return self.encoding.encode_ordinary(text)
         out: list[int] = []
         for part in cuts(text):
@@ -97,7 +97,7 @@ class Codec:
                 continue
             for m in self.pattern.finditer(part):
                 raw = m[0].encode()
-                out += self.merge(raw) if len(raw) > LONG_PIECE else self.encoding._encode_single_piece(raw)
+                out += [self.ranks[raw]] if raw in self.ranks else self.merge(raw)
         return out
 
     def decode(self, ids: list[int]) -> bytes:

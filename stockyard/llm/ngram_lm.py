@@ -48,7 +48,7 @@ class Params:
     frequent: int = 1 << 20
     held_mod: int = 7
     held_rest: int = 2
-    flush: int = 1 << 21
+    flush: int = 1 << 20
 
 
 END = A.mix64(np.array([0x5EED], _U))  # the end token's hash
@@ -118,7 +118,7 @@ def _batches(batches, p: Params):
         buf, off = A.text_buffer(batch.column(1))
         ids = batch.column(0).to_pylist()
         held = held_out(ids, p)
-        for lo, hi in A.doc_chunks(off, 4 * A.CHUNK):
+        for lo, hi in A.doc_chunks(off, 2 * A.CHUNK):
             tok, ctx, toff = tokens(buf[off[lo] : off[hi]], off[lo : hi + 1] - off[lo])
             yield tok, ctx, toff, ids[lo:hi], held[lo:hi], lo
 
