@@ -4,10 +4,13 @@ the Dice coefficient over word bigrams.
 Dice(a, b) = 2 |a & b| / (|a| + |b|) can reach t only if the smaller set has at least
 t / (2 - t) of the larger one's size, so a template is compared only with passages in its
 size window, and passages outside every window are dropped before their bigrams are made.
+The same bound leaves few of a template's bigrams that a match can lack; a text or line with none
+of the words that touch more than those is dropped before its words are split.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -43,6 +46,14 @@ def bigrams(w: Column) -> Column:
     return F.array_distinct(F.zip_with(F.slice(w, 1, F.size(w) - 1), F.slice(w, 2, F.size(w) - 1), lambda a, b: F.concat_ws(" ", a, b)))
 
 
+def _once(df: DataFrame, name: str, value: Column, *keep: str) -> DataFrame:
+    """``df`` with ``value`` as a column that is computed once for each row.
+
+    The one-element generator keeps the optimiser from copying the expression into every
+    filter and comparison that reads it."""
+    return df.select(*keep, F.explode(F.array(value)).alias(name))
+
+
 def _template_bigrams(text: str) -> list[str]:
     w = "".join(c if c.isascii() and c.isalnum() else " " for c in text.lower()).split()
     return list(dict.fromkeys(f"{a} {b}" for a, b in zip(w, w[1:], strict=False)))
@@ -53,6 +64,31 @@ def window(size: int, threshold: float) -> tuple[float, float]:
     return size * threshold / (2 - threshold), size * (2 - threshold) / threshold
 
 
+def anchors(sets: Sequence[list[str]], threshold: float) -> list[str]:
+    """Words of which a passage must hold one, as a substring, to reach the threshold against any set.
+
+    A match with n bigrams shares at least n * t / (2 - t) of them.  For every set, words (long ones
+    first, then those of many sets) are taken until their bigrams outnumber those that a match may lack."""
+    uses = Counter(w for grams in sets for w in {w for g in grams for w in g.split()})
+    chosen: set[str] = set()
+    for grams in sets:
+        lacking = int(len(grams) - window(len(grams), threshold)[0] + 1e-9)
+        touched: set[str] = set()
+        for word in sorted({w for g in grams for w in g.split()}, key=lambda w: (len(w), uses[w], w), reverse=True):
+            if len(touched) > lacking:
+                break
+            chosen.add(word)
+            touched |= {g for g in grams if word in g.split()}
+    return sorted(w for w in chosen if not any(o != w and o in w for o in chosen))
+
+
+def _holds(text: Column, words: Sequence[str]) -> Column:
+    out = F.lit(False)
+    for w in words:
+        out = out | F.contains(text, F.lit(w))
+    return out
+
+
 def scan(
     docs: DataFrame,
     templates: Sequence[tuple[str, str]] = TEMPLATES,
@@ -73,17 +109,22 @@ def scan(
     least, most = min(a for a, _ in sizes), max(b for _, b in sizes)
     # Repeated bigrams make a passage longer than its set, so only the lower bound holds for its words;
     # the upper one is checked on the set.
-    lines = F.split(col(text_col), "\n")
-    whole = F.when(F.size(lines) > 1, F.array(F.struct(F.lit(0).alias("line"), col(text_col).alias("passage"))))
+    # Each expression is computed once; lower() also maps letters beyond A-Z, which adds candidates at most.
+    needed = anchors([g for _, g in sets], threshold)
+    docs = _once(docs.select(col(id_col).alias("doc_id"), col(text_col).alias("text")), "low", F.lower("text"), "doc_id", "text")
+    docs = docs.where(_holds(F.col("low"), needed)).drop("low")
+    lines = F.split("text", "\n")
+    whole = F.when(F.size(lines) > 1, F.array(F.struct(F.lit(0).alias("line"), F.col("text").alias("passage"))))
     each = F.transform(lines, lambda x, k: F.struct((k + 1).alias("line"), x.alias("passage")))
     empty = F.array().cast("array<struct<line:int,passage:string>>")
-    passages = docs.select(col(id_col).alias("doc_id"), F.explode(F.concat(F.coalesce(whole, empty), each)).alias("p"))
-    split = passages.select("doc_id", "p.line", words(F.col("p.passage")).alias("w")).where(F.size("w") >= max(2, int(least) + 1))
-    grams = split.select("doc_id", "line", bigrams(F.col("w")).alias("g")).where(F.size("g").between(least, most))
+    passages = docs.select("doc_id", F.explode(F.concat(F.coalesce(whole, empty), each)).alias("p"))
+    passages = passages.select("doc_id", "p.line", "p.passage").where(_holds(F.lower("passage"), needed))
+    split = _once(passages, "w", words(F.col("passage")), "doc_id", "line").where(F.size("w") >= max(2, int(least) + 1))
+    grams = _once(split, "g", bigrams(F.col("w")), "doc_id", "line").where(F.size("g").between(least, most))
     found = []
     for k, ((name, known), (low, high)) in enumerate(zip(sets, sizes, strict=True)):
         shared = F.size(F.array_intersect(F.col("g"), F.array(*[F.lit(x) for x in known])))
         dice = F.when(F.size("g").between(low, high), 2.0 * shared / (F.size("g") + len(known)).cast("double")).otherwise(F.lit(0.0))
         found.append(F.struct(dice.alias("dice"), F.lit(-k).alias("turn"), F.lit(name).alias("license")))
-    best = grams.select("doc_id", "line", F.array_max(F.array(*found)).alias("best"))
+    best = _once(grams, "best", F.array_max(F.array(*found)), "doc_id", "line")
     return best.where(F.col("best.dice") >= threshold).select("doc_id", "line", "best.license", "best.dice")
