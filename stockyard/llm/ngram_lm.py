@@ -2,8 +2,9 @@
 
 Counts of words and word pairs are quantised to a logarithmic scale and stored in a Bloom
 filter: an n-gram of level q is inserted with the suffixes 1..q, and a count is read back by
-probing 1, 2, ... until a probe misses.  The filter has no keys, only bits, is built in
-segments by the tasks that count, and is broadcast to the scorers.
+probing 1, 2, ... until a probe misses.  The filter has no keys, only bits, and is built in
+segments by the tasks that count; it grows with the n-grams.  Up to a bound it is broadcast to the
+scorers; beyond it the distinct n-grams of the texts are sent to the segments and their levels back.
 
 Exact word counts serve the add-one baseline: frequent words (a bounded number of them) are
 broadcast, the rest are joined.
@@ -12,7 +13,7 @@ broadcast, the rest are joined.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -30,9 +31,8 @@ _U = np.uint64
 @dataclass(frozen=True)
 class Params:
     """word_base, pair_base: bases of the quantised scales.  pair_min: least count of a pair in
-    the model.  probes: bits per insertion; bits: filter bits per insertion; max_bytes: bound of the
-    filter (beyond it bits are shared by more insertions, nothing is left out, and more probes
-    hit by chance).  pair_weight: weight of the pair estimate.  frequent: words whose share of
+    the model.  probes: bits per insertion; bits: filter bits per insertion; max_bytes: a larger
+    filter is not broadcast but asked by shuffle, with the same levels.  pair_weight: weight of the pair estimate.  frequent: words whose share of
     all tokens is above 1 / frequent are broadcast with exact counts, so at most so many.
     held_mod, held_rest: documents with crc32(id) mod held_mod = held_rest are not learned from.
     flush: distinct n-grams a task holds before it sends them on.
@@ -347,14 +347,17 @@ def _word_rows(p: Params, parts: int):
 
 @dataclass
 class Model:
-    """counts: (h, c, seen) by word; total: learned tokens; vocabulary: distinct ones; filter: broadcast."""
+    """counts: (h, c, seen) by word; total: learned tokens; vocabulary: distinct ones.
+    filter: broadcast, or the table of its segments (part, bits) with parts of that many bits."""
 
     counts: DataFrame
     total: int
     vocabulary: int
     seen: int
-    filter: Shared
+    filter: Shared | DataFrame
     params: Params
+    parts: int
+    bits: int
 
 
 def fit(docs: DataFrame, p: Params | None = None, id_col: str = "doc_id", text_col: str = "text") -> Model:
@@ -372,12 +375,15 @@ def fit(docs: DataFrame, p: Params | None = None, id_col: str = "doc_id", text_c
     words = counts.where("c > 0").select("h", "c").mapInArrow(_word_rows(p, parts), KEPT)
     kept = materialise(sent.mapInArrow(_kept_pairs(p), KEPT).union(words), "ngrams")
     inserts = kept.agg(F.sum("inserts")).first()[0] or 0
-    bits = int(min(max(64, inserts * p.bits / parts), 8 * p.max_bytes / parts)) // 64 * 64
+    bits = max(64, int(inserts * p.bits / parts) // 64 * 64)
     made = kept.select("part", "keys", "levels").repartition(parts, "part").sortWithinPartitions("part")
-    rows = dict(made.mapInArrow(_segments(bits, p.probes), SEGMENT).collect())  # at most max_bytes
+    made = made.mapInArrow(_segments(bits, p.probes), SEGMENT)
+    if parts * bits > 8 * p.max_bytes:
+        return Model(counts, total, vocabulary, seen, materialise(made, "segments"), p, parts, bits)
+    rows = dict(made.collect())  # at most max_bytes
     empty = np.zeros(bits // 8, np.uint8)
     segments = [np.frombuffer(rows[k], np.uint8) if k in rows else empty for k in range(parts)]
-    return Model(counts, total, vocabulary, seen, Shared(docs, "n-gram filter", (segments, bits)), p)
+    return Model(counts, total, vocabulary, seen, Shared(docs, "n-gram filter", (segments, bits)), p, parts, bits)
 
 
 # --- scoring -------------------------------------------------------------------------------
@@ -395,52 +401,182 @@ PARTIAL = T.StructType(
     ]
 )
 
-def _log_probs(tok, ctx, model_filter: Filter, total: int, vocabulary: int, p: Params) -> np.ndarray:
-    """log10 of the smoothed probability of every token after its context, from the filter alone."""
+def _log_probs(tok, ctx, levels: Callable, total: int, vocabulary: int, p: Params) -> np.ndarray:
+    """log10 of the smoothed probability of every token after its context, from the levels alone."""
     k, inv = np.unique(np.concatenate([tok, ctx]), return_inverse=True)
-    level = model_filter.levels(k)
-    c = count_of(level, p.word_base)
+    c = count_of(levels(k), p.word_base)
     own, before = c[inv[: len(tok)]], c[inv[len(tok) :]]
     word = (own + 1) / (total + vocabulary + 1)
     kk, kinv = np.unique(pair_key(ctx, tok), return_inverse=True)
-    both = count_of(model_filter.levels(kk), p.pair_base)[kinv]
+    both = count_of(levels(kk), p.pair_base)[kinv]
     pair = np.where(before > 0, np.minimum(both / np.maximum(before, 1), 1.0), 0.0)
     return np.log10(p.pair_weight * pair + (1 - p.pair_weight) * word)
 
 
+def _scored(tok, ctx, toff, ids, held, rows, levels: Callable, frequent, total: int, vocabulary: int, p: Params) -> pa.RecordBatch:
+    """The scores of a chunk of texts."""
+    common, common_count = frequent
+    size = np.log10(total + vocabulary + 1.0)
+    score = np.add.reduceat(_log_probs(tok, ctx, levels, total, vocabulary, p), toff[:-1])
+    at = np.minimum(np.searchsorted(common, tok), max(len(common) - 1, 0))
+    hit = common[at] == tok if len(common) else np.zeros(len(tok), bool)
+    c = np.where(hit, common_count[at], 0) if len(common) else np.zeros(len(tok))
+    base = np.add.reduceat(np.where(hit, np.log10(c + 1.0) - size, 0.0), toff[:-1])
+    known = np.add.reduceat(hit & (c > 0), toff[:-1], dtype=np.int64)
+    rare = tok[~hit].view(np.int64)
+    roff = np.concatenate([[0], np.cumsum(~hit)])[toff].astype(np.int32)
+    return pa.RecordBatch.from_arrays(
+        [
+            rows,
+            pa.array(ids, pa.int64()),
+            pa.array(held),
+            pa.array(np.diff(toff)),
+            pa.array(known),
+            pa.array(base),
+            pa.array(score),
+            pa.ListArray.from_arrays(pa.array(roff), pa.array(rare)),
+        ],
+        names=PARTIAL.names,
+    )
+
+
 def _score(p: Params, model_filter: Shared, frequent: Shared, total: int, vocabulary: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bloom = model_filter.get(lambda value: Filter(*value, p.probes))
-        common, common_count = frequent.get()
-        size = np.log10(total + vocabulary + 1.0)
         for batch in batches:
-            rows = batch.column(2)
             for tok, ctx, toff, ids, held, lo in _batches([batch], p):
-                score = np.add.reduceat(_log_probs(tok, ctx, bloom, total, vocabulary, p), toff[:-1])
-                at = np.minimum(np.searchsorted(common, tok), max(len(common) - 1, 0))
-                hit = common[at] == tok if len(common) else np.zeros(len(tok), bool)
-                c = np.where(hit, common_count[at], 0) if len(common) else np.zeros(len(tok))
-                base = np.add.reduceat(np.where(hit, np.log10(c + 1.0) - size, 0.0), toff[:-1])
-                known = np.add.reduceat(hit & (c > 0), toff[:-1], dtype=np.int64)
-                rare = tok[~hit].view(np.int64)
-                roff = np.concatenate([[0], np.cumsum(~hit)])[toff].astype(np.int32)
+                rows = batch.column(2).slice(lo, len(ids))
+                yield _scored(tok, ctx, toff, ids, held, rows, bloom.levels, frequent.get(), total, vocabulary, p)
+
+    return run
+
+
+# --- scoring by shuffle ---------------------------------------------------------------------
+
+CHUNKS = T.StructType(
+    [
+        T.StructField("chunk", T.LongType()),
+        T.StructField("tokens", T.BinaryType()),
+        T.StructField("offsets", T.BinaryType()),
+        T.StructField("ids", T.ArrayType(T.LongType())),
+        T.StructField("rows", T.ArrayType(T.LongType())),
+    ]
+)
+ASKED = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("chunk", T.LongType()), T.StructField("keys", T.BinaryType())])
+TOLD = T.StructType([T.StructField("chunk", T.LongType()), T.StructField("part", T.IntegerType()), T.StructField("levels", T.BinaryType())])
+
+
+def _chunks(p: Params):
+    """Chunks of texts as token hashes, named by their first row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for tok, _, toff, ids, _, lo in _batches([batch], p):
+                rows = batch.column(2).slice(lo, len(ids)).to_pylist()
+                yield pa.RecordBatch.from_pylist(
+                    [{"chunk": rows[0], "tokens": tok.tobytes(), "offsets": toff.astype(np.int64).tobytes(), "ids": ids, "rows": rows}],
+                    pa.schema([("chunk", pa.int64()), ("tokens", pa.binary()), ("offsets", pa.binary()), ("ids", pa.list_(pa.int64())), ("rows", pa.list_(pa.int64()))]),
+                )
+
+    return run
+
+
+def _contexts(tok: np.ndarray, toff: np.ndarray) -> np.ndarray:
+    context = np.roll(tok, 1)
+    context[toff[:-1]] = _BEGIN
+    return context
+
+
+def _keys(tok: np.ndarray, ctx: np.ndarray) -> np.ndarray:
+    """All that scoring asks the filter for, distinct and sorted, so in runs by part."""
+    return np.unique(np.concatenate([tok, ctx, pair_key(ctx, tok)]))
+
+
+def _ask(parts: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, tokens_, offsets in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                tok = np.frombuffer(tokens_, _U)
+                k = _keys(tok, _contexts(tok, np.frombuffer(offsets, np.int64)))
+                part = (k >> _U(32)) * _U(parts) >> _U(32)
+                edge = np.searchsorted(part, np.arange(parts + 1, dtype=_U))
+                some = np.flatnonzero(np.diff(edge))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        rows.slice(lo, len(ids)),
-                        pa.array(ids, pa.int64()),
-                        pa.array(held),
-                        pa.array(np.diff(toff)),
-                        pa.array(known),
-                        pa.array(base),
-                        pa.array(score),
-                        pa.ListArray.from_arrays(pa.array(roff), pa.array(rare)),
+                        pa.array(some, pa.int32()),
+                        pa.array(np.full(len(some), chunk), pa.int64()),
+                        pa.array([k[edge[s] : edge[s + 1]].tobytes() for s in some], pa.binary()),
                     ],
-                    names=PARTIAL.names,
+                    names=ASKED.names,
                 )
 
     return run
 
 
+def _tell(bits: int, probes: int):
+    """Rows (part, chunk, keys) sorted by part, chunk: the keys' levels.  Chunk -1 has the part's
+    bits in place of keys; a part without it holds nothing."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now = bloom = None
+        for batch in batches:
+            for part, chunk, keys in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if part != now:
+                    now = part
+                    made = np.frombuffer(keys, np.uint8) if chunk < 0 else np.zeros(bits // 8, np.uint8)
+                    bloom = Filter([made], bits, probes)
+                if chunk >= 0:
+                    levels = bloom.levels(np.frombuffer(keys, _U)).astype(np.uint16).tobytes()
+                    yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([part], pa.int32()), pa.array([levels], pa.binary())], names=TOLD.names)
+
+    return run
+
+
+def _score_told(p: Params, frequent: Shared, total: int, vocabulary: int):
+    """Rows (chunk, part, levels, tokens, offsets, ids, rows) sorted by chunk, part: the chunk's texts
+    come first (part -1), then its levels, which in the order of parts are those of its sorted keys."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts, told = None, []
+
+        def out():
+            tokens_, offsets, ids, rows = texts
+            tok, toff = np.frombuffer(tokens_, _U), np.frombuffer(offsets, np.int64)
+            ctx = _contexts(tok, toff)
+            keys, levels = _keys(tok, ctx), np.concatenate(told).astype(np.int64)
+            if len(keys) != len(levels):
+                raise ValueError("levels are missing")
+            find = lambda k: levels[np.searchsorted(keys, k)]
+            return _scored(tok, ctx, toff, ids, held_out(ids, p), pa.array(rows, pa.int64()), find, frequent.get(), total, vocabulary, p)
+
+        for batch in batches:
+            for _, part, levels, *rest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if part < 0:
+                    if texts:
+                        yield out()
+                    texts, told = rest, []
+                else:
+                    told.append(np.frombuffer(levels, np.uint16))
+        if texts:
+            yield out()
+
+    return run
+
+
+def _by_shuffle(src: DataFrame, model: Model, frequent: Shared) -> DataFrame:
+    """What ``_score`` gives, with the filter's segments left where they are made: the distinct
+    n-grams of each chunk of texts go to the segments, their levels to the chunk."""
+    p, parts = model.params, model.parts
+    chunks = materialise(src.mapInArrow(_chunks(p), CHUNKS), "chunks")
+    asked = chunks.select("chunk", "tokens", "offsets").mapInArrow(_ask(parts), ASKED)
+    held = model.filter.select("part", F.lit(-1).cast("long").alias("chunk"), F.col("bits").alias("keys"))
+    told = held.union(asked).repartition(parts, "part").sortWithinPartitions("part", "chunk").mapInArrow(_tell(model.bits, p.probes), TOLD)
+    texts = chunks.withColumn("part", F.lit(-1))
+    both = told.unionByName(texts, allowMissingColumns=True).select("chunk", "part", "levels", "tokens", "offsets", "ids", "rows")
+    both = both.repartition(parts, "chunk").sortWithinPartitions("chunk", "part")
+    return both.mapInArrow(_score_told(p, frequent, model.total, model.vocabulary), PARTIAL)
+
+
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for every row of ``docs``.
 
@@ -456,7 +592,10 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     order = np.argsort(h)
     frequent = Shared(docs, "frequent words", (h[order], common.column("c").to_numpy()[order]))
     src = docs.select(col(id_col).cast("long").alias("doc_id"), col(text_col).alias("text"), F.monotonically_increasing_id().alias("row"))
-    first = src.mapInArrow(_score(p, model.filter, frequent, model.total, model.vocabulary), PARTIAL)
+    if isinstance(model.filter, Shared):
+        first = src.mapInArrow(_score(p, model.filter, frequent, model.total, model.vocabulary), PARTIAL)
+    else:
+        first = _by_shuffle(src, model, frequent)
     first = materialise(first, "scores")
     rest = model.counts.where(F.col("seen") <= least).select("h", "c")
     size = float(np.log10(model.total + model.vocabulary + 1.0))

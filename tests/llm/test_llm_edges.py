@@ -292,6 +292,17 @@ def test_log_frequency_filter():
     assert ngram_lm.count_of(np.array([0, 1, 2, 3]), 2.0).tolist() == [0.0, 1.0, 6**0.5, 28**0.5]
 
 
+def test_log_frequency_filter_grows(spark, docs):
+    """A filter above the broadcast bound gives the scores that a broadcast one gives."""
+    rng = random.Random(8)
+    many = spark.createDataFrame([(k, " ".join(f"w{int(rng.paretovariate(0.7)) % 3000}" for _ in range(rng.randint(0, 80)))) for k in range(400)], "doc_id long, text string").repartition(5)
+    for table in (docs, many):
+        small = ngram_lm.Params(max_bytes=256)
+        want = sorted(map(str, rows(ngram_lm.score(table, ngram_lm.fit(table)))))
+        assert sorted(map(str, rows(ngram_lm.score(table, ngram_lm.fit(table, small))))) == want
+    assert rows(ngram_lm.score(docs.limit(0), ngram_lm.fit(many, small))) == []
+
+
 def test_pii_formats():
     names = pii.Pseudonyms(b"k")
     text = "card 4111 1111 1111 1111 or 4111111111111111, bad 4111111111111112; +1 (415) 555-2671; 10.0.0.255 not 10.0.0.256; 078-05-1120; 2021-02-28, 28.02.2021, 02/28/2021, 28 February 2021, no 2021-02-30; DE89 3704 0044 0532 0130 00"
