@@ -40,7 +40,7 @@ class Params:
 
     word_base: float = 1.25
     pair_base: float = 2.0
-    pair_min: int = 2
+    pair_min: int = 1
     probes: int = 5
     bits: float = 8.0
     max_bytes: int = 1 << 28

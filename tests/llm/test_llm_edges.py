@@ -303,6 +303,15 @@ def test_log_frequency_filter_grows(spark, docs):
     assert rows(ngram_lm.score(docs.limit(0), ngram_lm.fit(many, small))) == []
 
 
+def test_pairs_learned_once_count(spark):
+    """A text holding a pair that was learned once scores above one whose pair was never learned."""
+    texts = [(0, "alpha beta"), (1, "gamma delta"), *((k, "filler words") for k in (3, 4, 5, 6))]
+    model = ngram_lm.fit(spark.createDataFrame(texts, "doc_id long, text string"), ngram_lm.Params(held_mod=10**12))
+    asked = spark.createDataFrame([(1, "alpha beta"), (2, "alpha delta")], "doc_id long, text string")
+    score = {r["doc_id"]: r["score"] for r in rows(ngram_lm.score(asked, model))}
+    assert score[1] > score[2] + 0.3
+
+
 def test_pii_formats():
     names = pii.Pseudonyms(b"k")
     text = "card 4111 1111 1111 1111 or 4111111111111111, bad 4111111111111112; +1 (415) 555-2671; 10.0.0.255 not 10.0.0.256; 078-05-1120; 2021-02-28, 28.02.2021, 02/28/2021, 28 February 2021, no 2021-02-30; DE89 3704 0044 0532 0130 00"
