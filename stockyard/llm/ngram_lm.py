@@ -403,9 +403,10 @@ PARTIAL = T.StructType(
 
 def _log_probs(tok, ctx, levels: Callable, total: int, vocabulary: int, p: Params) -> np.ndarray:
     """log10 of the smoothed probability of every token after its context, from the levels alone."""
-    k, inv = np.unique(np.concatenate([tok, ctx]), return_inverse=True)
-    c = count_of(levels(k), p.word_base)
-    own, before = c[inv[: len(tok)]], c[inv[len(tok) :]]
+    k, inv = np.unique(tok, return_inverse=True)
+    own = count_of(levels(k), p.word_base)[inv]
+    # Before a text's first token stands another text's end token, whose count is the number of texts.
+    before = np.roll(own, 1)
     word = (own + 1) / (total + vocabulary + 1)
     kk, kinv = np.unique(pair_key(ctx, tok), return_inverse=True)
     both = count_of(levels(kk), p.pair_base)[kinv]
@@ -489,7 +490,7 @@ def _contexts(tok: np.ndarray, toff: np.ndarray) -> np.ndarray:
 
 def _keys(tok: np.ndarray, ctx: np.ndarray) -> np.ndarray:
     """All that scoring asks the filter for, distinct and sorted, so in runs by part."""
-    return np.unique(np.concatenate([tok, ctx, pair_key(ctx, tok)]))
+    return np.unique(np.concatenate([tok, pair_key(ctx, tok)]))
 
 
 def _ask(parts: int):

@@ -1,5 +1,6 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables, clashing column names."""
 
+import math
 import random
 from collections import Counter
 from datetime import date
@@ -312,6 +313,16 @@ def test_pairs_learned_once_count(spark):
     assert score[1] > score[2] + 0.3
 
 
+def test_first_words_of_texts_count(spark):
+    """The pair of a text's begin and its first word counts among the learned texts."""
+    docs = spark.createDataFrame([(k, "alpha" if k < 32 else "beta alpha") for k in range(64)], "doc_id long, text string").coalesce(1)
+    p = ngram_lm.Params(held_mod=10**12)
+    score = {r["doc_id"]: r["score"] for r in rows(ngram_lm.score(docs, ngram_lm.fit(docs, p)))}
+    # 160 tokens, 3 distinct: alpha 64, end 64, beta 32; half of the texts begin with alpha.
+    alpha = math.log10(0.3 * 32 / 64 + 0.7 * 65 / 164) + math.log10(0.3 + 0.7 * 65 / 164)
+    assert abs(score[0] - alpha) < 0.15
+
+
 def test_pii_formats():
     names = pii.Pseudonyms(b"k")
     text = "card 4111 1111 1111 1111 or 4111111111111111, bad 4111111111111112; +1 (415) 555-2671; 10.0.0.255 not 10.0.0.256; 078-05-1120; 2021-02-28, 28.02.2021, 02/28/2021, 28 February 2021, no 2021-02-30; DE89 3704 0044 0532 0130 00"
