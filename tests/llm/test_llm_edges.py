@@ -323,6 +323,19 @@ def test_first_words_of_texts_count(spark):
     assert abs(score[0] - alpha) < 0.15
 
 
+def test_licence_texts_and_wrapped_lines(spark):
+    """The standard grant and texts are found whole, and by their usual first lines in a longer text."""
+    grant = licenses._MIT[0]
+    wrapped = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal\nin the Software without restriction"
+    bsd = "Redistribution and use in source and binary forms, with or without\nmodification, are permitted provided that the following conditions\nare met:"
+    texts = [grant, "MIT License\n\nCopyright (c) 2020 A B\n\n" + "\n\n".join(licenses._MIT), "other words here\n" * 40 + wrapped, "other words here\n" * 40 + bsd, "The MIT License (MIT)", "a permission to copy is granted"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {(r["doc_id"], r["line"]): r["license"] for r in rows(licenses.scan(docs))}
+    assert got[0, 1] == got[1, 0] == got[2, 41] == got[2, 42] == got[4, 1] == "MIT"
+    assert got[3, 41] == got[3, 42] == "BSD-3-Clause"
+    assert not any(i == 5 for i, _ in got)
+
+
 def test_pii_formats():
     names = pii.Pseudonyms(b"k")
     text = "card 4111 1111 1111 1111 or 4111111111111111, bad 4111111111111112; +1 (415) 555-2671; 10.0.0.255 not 10.0.0.256; 078-05-1120; 2021-02-28, 28.02.2021, 02/28/2021, 28 February 2021, no 2021-02-30; DE89 3704 0044 0532 0130 00"
