@@ -174,6 +174,11 @@ def _buckets(ids: DataFrame, parts: int) -> Column:
     return (piece * (each + 2) + F.least(F.greatest(inside, F.lit(0)), F.lit(each))).cast("int")
 
 
+def _home(bucket: Column, spread: int) -> Column:
+    """The row's bucket; rows without an id have no neighbours and are spread by text hash."""
+    return F.when(F.col("doc_id").isNull(), F.pmod(F.xxhash64("text"), F.lit(spread)).cast("int")).otherwise(bucket)
+
+
 EDITED = T.StructType(
     [
         T.StructField("doc_id", T.LongType()),
@@ -247,7 +252,7 @@ def edit_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     copies = spark.createDataFrame(ghosts, "doc_id long, into int")
     placed = rows.join(F.broadcast(copies), "doc_id", "left")
-    here = F.struct(F.coalesce(bucket, F.pmod(F.xxhash64("text"), F.lit(4 * parts)).cast("int")).alias("b"), F.lit(1).alias("own"))
+    here = F.struct(_home(bucket, 4 * parts).alias("b"), F.lit(1).alias("own"))
     there = F.struct(F.col("into").alias("b"), F.lit(0).alias("own"))
     both = F.when(F.col("into").isNull(), F.array(here)).otherwise(F.array(here, there))
     placed = placed.select(F.explode(both).alias("at"), "doc_id", "text").select("at.b", "at.own", "doc_id", "text")

@@ -336,6 +336,15 @@ def test_licence_texts_and_wrapped_lines(spark):
     assert not any(i == 5 for i, _ in got)
 
 
+def test_rows_without_id_are_spread(spark):
+    """Rows without an id go to buckets by text, those with one to their own bucket."""
+    table = spark.createDataFrame([(None, f"text {k}") for k in range(200)] + [(k, "x") for k in range(50)], "doc_id long, text string")
+    bucket = fingerprint._buckets(table.where("doc_id is not null"), 32)
+    got = table.select("doc_id", fingerprint._home(bucket, 32).alias("home"), bucket.alias("bucket")).collect()
+    assert len({r["home"] for r in got if r["doc_id"] is None}) > 20
+    assert all(r["home"] == r["bucket"] for r in got if r["doc_id"] is not None)
+
+
 def test_pii_formats():
     names = pii.Pseudonyms(b"k")
     text = "card 4111 1111 1111 1111 or 4111111111111111, bad 4111111111111112; +1 (415) 555-2671; 10.0.0.255 not 10.0.0.256; 078-05-1120; 2021-02-28, 28.02.2021, 02/28/2021, 28 February 2021, no 2021-02-30; DE89 3704 0044 0532 0130 00"
