@@ -123,11 +123,19 @@ def _ssn(text, move):
     return _refill(text, f"{area:03d}{group + 1:02d}{serial + 1:04d}")
 
 
+# Calling codes of one and two digits; all others have three.
+_CODES = set("1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split())
+
+
 def _phone(text, move):
     d = _digits(text)
-    if len(d) != 11 or d[0] != "1":
-        return None
-    return _refill(text, f"1{move(int(d[1:]), 10**10, 'phone1'):010d}")
+    if text[0] == "+":
+        code = next((d[:k] for k in (1, 2) if d[:k] in _CODES), d[:3])
+    else:
+        code = "1" if len(d) == 11 else ""
+    rest = d[len(code) :]
+    # Numbers of the plan of code 1 get the same pseudonym with and without it.
+    return _refill(text, f"{code}{move(int(rest), 10 ** len(rest), f'phone{code or 1}' + ('' if len(rest) == 10 else f'/{len(rest)}')):0{len(rest)}d}")
 
 
 def _ipv4(text, move):
@@ -171,6 +179,9 @@ def _date(text, move):
         if m[2] == "/" and not first_is_month and new.day <= 12:
             a, b = new.month, new.day
         return f"{a:02d}{m[2]}{b:02d}{m[2]}{new.year}"
+    if m := re.fullmatch(r"([A-Z][a-z]+) (\d{1,2})(,? )(\d{4})", text):
+        new = _moved_day(_day(int(m[4]), MONTHS.index(m[1]) + 1, int(m[2])), move)
+        return new and f"{MONTHS[new.month - 1]} {new.day}{m[3]}{new.year}"
     m = re.fullmatch(r"(\d{1,2}) ([A-Z][a-z]+) (\d{4})", text)
     if m and m[2] in MONTHS:
         new = _moved_day(_day(int(m[3]), MONTHS.index(m[2]) + 1, int(m[1])), move)
@@ -180,11 +191,16 @@ def _date(text, move):
 
 _FORMS = {
     "iban": (r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", _iban),
-    "phone": (r"(?<![\w+])\+?1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]\d{4}(?!\d)", _phone),
+    "phone": (
+        r"(?<![\w+])\+?1[ .-]?(?:\(\d{3}\)|\d{3})[ .-]?\d{3}[ .-]\d{4}(?!\d)"
+        r"|(?<![\w+.-])(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}(?![ .-]?\d|\w)"
+        r"|(?<![\w+])\+[2-9](?:[ .-]?\(?\d\)?){7,14}(?!\d|\w)",
+        _phone,
+    ),
     "ssn": (r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])", _ssn),
     "ipv4": (r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)", _ipv4),
     "date": (
-        r"(?<![\w./-])(?:\d{4}([-/.])\d{1,2}\1\d{1,2}|\d{1,2}([-/.])\d{1,2}\2\d{4}|\d{1,2} (?:" + "|".join(MONTHS) + r") \d{4})(?![\w/-])",
+        r"(?<![\w./-])(?:\d{4}([-/.])\d{1,2}\1\d{1,2}|\d{1,2}([-/.])\d{1,2}\2\d{4}|\d{1,2} (?:" + "|".join(MONTHS) + r") \d{4}|(?:" + "|".join(MONTHS) + r") \d{1,2},? \d{4})(?![\w/-])",
         _date,
     ),
     "card": (r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])", _card),

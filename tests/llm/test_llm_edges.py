@@ -345,6 +345,17 @@ def test_rows_without_id_are_spread(spark):
     assert all(r["home"] == r["bucket"] for r in got if r["doc_id"] is not None)
 
 
+def test_pii_more_formats():
+    names = pii.Pseudonyms(b"k")
+    text = "call (555) 123-4567, 555-123-4567 or +1 555 123-4567; London +44 20 7946 0958, Lisbon +351 912 345 678. Born March 14, 2015 or 14 March 2015. No: 123-456-7890-1234, 5551234567"
+    new, spans = names.apply(text)
+    assert Counter(k for k, _, _ in spans) == {"phone": 5, "date": 2}
+    assert names.apply(new, back=True)[0] == text
+    assert not any(x in new for x in ("123-4567", "7946", "912 345", "March 14, 2015")) and "+44 " in new and "+351 " in new
+    phones = [pii._digits(new[a:b])[-10:] for k, a, b in names.apply(new)[1] if k == "phone"]
+    assert phones[0] == phones[1] == phones[2]
+
+
 def test_pii_formats():
     names = pii.Pseudonyms(b"k")
     text = "card 4111 1111 1111 1111 or 4111111111111111, bad 4111111111111112; +1 (415) 555-2671; 10.0.0.255 not 10.0.0.256; 078-05-1120; 2021-02-28, 28.02.2021, 02/28/2021, 28 February 2021, no 2021-02-30; DE89 3704 0044 0532 0130 00"
