@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import string
 
-from . import licenses, mixing
+from . import licenses, line_dedup, mixing
 
 _LOWERED = f"translate(coalesce(text, ''), '{string.ascii_uppercase}', '{string.ascii_lowercase}')"
 
@@ -47,6 +47,26 @@ SELECT s.doc_id, CAST(s.size AS BIGINT) AS size, r.source_size, r.target,
          / {float(1 << 52)!r}::DOUBLE < r.rate - floor(r.rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM sized s JOIN rates r ON s.source IS NOT DISTINCT FROM r.source"""
 
+_LINES = line_dedup.Params()
+LINE_DEDUP = f"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents
+), lines AS (
+  SELECT r, doc_id, unnest(generate_series(1, len(l))) AS p, unnest(l) AS line FROM d
+), keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      '{string.ascii_uppercase}', '{string.ascii_lowercase}') AS key FROM lines
+), frequent AS (
+  SELECT key, max(doc_id) AS last FROM keyed WHERE length(key) >= {_LINES.min_chars}
+  GROUP BY key HAVING count(DISTINCT doc_id) >= {_LINES.min_docs}
+), marked AS (
+  SELECT k.r, k.doc_id, k.p, k.line, f.key IS NOT NULL AND k.doc_id IS DISTINCT FROM f.last AS gone
+  FROM keyed k LEFT JOIN frequent f ON k.key = f.key
+)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY r"""
+
 
 def _license_scan() -> str:
     quoted = ", ".join(f"({k}, '{name}', '" + text.replace("'", "''") + "')" for k, (name, text) in enumerate(licenses.TEMPLATES))
@@ -76,4 +96,4 @@ WHERE turn = 1 AND dice >= {t}"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_license_scan": _license_scan(), "op5_mixing": MIXING, "op9_exact_dedup": EXACT_DEDUP}
+    return {"op4_license_scan": _license_scan(), "op5_mixing": MIXING, "op9_exact_dedup": EXACT_DEDUP, "op12_line_dedup": LINE_DEDUP}

@@ -1,4 +1,4 @@
-"""Registered queries over the ``documents`` table, one for each operator, and their SQL."""
+"""Registered queries over the given tables, one for each operator."""
 
 from __future__ import annotations
 
@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.tables import read_table
-from . import bpe, exact_dedup, fingerprint, language, licenses, mixing, near_dedup, ngram_lm, pii, toxicity
+from . import bpe, conversations, exact_dedup, fingerprint, language, licenses, line_dedup, mixing, near_dedup, ngram_lm
+from . import pii, toxicity, whitening
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -85,6 +86,23 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_lm.score(docs, ngram_lm.fit(docs))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    told = read_table(spark, sf_dir, "conversations")
+    return conversations.audit(told, conversations.damaged(told))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.deduplicate(documents(spark, sf_dir))
+    kept = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256")
+    return out.select("doc_id", "n_lines", "n_dropped", kept)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship(spark)
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -104,5 +122,8 @@ def queries() -> dict[str, Query]:
         "op8_language": op8_language,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_lm_scoring": op10_lm_scoring,
+        "op11_conversation_repair": op11_conversation_repair,
+        "op12_line_dedup": op12_line_dedup,
+        "op13_whitening": op13_whitening,
         "pipeline": pipeline,
     }
