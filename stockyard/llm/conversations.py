@@ -60,24 +60,32 @@ def damaged(told: DataFrame) -> DataFrame:
     )
 
 
-def _code(first: Column) -> Column:
+def _own_code() -> Column:
+    """The code of a row that is no duplicate."""
     body = F.rtrim("text", F.lit(WHITE))
     initial = F.substring("role", 1, 1)
     kind = F.when(initial == "s", 0).when(initial == "u", 1).when(initial == "a", 2).otherwise(3)
     truncated = (~F.right(body, F.lit(1)).isin(list(STOPS))).cast("int")
-    return F.when(body == "", F.lit(BLANK)).when(~first, F.lit(DUPLICATE)).otherwise(kind * 2 + truncated + FIRST_CODE)
+    return F.when(body == "", F.lit(BLANK)).otherwise(kind * 2 + truncated + FIRST_CODE)
 
 
-def coded_runs(rows: DataFrame) -> DataFrame:
-    """(conv_id, turn, role, text, n, code): equal rows of a turn once, with their count and fault code.
+def runs_of(rows: DataFrame) -> DataFrame:
+    """(conv_id, turn, role, h, text, n, own): equal rows of a turn once, with their count and own fault code.
 
-    The first row with its role and text in the conversation is the one of the least turn (nulls first);
-    all others are duplicates.  Groups of equal rows meet only as partial aggregates."""
+    Groups of equal rows meet only as partial aggregates."""
     digest = F.sha2(F.col("text").cast("binary"), 256)
     runs = rows.withColumn("h", digest).groupBy("conv_id", "turn", "role", "h").agg(
         F.max("text").alias("text"), F.sum("copies").alias("n")
     )
-    runs = materialise(runs, "turns")
+    return materialise(runs.withColumn("own", _own_code()), "turns")
+
+
+def coded(ordered: DataFrame) -> DataFrame:
+    """(conv_id, tag, n, code) of tagged runs: which of them are duplicates.
+
+    The first row with its role and text in the conversation is the one of the least turn (nulls first);
+    all others are duplicates.  Texts stay where they are: only their digests are compared."""
+    runs = ordered.select("conv_id", "turn", "role", "h", "tag", "n", "own")
     none = F.max(F.col("turn").isNull())
     least = runs.groupBy("conv_id", "role", "h").agg(F.min("turn").alias("least"), none.alias("none"))
     least = least.select(
@@ -86,8 +94,9 @@ def coded_runs(rows: DataFrame) -> DataFrame:
     # One row on each side for a key: no key is hot here.
     same = F.col("conv_id").eqNullSafe(F.col("_c")) & F.col("turn").eqNullSafe(F.col("_t"))
     same = same & (F.col("role") == F.col("_r")) & (F.col("h") == F.col("_h"))
-    marked = runs.join(least, same, "left").withColumn("first", F.col("_h").isNotNull())
-    return marked.select("conv_id", "turn", "role", "text", "n", _code(F.col("first")).alias("code"))
+    duplicate = (F.col("own") != BLANK) & F.col("_h").isNull()
+    marked = runs.join(least, same, "left")
+    return marked.select("conv_id", "tag", "n", F.when(duplicate, F.lit(DUPLICATE)).otherwise(F.col("own")).alias("code"))
 
 
 def _step(cost: list[int], code: int, n: int) -> list[int]:
@@ -148,15 +157,15 @@ def _chained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def checkpoints(ordered: DataFrame, block: int) -> DataFrame:
-    """(conv_id, tag, codes, cost): the blocks of ``ordered`` with the cost vector behind each.
+def checkpoints(codes: DataFrame, block: int) -> DataFrame:
+    """(conv_id, tag, codes, cost): the blocks of ``coded`` rows with the cost vector behind each.
 
     A block is at most ``block`` rows (a power of two) of one conversation that lie in one task; tag is
     that of its first row."""
     bits = block.bit_length() - 1
-    kind = dict(ordered.dtypes)["conv_id"]
+    kind = dict(codes.dtypes)["conv_id"]
     row = F.struct("tag", "code", "n")
-    blocks = ordered.groupBy("conv_id", F.shiftright("tag", bits).alias("block")).agg(
+    blocks = codes.groupBy("conv_id", F.shiftright("tag", bits).alias("block")).agg(
         F.min("tag").alias("tag"), F.sort_array(F.collect_list(row)).alias("codes")
     )
     blocks = materialise(blocks.select("conv_id", "tag", F.transform("codes", lambda r: F.struct(r.code.alias("code"), r.n.alias("n"))).alias("codes")), "blocks")
@@ -187,10 +196,10 @@ class _Walk:
         for k, row in enumerate(codes):
             code, n = row["code"], row["n"]
             if code < FIRST_CODE:
-                edits.append(("D" * n, ()))
+                edits.append((code, n, "D" * n, ()))
                 continue
             after = [c + DELETE * (n - 1) for c in costs[k + 1]]
-            edits.append(self._edit(code, costs[k], after, "D" * (n - 1)))
+            edits.append((code, n, *self._edit(code, costs[k], after, "D" * (n - 1))))
         self.queue = iter(edits)
 
     def _edit(self, code: int, before: list[int], after: list[int], more: str) -> tuple[str, tuple]:
@@ -212,8 +221,9 @@ class _Walk:
             self.state = _NEXT[q]
             return marks + "R" + more, (*turns, (_ROLE[self.state], True))
 
-    def row(self, turn, role: str, text: str, n: int, code: int) -> Iterator[tuple[str, str, str]]:
-        """Count the run's faults; yield its edits as (edits' initials, role, text) for every turn that stands."""
+    def row(self, turn, role: str, text: str) -> Iterator[tuple[int, str, str]]:
+        """Count the next run's faults; yield (place, role, text) of every turn that its edits leave."""
+        code, n, marks, turns = next(self.queue)
         if turn is not None:
             if turn != self.last:
                 self.distinct += 1
@@ -230,7 +240,6 @@ class _Walk:
             self.counts["illegal"] += self.initial + initial not in ("su", "ua", "au")
         self.counts["illegal"] += n - 1
         self.initial = initial
-        marks, turns = next(self.queue)
         self.cost += INSERT * marks.count("I") + DELETE * marks.count("D") + REROLE * marks.count("R")
         if "K" in marks or "R" in marks:
             self.cost += STUB * ((code - FIRST_CODE) % 2)
@@ -272,21 +281,21 @@ def _events(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
             if r["codes"] is not None:
                 walk.block(r["codes"], r["cost"])
             else:
-                yield current, walk, walk.row(r["turn"], r["role"], r["text"], r["n"], r["code"]), False
+                yield current, walk, walk.row(r["turn"], r["role"], r["text"]), False
     if walk is not None:
         yield current, walk, walk.close(), True
 
 
 def _streams(rows: DataFrame) -> DataFrame:
     """Rows and checkpoints of each conversation together in one task, in order."""
-    runs = coded_runs(rows)
+    runs = runs_of(rows)
     longest = runs.groupBy("conv_id").count().agg(F.max("count").alias("n")).first()["n"] or 1
     block = 1 << max(LEAST_BLOCK, isqrt(longest - 1) + 1).bit_length() - 1
     ordered = runs.repartitionByRange(partitions(runs), "conv_id", "turn", "role", "text")
     ordered = ordered.sortWithinPartitions("conv_id", "turn", "role", "text").withColumn("tag", F.monotonically_increasing_id())
     ordered = materialise(ordered, "ordered")
-    marks = checkpoints(ordered, block)
-    lines = ordered.withColumn("kind", F.lit(1)).unionByName(marks.withColumn("kind", F.lit(0)), allowMissingColumns=True)
+    marks = checkpoints(coded(ordered), block).withColumn("kind", F.lit(0))
+    lines = ordered.select("conv_id", "tag", "turn", "role", "text", F.lit(1).alias("kind")).unionByName(marks, allowMissingColumns=True)
     return lines.repartition(partitions(lines), "conv_id").sortWithinPartitions("conv_id", "tag", "kind")
 
 
