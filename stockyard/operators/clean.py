@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.numeric import pd_round, whole_number
@@ -48,14 +48,28 @@ def typed_feed(text: DataFrame) -> DataFrame:
     return text.select(*[_typed(c, t).alias(c) for c, t in types.items()], *[F.col(f"`{c}`") for c in rest])
 
 
+def _fault_counts(text: DataFrame) -> list[tuple[str, Column]]:
+    types = [(f.name, f.dataType.simpleString()) for f in RAW_ORDERS.fields if f.dataType.simpleString() != "string"]
+    counts = [(c, F.count_if(F.col(c).isNotNull() & _typed(c, t).isNull())) for c, t in types]
+    return [*counts, ("*", F.count(MALFORMED))] if MALFORMED in text.columns else counts
+
+
+def observed_feed(text: DataFrame) -> tuple[DataFrame, Callable[[], dict[str, int]]]:
+    """The typed feed, and a function that tells its faults as ``bad_cells`` counts them.
+
+    They are counted while the feed is first written or otherwise read to its end: no scan of its own.
+    Ask for them after that; before it the function waits."""
+    counts = _fault_counts(text)
+    seen = Observation()
+    feed = typed_feed(text.observe(seen, *[n.alias(f"n{i}") for i, (_, n) in enumerate(counts)]))
+    return feed.drop(MALFORMED), lambda: {c: seen.get[f"n{i}"] for i, (c, _) in enumerate(counts)}
+
+
 def bad_cells(text: DataFrame) -> DataFrame:
     """(column_name, bad_cells): non-null cells of each typed column that do not parse, in one scan.
 
     A feed read with ``read_raw_orders_text`` also reports its malformed lines, as column ``*``."""
-    types = [(f.name, f.dataType.simpleString()) for f in RAW_ORDERS.fields if f.dataType.simpleString() != "string"]
-    counts = [(c, F.count_if(F.col(c).isNotNull() & _typed(c, t).isNull())) for c, t in types]
-    if MALFORMED in text.columns:
-        counts.append(("*", F.count(MALFORMED)))
+    counts = _fault_counts(text)
     wide = text.agg(*[n.alias(f"n{i}") for i, (_, n) in enumerate(counts)])
     rows = [F.struct(F.lit(c).alias("column_name"), F.col(f"n{i}").alias("bad_cells")) for i, (c, _) in enumerate(counts)]
     return wide.select(F.inline(F.array(*rows)))

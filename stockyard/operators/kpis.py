@@ -18,9 +18,12 @@ from pyspark.sql import functions as F
 from ..functions.numeric import amount, sql_round
 from ..functions.text import label_from_key
 from ..plans.joins import lookup_join
+from ..schemas import FACT_PARTITION
+from .inventory import derive_inventory_kpis
 from .measures import (
     avg_cost,
     avg_of,
+    measures,
     on_time_pct,
     partial_measures,
     rate_pct,
@@ -28,6 +31,7 @@ from .measures import (
     rollup,
     total,
 )
+from .risk import score_suppliers
 
 if TYPE_CHECKING:
     from ..plans.warehouse import StarSchema
@@ -174,11 +178,13 @@ def kpi_monthly_trend(star: StarSchema) -> DataFrame:
 def sliced(star: StarSchema, years: Sequence[int] | None = None, categories: Sequence[str] | None = None) -> StarSchema:
     """The star schema with its fact restricted to years and categories: the slicers of every report.
 
-    Years become date-key ranges on the fact scan (pushed to Parquet row-group
-    statistics; the fact is written sorted by date key).  Categories keep the
+    Years become a filter on the fact's partition column, so that the scan lists only their folders (and
+    date-key ranges, pushed to the row groups, where the fact is not partitioned).  Categories keep the
     fact rows of their products, a semi-join with a size-checked dimension."""
     fact = star.fact_orders
     if years is not None:
+        if star.fact_by_year is not None:
+            fact = star.fact_by_year.where(F.col(FACT_PARTITION).isin(list(years))).select(*fact.columns)
         cond = F.lit(False)
         for y in years:
             cond = cond | ((F.col("date_id") >= y * 10000) & (F.col("date_id") < (y + 1) * 10000))
@@ -260,16 +266,39 @@ TARGETS = [
 ]
 
 
-def kpi_targets(star: StarSchema, inventory: DataFrame, risk: DataFrame) -> DataFrame:
+def kpi_targets(star: StarSchema) -> DataFrame:
     """Headline KPIs against their targets, with MET / NOT MET.
 
-    Mean inventory turnover stands for the per-product turnover target and
-    the highest supplier risk score for the risk target."""
-    m = kpi_metrics(star).where(F.col("metric").isin("on_time_rate_pct", "avg_lead_time_days", "critical_stock_items"))
-    turnover = inventory.agg(sql_round(F.avg("inventory_turnover"), 2).alias("value")).select(
-        F.lit("avg_inventory_turnover").alias("metric"), "value"
+    Mean inventory turnover stands for the per-product turnover target and the highest supplier risk
+    score for the risk target.  One scan of the fact: grouping sets by product and by supplier, whose rows
+    meet their dimension (products and suppliers without one have no turnover and no score) and then
+    collapse to one row of metrics."""
+    sets = star.fact_orders.groupingSets([["product_id"], ["supplier_id"]], "product_id", "supplier_id")
+    parts = sets.agg(*measures(), F.grouping("supplier_id").alias("_by_product"))
+    named = lookup_join(parts, star.dim_product.select("product_id", "product_name"), "product_id", "left", star.dim_rows("dim_product"))
+    named = lookup_join(named, star.dim_supplier.select("supplier_id", "supplier_name"), "supplier_id", "left", star.dim_rows("dim_supplier"))
+    product, supplier = F.col("_by_product") == 1, F.col("_by_product") == 0
+    base = named.select(
+        "*",
+        F.col("sum_qty").alias("total_units_sold"),
+        sql_round(avg_of("stock"), 0).alias("avg_stock"),
+        sql_round(avg_of("lead"), 1).alias("avg_lead_time"),
+        rate_pct(2).alias("delay_rate_pct"),
+        sql_round(F.col("min_lead"), 0).alias("min_lead_time"),
+        sql_round(F.col("max_lead"), 0).alias("max_lead_time"),
+    )
+    scored = score_suppliers(derive_inventory_kpis(base))
+    turnover = F.when(product & F.col("product_name").isNotNull(), F.col("inventory_turnover"))
+    worst = F.when(supplier & F.col("supplier_name").isNotNull(), F.col("risk_score"))
+    own = lambda c: F.sum(F.when(product, F.col(c)))  # noqa: E731  every fact row is in one product group
+    one = scored.agg(
+        sql_round((F.lit(1) - own("sum_delayed").cast("double") / own("n_delayed").cast("double")) * 100, 1).alias("on_time_rate_pct"),
+        sql_round(own("sum_lead").cast("double") / own("n_lead").cast("double"), 1).alias("avg_lead_time_days"),
+        sql_round(F.avg(turnover), 2).alias("avg_inventory_turnover"),
+        F.max(worst).alias("max_supplier_risk_score"),
+        F.count_if(product & (avg_of("stock") < CRITICAL_STOCK_BELOW)).alias("critical_stock_items"),
     )
-    worst = risk.agg(F.max("risk_score").alias("value")).select(F.lit("max_supplier_risk_score").alias("metric"), "value")
+    metrics = _long(one, [name for name, _, _ in TARGETS])
 
     def lookup(values) -> Column:
         pairs = [x for (name, _, _), v in zip(TARGETS, values) for x in (F.lit(name), F.lit(v))]
@@ -280,9 +309,7 @@ def kpi_targets(star: StarSchema, inventory: DataFrame, risk: DataFrame) -> Data
     order = lookup(list(range(len(TARGETS))))
     met = F.when(comparator == ">=", F.col("value") >= target).otherwise(F.col("value") <= target)
     return (
-        m.unionByName(turnover)
-        .unionByName(worst)
-        .select(
+        metrics.select(
             "metric",
             "value",
             comparator.alias("comparator"),

@@ -50,9 +50,14 @@ def _parts() -> list[tuple[str, Column, str]]:
 _COMBINE = {"sum": F.sum, "min": F.min, "max": F.max, "money": lambda c: F.sum(F.col(c).cast("decimal(38,0)"))}
 
 
+def measures() -> list[Column]:
+    """All measures as aggregates over fact rows."""
+    return [agg.alias(name) for name, agg, _ in _parts()]
+
+
 def partial_measures(fact: DataFrame, keys: Sequence[str | Column]) -> DataFrame:
     """Fact aggregated by ``keys``.  Unused measures are pruned by Catalyst."""
-    return fact.groupBy(*keys).agg(*[agg.alias(name) for name, agg, _ in _parts()])
+    return fact.groupBy(*keys).agg(*measures())
 
 
 def rollup(parts: DataFrame, keys: Sequence[str | Column]) -> DataFrame:

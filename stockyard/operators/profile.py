@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import cents, sql_round
-from .quantiles import exact_quantiles
+from .refine import Range, quantiles
 
 # Numeric columns of the raw feed; money columns carry two decimals.
 INT_COLUMNS = ["quantity_ordered", "lead_time_days", "warehouse_stock", "delay_days", "actual_delivery_days"]
@@ -47,9 +47,9 @@ def profile_orders(
 
     One aggregate over the feed computes the moments and extremes of every
     column (the wide row is then turned into one row per column); quartiles
-    come from the distributed exact quantile, joined on the column name (one
-    row per column on each side).  A column of nulls only has count 0 and null
-    statistics.  Money is taken to whole cents."""
+    come from rank refinement between the extremes, one or two counting passes over the same
+    columns.  These jobs run while the plan is built; the result holds one row per column.
+    A column of nulls only has count 0 and null statistics.  Money is taken to whole cents."""
     ints = {c: F.col(c).cast("long") for c in int_columns}
     money = {c: cents(F.col(c)) for c in money_columns}
     scaled = {**ints, **money}
@@ -64,6 +64,10 @@ def profile_orders(
             F.max(v).alias(f"hi{i}"),
         ]
     wide = raw_orders.agg(*aggs)
+    found = wide.first()
+    known = {c: Range(found[f"n{i}"], found[f"lo{i}"], found[f"hi{i}"]) for i, c in enumerate(scaled)}
+    quart = quantiles(raw_orders, scaled, QUANTILES, known)
+    wide = raw_orders.sparkSession.createDataFrame([found], wide.schema)
     rows = []
     for i, c in enumerate(scaled):
         unit = F.lit(100.0 if c in money else 1.0)
@@ -76,20 +80,8 @@ def profile_orders(
                 (s.cast("double") / n.cast("double") / unit).alias("mean"),
                 sql_round(F.sqrt(F.when(n > 1, var)) / unit, 6).alias("std"),
                 (F.col(f"lo{i}").cast("double") / unit).alias("min"),
-                F.lit(100.0 if c in money else 1.0).alias("_unit"),
+                *[(F.lit(q).cast("double") / unit).alias(p) for p, q in zip(("p25", "p50", "p75"), quart[c], strict=True)],
                 (F.col(f"hi{i}").cast("double") / unit).alias("max"),
             )
         )
-    moments = wide.select(F.inline(F.array(*rows)))
-    quart = exact_quantiles(raw_orders, scaled, QUANTILES)
-    return moments.join(F.broadcast(quart), "column_name", "left").select(
-        "column_name",
-        "count",
-        "mean",
-        "std",
-        "min",
-        (F.col("q0") / F.col("_unit")).alias("p25"),
-        (F.col("q1") / F.col("_unit")).alias("p50"),
-        (F.col("q2") / F.col("_unit")).alias("p75"),
-        "max",
-    )
+    return wide.select(F.inline(F.array(*rows)))

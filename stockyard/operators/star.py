@@ -115,7 +115,7 @@ def build_dim_date(orders: DataFrame) -> DataFrame:
     )
 
 
-def build_dim_product(
+def product_attributes(
     orders: DataFrame,
     category_map: Mapping[str, str] = PRODUCT_CATEGORY,
     category_key: Callable[[Column], Column] | None = None,
@@ -134,32 +134,52 @@ def build_dim_product(
         .agg(F.sum(cents(F.col("unit_cost"))).alias("_c"), F.count("unit_cost").alias("_n"))
     )
     key = category_key(name) if category_key else name
-    dim = per_product.select(
+    return per_product.select(
         name,
         pd_round(amount(F.col("_c")) / F.col("_n").cast("double"), 2).alias("unit_cost"),
         F.coalesce(F.element_at(literal_map(category_map), key), F.lit(default_category)).alias("category"),
     )
-    return with_dense_ids(dim, ["product_name"], "product_id")
 
 
-def build_dim_supplier(orders: DataFrame, country: str = DEFAULT_COUNTRY) -> DataFrame:
+def build_dim_product(orders: DataFrame, *args, **maps) -> DataFrame:
+    """``product_attributes`` with dense ids in name order."""
+    return with_dense_ids(product_attributes(orders, *args, **maps), ["product_name"], "product_id")
+
+
+def supplier_attributes(orders: DataFrame, country: str = DEFAULT_COUNTRY) -> DataFrame:
     """Suppliers with a reliability class of their (unrounded) delay rate."""
     name = F.col("supplier_name")
     rates = orders.where(name.isNotNull()).groupBy("supplier_name").agg(F.avg("is_delayed").alias("_rate"))
-    dim = rates.select(
+    return rates.select(
         name,
         bin_right(F.col("_rate"), RELIABILITY_EDGES, RELIABILITY_LABELS).alias("reliability"),
         F.lit(country).alias("country"),
     )
-    return with_dense_ids(dim, ["supplier_name"], "supplier_id")
 
 
-def build_dim_region(orders: DataFrame, zone_map: Mapping[str, str] = REGION_ZONE) -> DataFrame:
+def build_dim_supplier(orders: DataFrame, country: str = DEFAULT_COUNTRY) -> DataFrame:
+    """``supplier_attributes`` with dense ids in name order."""
+    return with_dense_ids(supplier_attributes(orders, country), ["supplier_name"], "supplier_id")
+
+
+def region_attributes(orders: DataFrame, zone_map: Mapping[str, str] = REGION_ZONE) -> DataFrame:
     """Distinct regions with a zone (no default: unmapped regions get null)."""
     name = F.col("region")
     regions = orders.where(name.isNotNull()).select(name.alias("region_name")).distinct()
-    dim = regions.select("region_name", F.element_at(literal_map(zone_map), F.col("region_name")).alias("zone"))
-    return with_dense_ids(dim, ["region_name"], "region_id")
+    return regions.select("region_name", F.element_at(literal_map(zone_map), F.col("region_name")).alias("zone"))
+
+
+def build_dim_region(orders: DataFrame, zone_map: Mapping[str, str] = REGION_ZONE) -> DataFrame:
+    """``region_attributes`` with dense ids in name order."""
+    return with_dense_ids(region_attributes(orders, zone_map), ["region_name"], "region_id")
+
+
+def extended_ids(known: DataFrame, names: DataFrame, id_col: str, name_col: str) -> DataFrame:
+    """(id_col, name_col): the known ids as they are, and ids after the largest for names not among them."""
+    known = known.select(id_col, name_col)
+    fresh = with_dense_ids(names.select(name_col).distinct().join(known, name_col, "left_anti"), [name_col], "_place")
+    last = known.agg(F.max(id_col).alias("n")).first()["n"] or 0
+    return known.unionByName(fresh.select((F.col("_place") + last).cast("int").alias(id_col), name_col))
 
 
 def build_fact_orders(

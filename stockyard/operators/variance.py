@@ -76,15 +76,33 @@ def cost_variance_rows(star: StarSchema) -> DataFrame:
     return derive_cost_variance(cost_variance_base(star))
 
 
-def monthly_category_spend(star: StarSchema, categories: Sequence[str]) -> DataFrame:
+#: Categories a pivot finds by itself at most: each becomes a column.
+MAX_CATEGORIES = 1000
+NO_CATEGORY = "(none)"
+
+
+def found_categories(star: StarSchema, most: int = MAX_CATEGORIES) -> list[str]:
+    """The categories of the product dimension in name order (products without one: ``(none)``, last).
+
+    Fails beyond ``most``: a wide pivot is a long table."""
+    distinct = star.dim_product.select("category").distinct().limit(most + 1).collect()
+    if len(distinct) > most:
+        raise ValueError(f"more than {most} categories; use cost_variance, one row for each")
+    names = [r["category"] for r in distinct]
+    return sorted(n for n in names if n is not None) + [NO_CATEGORY] * (None in names)
+
+
+def monthly_category_spend(star: StarSchema, categories: Sequence[str] | None = None) -> DataFrame:
     """Planned spend by calendar month (years merged) with one column per category, 0 if none.
 
-    A category that is not listed fails the query: its spend would have no column."""
-    listed = F.col("category").isin(list(categories))
-    unlisted = F.raise_error(F.concat(F.lit("category without a column: "), F.col("category"))).cast("string")
-    cv = cost_variance_rows(star).withColumn("category", F.when(listed, F.col("category")).otherwise(unlisted))
-    wide = cv.groupBy("month").pivot("category", list(categories)).agg(F.sum("planned_spend"))
-    return wide.na.fill(0.0, subset=list(categories)).orderBy("month")
+    Without ``categories`` the columns are those found in the product dimension.  With them, a
+    category that is not listed fails the query: its spend would have no column."""
+    categories = found_categories(star) if categories is None else list(categories)
+    category = F.coalesce("category", F.lit(NO_CATEGORY))
+    unlisted = F.raise_error(F.concat(F.lit("category without a column: "), category)).cast("string")
+    cv = cost_variance_rows(star).withColumn("category", F.when(category.isin(categories), category).otherwise(unlisted))
+    wide = cv.groupBy("month").pivot("category", categories).agg(F.sum("planned_spend"))
+    return wide.na.fill(0.0, subset=categories).orderBy("month")
 
 
 def monthly_on_time(star: StarSchema, sla_target: float = SLA_TARGET) -> DataFrame:

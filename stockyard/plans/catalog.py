@@ -9,19 +9,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators import forecast as fc
-from ..operators import clean, inventory, kpis, mart, profile, quality, risk, staging, variance
+from ..operators import clean, curve, inventory, kpis, mart, profile, quality, risk, staging, variance
 from ..schemas import RAW_ORDERS, column_names
 from ..sources import adapter
+from . import text_feed as fixture
 from .warehouse import StarSchema, warehouse
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Categories of the adapter data, in pivot-column order.
-CATEGORIES = sorted(set(adapter.PART_NOUN_CATEGORY.values()) | {"Other"})
-
-
 def raw_feed(star: StarSchema) -> DataFrame:
     """The raw order feed without the adapter's tie-break columns."""
     return star.raw_orders.select(*column_names(RAW_ORDERS))
@@ -29,7 +27,7 @@ def raw_feed(star: StarSchema) -> DataFrame:
 
 def text_feed(star: StarSchema) -> DataFrame:
     """The feed read back from text cells."""
-    return clean.typed_feed(adapter.text_feed(star.raw_orders))
+    return clean.typed_feed(fixture.text_feed(star.raw_orders))
 
 
 # The slice that the filtered dashboard keys show.
@@ -53,10 +51,13 @@ _STAR_QUERIES: dict[str, Callable[[StarSchema], DataFrame]] = {
     "feed_summary": lambda s: profile.feed_summary(raw_feed(s)),
     "inventory_snapshot": lambda s: inventory.inventory_snapshot(raw_feed(s)),
     # the same feed as text cells with planted faults
-    "text_bad_cells": lambda s: clean.bad_cells(adapter.text_feed(s.raw_orders)),
+    "text_bad_cells": lambda s: clean.bad_cells(fixture.text_feed(s.raw_orders)),
     "text_feed_summary": lambda s: profile.feed_summary(text_feed(s)),
     "text_profile_orders": lambda s: profile.profile_orders(text_feed(s)),
     "text_inventory_snapshot": lambda s: inventory.inventory_snapshot(text_feed(s)),
+    "text_clean_orders": lambda s: clean.clean_orders(
+        clean.typed_feed(fixture.text_feed(s.raw_orders, keep=adapter.FIRST_BY)), first_by=adapter.FIRST_BY
+    ),
     # star schema
     "dim_date": lambda s: s.dim_date,
     "dim_product": lambda s: s.dim_product,
@@ -76,7 +77,7 @@ _STAR_QUERIES: dict[str, Callable[[StarSchema], DataFrame]] = {
     "supplier_risk": risk.supplier_risk,
     "supplier_risk_view": risk.supplier_risk_view,
     "cost_variance": variance.cost_variance,
-    "monthly_category_spend": lambda s: variance.monthly_category_spend(s, CATEGORIES),
+    "monthly_category_spend": variance.monthly_category_spend,
     "monthly_on_time": variance.monthly_on_time,
     "kpi_summary": kpis.kpi_summary,
     "executive_kpis": kpis.executive_kpis,
@@ -95,6 +96,10 @@ _STAR_QUERIES: dict[str, Callable[[StarSchema], DataFrame]] = {
     "forecast_seasonal_by_category": lambda s: fc.forecast_seasonal(
         fc.daily_series(s, ["category"]), ["category"]
     ).orderBy("category", "date"),
+    "forecast_gram": lambda s: curve.gram(fc.daily_series(s)).withColumn("total", F.col("total").cast("double")),
+    "forecast_gram_by_category": lambda s: curve.gram(fc.daily_series(s, ["category"]), ["category"]).withColumn(
+        "total", F.col("total").cast("double")
+    ),
     # stand-alone SQL reports
     "stg_monthly_volume": staging.stg_monthly_volume,
     "stg_supplier_performance": staging.stg_supplier_performance,
@@ -118,11 +123,22 @@ _STAR_QUERIES: dict[str, Callable[[StarSchema], DataFrame]] = {
     "sliced_stock_alert": lambda s: staging.stg_stock_alert(kpis.sliced(s, **SLICE)),
     "revenue_concentration": kpis.revenue_concentration,
     "delay_per_affected": kpis.delay_per_affected,
-    "kpi_targets": lambda s: kpis.kpi_targets(
-        s, inventory.derive_inventory_kpis(inventory.inventory_base(s)), risk.score_suppliers(risk.supplier_base(s))
+    "kpi_targets": kpis.kpi_targets,
+}
+
+
+# Queries that solve equations, which SQL cannot express; their tests compare with brute force.
+_SOLVED: dict[str, Callable[[StarSchema], DataFrame]] = {
+    "forecast_model": lambda s: curve.forecast_model(fc.daily_series(s)).orderBy("date"),
+    "forecast_model_by_category": lambda s: curve.forecast_model(fc.daily_series(s, ["category"]), ["category"]).orderBy(
+        "category", "date"
     ),
 }
 
 
 def queries() -> dict[str, Query]:
     return {name: _q(name, fn) for name, fn in _STAR_QUERIES.items()}
+
+
+def solved_queries() -> dict[str, Query]:
+    return {name: _q(name, fn) for name, fn in _SOLVED.items()}

@@ -1,7 +1,8 @@
 """Join helpers with an explicit size check before any broadcast.
 
 A side is broadcast only when its row count is known to be at most
-``stockyard.broadcast.maxRows``; otherwise the join is left to Catalyst and
+``stockyard.broadcast.maxRows`` and the bytes of the columns it brings at most
+``stockyard.broadcast.maxBytes``; otherwise the join is left to Catalyst and
 AQE (sort-merge, runtime broadcast conversion, skew-join splitting).
 """
 
@@ -10,7 +11,37 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import broadcast_max_rows
+from ..session import broadcast_max_bytes, broadcast_max_rows
+
+#: Bytes a value of a fixed type, and a row, take in a broadcast table.
+FIXED_BYTES, ROW_BYTES = 8, 16
+
+
+class TableSize(int):
+    """Rows of a written table; ``columns`` holds the bytes of each of its columns."""
+
+    columns: dict[str, int]
+
+    def __new__(cls, rows: int, columns: dict[str, int] | None = None) -> TableSize:
+        size = super().__new__(cls, rows)
+        size.columns = columns or {}
+        return size
+
+    def bytes_of(self, names: list[str]) -> int | None:
+        """Bytes of some columns in a broadcast, or None where one of them was not measured."""
+        if not all(n in self.columns for n in names):
+            return None
+        return ROW_BYTES * int(self) + sum(self.columns[n] for n in names)
+
+
+def measure(df: DataFrame) -> TableSize:
+    """Rows and bytes by column of ``df``, in one scan."""
+    kinds = dict(df.dtypes)
+    texts = [c for c, kind in kinds.items() if kind in ("string", "binary")]
+    sums = [F.coalesce(F.sum(F.octet_length(F.col(f"`{c}`"))), F.lit(0)).alias(f"b{i}") for i, c in enumerate(texts)]
+    row = df.agg(F.count(F.lit(1)).alias("n"), *sums).first()
+    fixed = {c: FIXED_BYTES * row["n"] for c, kind in kinds.items() if "<" not in kind}
+    return TableSize(row["n"], fixed | {c: fixed[c] + row[f"b{i}"] for i, c in enumerate(texts)})
 
 
 def bounded_rows(df: DataFrame, max_rows: int) -> int | None:
@@ -22,14 +53,15 @@ def bounded_rows(df: DataFrame, max_rows: int) -> int | None:
 def checked_broadcast(df: DataFrame, known_rows: int | None = None) -> DataFrame:
     """``F.broadcast(df)`` if its size is proven small, else ``df`` unchanged.
 
-    ``known_rows`` is the count recorded when the table was materialised; when
-    it is missing the side is counted here.
+    ``known_rows`` is the size recorded when the table was materialised (a plain
+    count has no bytes); when it is missing the side is measured here.
     """
-    limit = broadcast_max_rows(df.sparkSession)
-    rows = known_rows if known_rows is not None else bounded_rows(df, limit)
-    if rows is not None and rows <= limit:
-        return F.broadcast(df)
-    return df
+    spark = df.sparkSession
+    rows = known_rows if known_rows is not None else measure(df)
+    if rows > broadcast_max_rows(spark):
+        return df
+    size = rows.bytes_of(df.columns) if isinstance(rows, TableSize) else None
+    return df if size is not None and size > broadcast_max_bytes(spark) else F.broadcast(df)
 
 
 def _skew_join_on(spark) -> bool:

@@ -10,6 +10,8 @@ documented rules: SQL ``ROUND`` through ``decimal(28,10)``, pandas rounding as
 
 from __future__ import annotations
 
+from ..operators.curve import FEATURE_UNIT, VALUE_UNIT, Curve, wave_angles
+
 
 def sround(x: str, n: int) -> str:
     return f"CAST(ROUND(CAST(({x}) AS DECIMAL(28,10)), {n}) AS DOUBLE)"
@@ -154,7 +156,8 @@ TEXT_FEED = """
          CASE WHEN k_order % 50 <> 7 THEN quantity_ordered END AS quantity_ordered, k_order % 50 = 7 AS quantity_bad,
          unit_cost, lead_time_days, warehouse_stock, delay_days,
          round_even(total_cost * 100, 0) / 100 + CASE WHEN k_order % 31 = 4 THEN 1 ELSE 0 END AS total_cost,
-         CAST(NULL AS INTEGER) AS actual_delivery_days, is_delayed
+         CAST(NULL AS INTEGER) AS actual_delivery_days, is_delayed,
+         k_order, k_part, k_supp, k_qty, k_price, k_ship
   FROM raw_orders
 )
 """
@@ -336,6 +339,31 @@ forecast AS (
 )"""
 
 
+def _gram(src: str, keys: list[str]) -> str:
+    """Sums of products of the model forecast's features, as whole numbers."""
+    c = Curve()
+    kc = "".join(k + ", " for k in keys)
+    part = f"PARTITION BY {', '.join(keys)}" if keys else ""
+    whole = lambda e, unit=FEATURE_UNIT: f"CAST(floor(({e}) * {unit}.0::DOUBLE + 0.5::DOUBLE) AS BIGINT)"
+    knots = [whole(f"greatest(t - {(k + 1) / (c.knots + 1) * c.knot_share!r}::DOUBLE, 0.0::DOUBLE)") for k in range(c.knots)]
+    waves = [f"{fn}(x * {a!r}::DOUBLE)" for a in wave_angles(c) for fn in ("sin", "cos")]
+    cells = [str(FEATURE_UNIT), whole("t"), *knots, *map(whole, waves), *[whole(w + " * t") for w in waves], whole("y", VALUE_UNIT)]
+    return f"""
+spans AS (SELECT *, MIN(ds) OVER ({part}) AS first_ds, MAX(ds) OVER ({part}) AS last_ds FROM {src} WHERE y IS NOT NULL),
+scaled AS (
+  SELECT {kc}y, CAST(ds - DATE '1970-01-01' AS DOUBLE) AS x,
+         CAST(ds - first_ds AS DOUBLE) / CAST(greatest(last_ds - first_ds, 1) AS DOUBLE) AS t,
+         last_ds - first_ds >= {3 * c.horizon} AND last_ds - ds < {c.horizon} AS held
+  FROM spans
+),
+cells AS (SELECT {kc}held, [{', '.join(cells)}] AS f FROM scaled),
+firsts_of AS (SELECT {kc}held, f, unnest(generate_series(1, len(f))) AS i FROM cells),
+pairs AS (SELECT {kc}held, f, i, unnest(generate_series(i, len(f))) AS j FROM firsts_of)
+SELECT {kc}held, CAST(i - 1 AS INTEGER) AS i, CAST(j - 1 AS INTEGER) AS j,
+       CAST(SUM(CAST(f[i] AS HUGEINT) * CAST(f[j] AS HUGEINT)) AS DOUBLE) AS total
+FROM pairs GROUP BY {kc}held, i, j"""
+
+
 def _with(*ctes: str) -> str:
     return PREFIX + "".join("," + c for c in ctes) + "\n"
 
@@ -442,6 +470,13 @@ FROM (
     q["text_inventory_snapshot"] = typed(q["inventory_snapshot"]).replace(value, "CAST(total_cost AS DECIMAL(18,2))").replace(
         "FROM text_orders GROUP BY", "FROM text_orders WHERE product_name IS NOT NULL GROUP BY"
     )
+    # The cleaned orders of the text feed: the rows of text_orders through the rules of orders_clean.
+    firsts, cleaned = PREFIX[PREFIX.index("firsts AS ("):PREFIX.index("orders_clean AS (")], PREFIX[PREFIX.index("orders_clean AS ("):PREFIX.index("dim_date AS (")]
+    q["text_clean_orders"] = (
+        text + "," + firsts.replace("firsts", "text_firsts").replace("raw_orders", "text_orders")
+        + cleaned.replace("orders_clean", "text_clean").replace("FROM firsts", "FROM text_firsts").rstrip().rstrip(",")
+        + " SELECT * FROM text_clean"
+    )
     for t in ("dim_date", "dim_product", "dim_supplier", "dim_region", "fact_orders"):
         q[t] = PREFIX + f"SELECT * FROM {t}"
     q["export_mart"] = PREFIX + """
@@ -569,6 +604,9 @@ WHERE date > (SELECT MAX(date) FROM forecast) - INTERVAL 90 DAY ORDER BY date"""
     q["forecast_rolling_by_category"] = _with(daily_cat, _rolling("daily_cat", ["category"])) + "SELECT * FROM forecast"
     q["forecast_seasonal_by_category"] = _with(daily_cat, _seasonal("daily_cat", ["category"])) + "SELECT * FROM forecast"
 
+    q["forecast_gram"] = _with(daily, _gram("daily", []))
+    q["forecast_gram_by_category"] = _with(daily_cat, _gram("daily_cat", ["category"]))
+
     q["stg_monthly_volume"] = _by_month(
         f"d.year, d.month_name, d.month, COUNT(f.order_id) AS total_orders, "
         f"CAST(SUM(f.quantity_ordered) AS BIGINT) AS total_units, {money('f.total_cost')} AS total_revenue",

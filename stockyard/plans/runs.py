@@ -8,20 +8,32 @@ driver only names paths.
 
 from __future__ import annotations
 
+import logging
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import forecast as fc
 from ..operators import inventory, kpis, mart, risk, variance
+from ..operators.clean import observed_feed
 from ..schemas import RAW_ORDERS, column_names
-from ..sources.files import EXPORT_TABLES, read_raw_orders_csv, write_csv, write_table
+from ..sources.files import EXPORT_TABLES, read_raw_orders_text, write_csv, write_table
 from .warehouse import StarSchema, build_warehouse
 
+log = logging.getLogger(__name__)
+
 
 def build_from_csv(spark: SparkSession, csv_path: str, root: str, **maps) -> StarSchema:
-    """Raw CSV feed -> star schema written below ``root`` (first copy in file order wins)."""
-    return build_warehouse(spark, read_raw_orders_csv(spark, csv_path), root, **maps)
+    """Raw CSV feed -> star schema written below ``root`` (first copy in file order wins).
+
+    ``faults`` of the result counts the cells that did not parse, by column, and the malformed lines (``*``);
+    they are counted while the raw layer is written and stored with the tables."""
+    raw, faults = observed_feed(read_raw_orders_text(spark, csv_path))
+    star = build_warehouse(spark, raw, root, observed=faults, **maps)
+    lost = {c: n for c, n in star.faults.items() if n}
+    if lost:
+        log.warning("cells of %s that could not be read, by column (*: malformed lines): %s", csv_path, lost)
+    return star
 
 
 def outputs(star: StarSchema) -> dict[str, DataFrame]:

@@ -6,6 +6,11 @@ de-duplication shuffle), each dimension reads only its columns of them, and
 the fact is written once.  Re-reading written
 Parquet cuts lineage (a lost executor re-reads files instead of re-running
 the joins) and gives the KPI scans column pruning and filter pushdown.
+
+A build is a new version below its root and becomes current only when all of it is written
+(``sources.versions``); ``open_warehouse`` reads the current one, also in later sessions.  The
+fact is partitioned by the year of its date key: a slice of years reads only their folders, and
+``replace_years`` rewrites only the years that a new feed holds.
 """
 
 from __future__ import annotations
@@ -19,6 +24,7 @@ from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.clean import clean_orders
 from ..operators.star import (
@@ -29,9 +35,15 @@ from ..operators.star import (
     build_dim_region,
     build_dim_supplier,
     build_fact_orders,
+    extended_ids,
+    product_attributes,
+    region_attributes,
+    supplier_attributes,
 )
+from ..schemas import FACT_ORDERS, FACT_PARTITION, STAR_TABLES, column_names
 from ..session import job_label, scratch_path, session_key
-from ..sources import adapter
+from ..sources import adapter, versions
+from .joins import TableSize, lookup_join, measure
 
 DIMENSIONS = ("dim_date", "dim_product", "dim_supplier", "dim_region")
 # Buckets of the raw layer; each becomes one de-duplication task.  Size it so a
@@ -53,6 +65,10 @@ class StarSchema:
     # Row counts recorded at materialisation; used to prove broadcast sizes.
     rows: dict[str, int] = field(default_factory=dict)
     root: str | None = None
+    # The fact with its partition column, for reports on some years.
+    fact_by_year: DataFrame | None = None
+    # Cells and lines of the feed that could not be read, by column (``*``: malformed lines).
+    faults: dict[str, int] = field(default_factory=dict)
 
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
@@ -77,14 +93,34 @@ def build_star_schema(
     return StarSchema(dd, dp, ds, dr, fact, orders=orders, raw_orders=raw_orders)
 
 
-def _write(df: DataFrame, path: str, sort_by: str | None = None) -> DataFrame:
+def _write(df: DataFrame, path: str) -> DataFrame:
     with job_label(df.sparkSession, f"stockyard write {path.rstrip('/').rsplit('/', 1)[-1]}"):
-        out = df.sortWithinPartitions(sort_by) if sort_by else df
-        out.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").parquet(path)
     # The schema is known: passing it skips the footer-reading inference job.
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def write_fact(fact: DataFrame, path: str) -> DataFrame:
+    """Write the fact partitioned by year, sorted by date inside each file, and read it back.
+
+    Only the years that ``fact`` holds are replaced (dynamic partition overwrite); the files of all others
+    stay as they are.  No exchange: each task writes one file for each of its years."""
+    year = F.floor(F.col("date_id") / 10000).cast("int")
+    with job_label(fact.sparkSession, "stockyard write fact_orders"):
+        rows = fact.withColumn(FACT_PARTITION, year).sortWithinPartitions(FACT_PARTITION, "date_id")
+        out = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        out.partitionBy(FACT_PARTITION).parquet(path)
+    return _read_fact(fact.sparkSession, path)
+
+
+def _read_fact(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(f"{_ddl(FACT_ORDERS)}, {FACT_PARTITION} int").parquet(path)
+
+
+def _ddl(schema) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+
+
 def _write_bucketed(df: DataFrame, path: str, key: str, buckets: int) -> DataFrame:
     """Write ``df`` as an external Parquet table bucketed by ``key``; read it back.
 
@@ -120,33 +156,117 @@ def materialize_star_schema(
         "dim_supplier": lambda: build_dim_supplier(clean),
         "dim_region": lambda: build_dim_region(clean, zone_map),
     }
+    written, rows = _write_dimensions(builders, root)
+    fact = build_fact_orders(clean, written["dim_product"], written["dim_supplier"], written["dim_region"], rows)
+    by_year = write_fact(fact, f"{root}/fact_orders")
+    rows["fact_orders"] = by_year.count()
+    return _star(written, by_year, rows, root, orders=clean, raw_orders=raw_orders)
+
 
-    def build(name: str) -> tuple[str, DataFrame, int]:
+def _write_dimensions(builders: Mapping[str, Callable[[], DataFrame]], root: str) -> tuple[dict[str, DataFrame], dict[str, int]]:
+    """Write the dimensions as concurrent small jobs (they are independent); measure each."""
+
+    def build(name: str) -> tuple[str, DataFrame, TableSize]:
         df = _write(builders[name](), f"{root}/{name}")
-        return name, df, df.count()
+        return name, df, measure(df)
 
-    # The dimensions are independent small jobs: submit them concurrently
-    # (Spark schedules jobs from several threads of one session in parallel).
     with ThreadPoolExecutor(max_workers=len(builders)) as pool:
         done = list(pool.map(build, builders))
-    written = {name: df for name, df, _ in done}
-    rows = {name: n for name, _, n in done}
-    fact = build_fact_orders(clean, written["dim_product"], written["dim_supplier"], written["dim_region"], rows)
-    fact = _write(fact, f"{root}/fact_orders", sort_by="date_id")
-    rows["fact_orders"] = fact.count()
-    return StarSchema(
-        written["dim_date"],
-        written["dim_product"],
-        written["dim_supplier"],
-        written["dim_region"],
-        fact,
-        orders=clean,
-        raw_orders=raw_orders,
-        rows=rows,
-        root=root,
+    return {name: df for name, df, _ in done}, {name: n for name, _, n in done}
+
+
+def _star(dims: Mapping[str, DataFrame], by_year: DataFrame, rows: dict[str, int], root: str, **more) -> StarSchema:
+    fact = by_year.select(*column_names(FACT_ORDERS))
+    return StarSchema(*[dims[d] for d in DIMENSIONS], fact, rows=rows, root=root, fact_by_year=by_year, **more)
+
+
+def _manifest(star: StarSchema, places: dict[str, str], folders: list[str]) -> versions.Manifest:
+    return versions.Manifest(
+        places,
+        rows={name: int(n) for name, n in star.rows.items()},
+        bytes={name: n.columns for name, n in star.rows.items() if isinstance(n, TableSize)},
+        notes={"partitions": [FACT_PARTITION], "faults": star.faults},
+        folders=folders,
     )
 
 
+def open_warehouse(spark: SparkSession, root: str) -> StarSchema:
+    """The star schema that is current below ``root``, in any session, without a job."""
+    found = versions.current(spark, root)
+    if found is None:
+        raise FileNotFoundError(f"no warehouse was published below {root}")
+    read = lambda name, schema: spark.read.schema(schema).parquet(found.tables[name])
+    dims = {name: read(name, STAR_TABLES[name]) for name in DIMENSIONS}
+    rows = {name: TableSize(n, found.bytes[name]) if name in found.bytes else n for name, n in found.rows.items()}
+    return _star(dims, _read_fact(spark, found.tables["fact_orders"]), rows, root, faults=found.notes.get("faults", {}))
+
+
+def replace_years(
+    spark: SparkSession,
+    root: str,
+    orders: DataFrame,
+    category_map: Mapping[str, str] = PRODUCT_CATEGORY,
+    category_key: Callable[[Column], Column] | None = None,
+    zone_map: Mapping[str, str] = REGION_ZONE,
+) -> StarSchema:
+    """Load cleaned ``orders`` of some years into the warehouse below ``root``.
+
+    They replace all facts of the years they hold (of no year, for orders without a date); facts of other
+    years, and their files, stay.  Ids stay, new names get ids after the largest; what the dimensions derive
+    from the orders (mean cost, reliability, dates) is aggregated again from the whole fact.  The longer
+    dimensions are published before the fact changes, so no reader meets a fact whose names it lacks."""
+    old = open_warehouse(spark, root)
+    found = versions.current(spark, root)
+    fact_path = found.tables["fact_orders"]
+    names = {
+        "dim_product": ("product_id", "product_name", "product_name"),
+        "dim_supplier": ("supplier_id", "supplier_name", "supplier_name"),
+        "dim_region": ("region_id", "region_name", "region"),
+    }
+    with versions.new_version(spark, root) as folder:
+        fresh = _write(orders, f"{folder}/orders_clean")
+        ids = {}
+        for dim, (key, name, source) in names.items():
+            given = fresh.where(F.col(source).isNotNull()).select(F.col(source).alias(name))
+            ids[dim] = _write(extended_ids(old.table(dim), given, key, name), f"{folder}/ids_{dim}")
+        sizes = {dim: measure(ids[dim]) for dim in ids}
+
+        def longer(dim: str) -> DataFrame:
+            key, name, _ = names[dim]
+            return ids[dim].join(old.table(dim).drop(name), key, "left").select(*column_names(STAR_TABLES[dim]))
+
+        dates = lambda: old.dim_date.unionByName(build_dim_date(fresh)).distinct()
+        first = {dim: (lambda dim=dim: longer(dim)) for dim in ids} | {"dim_date": dates}
+        dims, rows = _write_dimensions(first, f"{folder}/longer")
+        star = _star(dims, old.fact_by_year, rows | {"fact_orders": old.rows["fact_orders"]}, root, faults=old.faults)
+        places = {d: f"{folder}/longer/{d}" for d in DIMENSIONS} | {"fact_orders": fact_path}
+        versions.publish(spark, root, _manifest(star, places, [folder]))
+
+    by_year = write_fact(build_fact_orders(fresh, ids["dim_product"], ids["dim_supplier"], ids["dim_region"], sizes), fact_path)
+    with versions.new_version(spark, root) as folder:
+        named = by_year
+        for dim, (key, name, source) in names.items():
+            named = lookup_join(named, ids[dim].select(key, F.col(name).alias(source)), key, "left", sizes[dim])
+        named = named.withColumn("order_date", F.try_to_date(F.col("date_id").cast("string"), "yyyyMMdd"))
+        made = {
+            "dim_product": product_attributes(named, category_map, category_key),
+            "dim_supplier": supplier_attributes(named),
+            "dim_region": region_attributes(named, zone_map),
+        }
+
+        def again(dim: str) -> DataFrame:
+            key, name, _ = names[dim]
+            return ids[dim].join(made[dim], name).select(*column_names(STAR_TABLES[dim]))
+
+        last = {dim: (lambda dim=dim: again(dim)) for dim in ids} | {"dim_date": lambda: build_dim_date(named)}
+        dims, rows = _write_dimensions(last, folder)
+        rows["fact_orders"] = by_year.count()
+        star = _star(dims, by_year, rows, root, faults=old.faults)
+        places = {d: f"{folder}/{d}" for d in DIMENSIONS} | {"fact_orders": fact_path}
+        versions.publish(spark, root, _manifest(star, places, [folder]))
+    return star
+
+
 _LOCK = threading.Lock()
 _CACHE: dict[tuple[str, str], StarSchema] = {}
 
@@ -160,8 +280,9 @@ def build_warehouse(
     category_map: Mapping[str, str] = PRODUCT_CATEGORY,
     category_key: Callable[[Column], Column] | None = None,
     zone_map: Mapping[str, str] = REGION_ZONE,
+    observed: Callable[[], dict[str, int]] | None = None,
 ) -> StarSchema:
-    """Raw feed -> written raw layer -> cleaned orders -> dimensions -> fact.
+    """Raw feed -> written raw layer -> cleaned orders -> dimensions -> fact, published below ``root``.
 
     By default de-duplication is a shuffled aggregate whose map-side partial
     aggregation collapses the copies of an order in every task, so even one
@@ -171,21 +292,32 @@ def build_warehouse(
     writes the raw layer bucketed by its first column
     (``stockyard.raw.buckets`` buckets, default one per shuffle partition) and
     de-duplicates by it as well without a shuffle; all copies of one key then
-    share a bucket and a task."""
-    raw_t = None
+    share a bucket and a task.
+
+    ``observed`` gives the feed's fault counts once the raw layer is written; they are stored with
+    the tables."""
+    with versions.new_version(spark, root) as folder:
+        raw_t, colocated = _raw_layer(spark, raw, folder, colocate_by)
+        faults = observed() if observed else {}
+        orders = clean_orders(raw_t, first_by=first_by, colocate_by=colocated)
+        star = materialize_star_schema(
+            spark, orders, folder, category_map=category_map, category_key=category_key, zone_map=zone_map, raw_orders=raw_t
+        )
+        star.root, star.faults = root, faults
+        places = {name: f"{folder}/{name}" for name in (*STAR_TABLES, "orders_clean")}
+        versions.publish(spark, root, _manifest(star, places, [folder]))
+    return star
+
+
+def _raw_layer(spark: SparkSession, raw: DataFrame, root: str, colocate_by: Sequence[str]) -> tuple[DataFrame, Sequence[str]]:
+    """The feed written once, and the columns it is in fact co-located by."""
     if colocate_by:
         buckets = int(spark.conf.get(RAW_BUCKETS_CONF, spark.conf.get("spark.sql.shuffle.partitions")))
         try:
-            raw_t = _write_bucketed(raw, f"{root}/raw_orders", colocate_by[0], buckets)
+            return _write_bucketed(raw, f"{root}/raw_orders", colocate_by[0], buckets), colocate_by
         except AnalysisException as err:  # the catalog takes no table here: same result, one more shuffle
             log.warning("bucketed raw layer unavailable (%s); de-duplicating with a shuffle", err)
-            colocate_by = ()
-    if raw_t is None:
-        raw_t = _write(raw, f"{root}/raw_orders_plain")
-    orders = clean_orders(raw_t, first_by=first_by, colocate_by=colocate_by)
-    return materialize_star_schema(
-        spark, orders, root, category_map=category_map, category_key=category_key, zone_map=zone_map, raw_orders=raw_t
-    )
+    return _write(raw, f"{root}/raw_orders_plain"), ()
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> StarSchema:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# Raw order feed as written by the order generator, in file column order.
+# The raw order feed as written by the order generator, in file column order.
 # ``actual_delivery`` is always empty in that feed and is dropped on read.
 RAW_CSV_COLUMNS = [
     "order_id",
@@ -120,6 +120,9 @@ FACT_ORDERS = T.StructType(
     ]
 )
 
+# The written fact is partitioned by the year of its date key (null without a date).
+FACT_PARTITION = "order_year"
+
 STAR_TABLES = {
     "dim_date": DIM_DATE,
     "dim_product": DIM_PRODUCT,

@@ -13,12 +13,16 @@ import tempfile
 import uuid
 from contextlib import contextmanager
 
+from pyspark.errors import PySparkAttributeError
 from pyspark.sql import SparkSession
 
 # Rows a dimension may have and still be broadcast.  Dimensions are counted
 # when they are materialised, so the check costs nothing at join time.
 BROADCAST_MAX_ROWS_CONF = "stockyard.broadcast.maxRows"
 BROADCAST_MAX_ROWS_DEFAULT = 1_000_000
+# And the bytes its columns may have in a join, where they are known.
+BROADCAST_MAX_BYTES_CONF = "stockyard.broadcast.maxBytes"
+BROADCAST_MAX_BYTES_DEFAULT = 128 << 20
 
 
 def local_session(
@@ -59,7 +63,7 @@ def spark_context(spark: SparkSession):
     """The session's SparkContext, or None where there is none (Spark Connect)."""
     try:
         return spark.sparkContext
-    except Exception:
+    except PySparkAttributeError:  # what a remote session raises
         return None
 
 
@@ -126,3 +130,7 @@ def drop_scratch(spark: SparkSession) -> None:
 
 def broadcast_max_rows(spark: SparkSession) -> int:
     return int(spark.conf.get(BROADCAST_MAX_ROWS_CONF, str(BROADCAST_MAX_ROWS_DEFAULT)))
+
+
+def broadcast_max_bytes(spark: SparkSession) -> int:
+    return int(spark.conf.get(BROADCAST_MAX_BYTES_CONF, str(BROADCAST_MAX_BYTES_DEFAULT)))

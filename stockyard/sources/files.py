@@ -1,8 +1,9 @@
 """File sources and sinks: CSV feeds and outputs, Parquet tables, table DDL.
 
-All writes use ``mode("overwrite")`` (replace semantics) and go to a folder
-of part files; ``single_file`` collapses to one part only for small frames
-(dimensions, report outputs) where one file is the contract of a BI tool.
+All writes replace what is there.  CSV outputs use ``mode("overwrite")`` and go to a folder of part files;
+``single_file`` collapses to one part only for small frames (dimensions, report outputs) where one
+file is the contract of a BI tool.  Parquet tables are written as a new version and switched last
+(``versions``), so that a failed write leaves the old rows.
 """
 
 from __future__ import annotations
@@ -14,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.clean import FILE_ORDER, MALFORMED, typed_feed
-from ..schemas import RAW_CSV_SCHEMA, STAR_TABLES
+from ..schemas import FACT_PARTITION, RAW_CSV_SCHEMA, STAR_TABLES
+from . import versions
 
 # Rows up to which an output is gathered in one file.
 SINGLE_FILE_ROWS = 1_000_000
@@ -65,32 +67,58 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False, rows: int | N
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Replace a Parquet table and return it read back (lineage cut)."""
-    w = df.write.mode("overwrite")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    """Replace the Parquet table at ``path`` and return it read back (lineage cut).
+
+    The old rows stay readable until the new ones are whole, and if the write fails."""
+    spark = df.sparkSession
+    with versions.new_version(spark, path) as folder:
+        w = df.write.partitionBy(*partition_by) if partition_by else df.write
+        w.parquet(folder)
+        versions.publish(spark, path, versions.Manifest({"": folder}, folders=[folder]))
+    return spark.read.schema(df.schema).parquet(folder)
+
+
+def read_table_at(spark: SparkSession, path: str) -> DataFrame:
+    """The current rows of a table that ``write_table`` wrote."""
+    found = versions.current(spark, path)
+    return spark.read.parquet(found.tables[""] if found else path)
 
 
 def load_star_schema(tables: Mapping[str, DataFrame], root: str) -> dict[str, DataFrame]:
-    """Replace the five star-schema tables below ``root``."""
-    return {name: write_table(tables[name], f"{root}/{name}") for name in STAR_TABLES}
+    """Replace the five star-schema tables below ``root``, all at once."""
+    spark = tables["fact_orders"].sparkSession
+    with versions.new_version(spark, root) as folder:
+        for name in STAR_TABLES:
+            tables[name].write.parquet(f"{folder}/{name}")
+        places = {name: f"{folder}/{name}" for name in STAR_TABLES}
+        versions.publish(spark, root, versions.Manifest(places, folders=[folder]))
+    return {name: spark.read.schema(tables[name].schema).parquet(path) for name, path in places.items()}
 
 
 def _ddl_type(t: T.DataType) -> str:
     return t.simpleString().upper()
 
 
-def create_star_tables(spark: SparkSession, root: str, prefix: str = "") -> list[str]:
-    """``CREATE TABLE IF NOT EXISTS ... USING parquet`` for the star schema.
+def create_star_tables(spark: SparkSession, root: str, prefix: str = "", analyze: bool = True) -> list[str]:
+    """``CREATE TABLE IF NOT EXISTS ... USING parquet`` for the star schema, over its current version.
 
-    Idempotent, like the original DDL.  Keys and NOT NULL are documented in
-    the schemas and checked by ``operators.quality``, not enforced here."""
+    Idempotent, like the original DDL; a table made earlier is pointed at the version that is current now.
+    ``analyze`` gathers row counts and column statistics of tables that hold rows, so that the planner knows
+    widths and distinct counts.  Keys and NOT NULL are documented in the schemas and checked by
+    ``operators.quality``, not enforced here."""
     names = []
+    places = versions.resolve(spark, root, {name: f"{root}/{name}" for name in STAR_TABLES})
     for name, schema in STAR_TABLES.items():
-        cols = ", ".join(f"`{f.name}` {_ddl_type(f.dataType)}" for f in schema.fields)
-        table = f"{prefix}{name}"
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet LOCATION '{root}/{name}'")
+        fields, parts = list(schema.fields), ""
+        if name == "fact_orders" and versions.current(spark, root) and FACT_PARTITION in (versions.current(spark, root).notes.get("partitions") or []):
+            fields, parts = [*fields, T.StructField(FACT_PARTITION, T.IntegerType())], f" PARTITIONED BY ({FACT_PARTITION})"
+        cols = ", ".join(f"`{f.name}` {_ddl_type(f.dataType)}" for f in fields)
+        table, place = f"{prefix}{name}", places[name]
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet{parts} LOCATION '{place}'")
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{place}'")
+        if parts:
+            spark.sql(f"MSCK REPAIR TABLE {table}")
+        if analyze:
+            spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")
         names.append(table)
     return names
