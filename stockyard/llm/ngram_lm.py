@@ -2,8 +2,10 @@
 
 Counts of words and word pairs are quantised to a logarithmic scale and stored in a Bloom
 filter: an n-gram of level q is inserted with the suffixes 1..q, and a count is read back by
-probing 1, 2, ... until a probe misses.  The filter has no keys, only bits, and is built in
-segments by the tasks that count; it grows with the n-grams.  Up to a bound it is broadcast to the
+probing levels until one misses (doubling steps, then halving).  The filter has no keys, only bits, and is
+built in segments by the tasks that count; it grows with the n-grams, and its bits and probes with the
+logarithm of the vocabulary, so that the chance hits of a whole vocabulary after one context stay rare and
+the probabilities after every context sum to one.  Up to a bound it is broadcast to the
 scorers; beyond it the distinct n-grams of the texts are sent to the segments and their levels back.
 
 Exact word counts serve the add-one baseline: frequent words (a bounded number of them) are
@@ -30,19 +32,18 @@ _U = np.uint64
 
 @dataclass(frozen=True)
 class Params:
-    """word_base, pair_base: bases of the quantised scales.  pair_min: least count of a pair in
-    the model.  probes: bits per insertion; bits: filter bits per insertion; max_bytes: a larger
+    """word_ratio, pair_ratio: steps of the scales above the counts that they hold exactly.  pair_min: least count of a pair in the model.  chance: expected number of absent words
+    that the filter takes for seen after a context; it sets probes and bits.  max_bytes: a larger
     filter is not broadcast but asked by shuffle, with the same levels.  pair_weight: weight of the pair estimate.  frequent: words whose share of
     all tokens is above 1 / frequent are broadcast with exact counts, so at most so many.
     held_mod, held_rest: documents with crc32(id) mod held_mod = held_rest are not learned from.
     flush: distinct n-grams a task holds before it sends them on.
     """
 
-    word_base: float = 1.25
-    pair_base: float = 2.0
+    word_ratio: float = 1.04
+    pair_ratio: float = 1.12
     pair_min: int = 1
-    probes: int = 5
-    bits: float = 8.0
+    chance: float = 1 / 256
     max_bytes: int = 1 << 28
     pair_weight: float = 0.3
     frequent: int = 1 << 20
@@ -213,11 +214,44 @@ def count_of(level: np.ndarray, base: float) -> np.ndarray:
     return np.where(level > 0, np.sqrt(low * high), 0.0)
 
 
-def _positions(key: np.ndarray, level: int | np.ndarray, probe: int, bits: int) -> np.ndarray:
-    """Bit positions in a segment, by double hashing of (key, level)."""
+def _steps(ratio: float) -> np.ndarray:
+    """Least counts of the levels 1, 2, ...: every whole number while ``ratio`` asks for smaller steps."""
+    lows = [1]
+    while lows[-1] < 1 << 52:
+        lows.append(max(lows[-1] + 1, int(np.ceil(lows[-1] * ratio))))
+    return np.array(lows, np.int64)
+
+
+_STEPS: dict[float, np.ndarray] = {}
+
+
+def steps(ratio: float) -> np.ndarray:
+    if ratio not in _STEPS:
+        _STEPS[ratio] = _steps(ratio)
+    return _STEPS[ratio]
+
+
+def step_of(count: np.ndarray, ratio: float) -> np.ndarray:
+    return np.searchsorted(steps(ratio), count, "right")
+
+
+def step_count(level: np.ndarray, ratio: float) -> np.ndarray:
+    """The geometric middle of the whole counts of a level; 0 for level 0."""
+    lows = steps(ratio)
+    at = np.clip(level, 1, len(lows) - 1) - 1
+    return np.where(level > 0, np.sqrt(lows[at] * (lows[at + 1] - 1.0)), 0.0)
+
+
+def _spots(key: np.ndarray, level: int | np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of (key, level), from which all probes follow."""
     a = A.mix64(key + np.asarray(level).astype(_U) * _U(0x9E3779B97F4A7C15))
-    b = (a >> _U(32)) | _U(1)
-    return ((a & _U(0xFFFFFFFF)) + _U(probe) * b) % _U(bits)
+    return a, A.mix64(a ^ _U(0x94D049BB133111EB)) | _U(1)
+
+
+def _position(spots: tuple[np.ndarray, np.ndarray], probe: int, bits: int) -> np.ndarray:
+    """Bit in a segment of at most 2**32 bits, by double hashing."""
+    a, b = spots
+    return ((a + _U(probe) * b) >> _U(32)) * _U(bits) >> _U(32)
 
 
 class Filter:
@@ -226,22 +260,46 @@ class Filter:
     def __init__(self, segments: list[np.ndarray], bits: int, probes: int):
         self.bytes, self.bits, self.probes, self.parts = np.concatenate(segments), bits, probes, len(segments)
 
-    def levels(self, key: np.ndarray) -> np.ndarray:
-        """The stored level of every key, 0 if the first probe misses (too high by chance, never too low)."""
-        out = np.zeros(len(key), np.int64)
-        left = np.arange(len(key))
+    def has(self, key: np.ndarray, level: int | np.ndarray) -> np.ndarray:
+        """Whether every probe of (key, level) hits."""
+        a, b = _spots(key, level)
         base = ((key >> _U(32)) * _U(self.parts) >> _U(32)) * _U(self.bits)
-        level = 0
-        while len(left):
-            level += 1
-            for probe in range(self.probes):
-                at = _positions(key[left], level, probe, self.bits) + base[left]
-                left = left[(self.bytes[at >> _U(3)] >> (at & _U(7)).astype(np.uint8)) & 1 == 1]
+        left = np.arange(len(key))
+        for probe in range(self.probes):
+            at = _position((a, b), probe, self.bits) + base
+            on = (self.bytes[at >> _U(3)] >> (at & _U(7)).astype(np.uint8)) & 1 == 1
+            if not on.all():
+                left, a, b, base = left[on], a[on], b[on], base[on]
                 if not len(left):
                     break
-            out[left] = level
-            if level >= 400:
+        out = np.zeros(len(key), bool)
+        out[left] = True
+        return out
+
+    def levels(self, key: np.ndarray) -> np.ndarray:
+        """The stored level of every key, 0 if level 1 misses (too high by chance, never too low).
+
+        All levels up to a key's own are set: doubled levels are asked until one misses, then the gap is halved."""
+        out = np.zeros(len(key), np.int64)
+        live = np.flatnonzero(self.has(key, 1))
+        out[live] = 1
+        low, high = [], []
+        while len(live):
+            on = self.has(key[live], 2 * out[live])
+            low.append(live[~on])
+            live = live[on]
+            out[live] *= 2
+            if len(live) and int(out[live[0]]) >= 1 << 11:  # above every level there is
                 break
+        open_ = np.concatenate(low) if low else np.empty(0, np.int64)
+        high = 2 * out[open_]
+        while len(open_):
+            wide = high - out[open_] > 1
+            open_, high = open_[wide], high[wide]
+            middle = (out[open_] + high) // 2
+            on = self.has(key[open_], middle)
+            out[open_[on]] = middle[on]
+            high = np.where(on, high, middle)
         return out
 
 
@@ -253,12 +311,13 @@ def segment(keys: np.ndarray, levels: np.ndarray, bits: int, probes: int) -> np.
         level += 1
         on = levels >= level
         keys, levels = keys[on], levels[on]
+        spots = _spots(keys, level)
         for probe in range(probes):
-            field[_positions(keys, level, probe, bits)] = True
+            field[_position(spots, probe, bits)] = True
     return np.packbits(field, bitorder="little")
 
 
-SEGMENT = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("bits", T.BinaryType())])
+SEGMENT = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("bits", T.BinaryType()), T.StructField("ones", T.LongType())])
 KEPT = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("keys", T.BinaryType()), T.StructField("levels", T.BinaryType()), T.StructField("inserts", T.LongType())])
 
 
@@ -271,9 +330,9 @@ def _kept_pairs(p: Params):
         def out():
             k, n = counts.take()
             k, n = k[n >= p.pair_min], n[n >= p.pair_min]
-            level = level_of(n, p.pair_base)
+            level = step_of(n, p.pair_ratio)
             return pa.RecordBatch.from_arrays(
-                [pa.array([now], pa.int32()), pa.array([k.tobytes()], pa.binary()), pa.array([level.astype(np.uint8).tobytes()], pa.binary()), pa.array([int(level.sum())], pa.int64())],
+                [pa.array([now], pa.int32()), pa.array([k.tobytes()], pa.binary()), pa.array([level.astype(np.uint16).tobytes()], pa.binary()), pa.array([int(level.sum())], pa.int64())],
                 names=KEPT.names,
             )
 
@@ -304,7 +363,8 @@ def _segments(bits: int, probes: int):
 
         def out():
             made = segment(np.concatenate(keys), np.concatenate(levels), bits, probes)
-            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([made.tobytes()], pa.binary())], names=SEGMENT.names)
+            ones = int(np.bitwise_count(made).sum())
+            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([made.tobytes()], pa.binary()), pa.array([ones], pa.int64())], names=SEGMENT.names)
 
         for batch in batches:
             for part, k, q in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -313,7 +373,7 @@ def _segments(bits: int, probes: int):
                         yield out()
                     now, keys, levels = part, [], []
                 keys.append(np.frombuffer(k, _U))
-                levels.append(np.frombuffer(q, np.uint8))
+                levels.append(np.frombuffer(q, np.uint16))
         if now is not None:
             yield out()
 
@@ -326,7 +386,7 @@ def _word_rows(p: Params, parts: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             k = batch.column(0).to_numpy().view(_U)
-            q = level_of(batch.column(1).to_numpy(), p.word_base).astype(np.uint8)
+            q = step_of(batch.column(1).to_numpy(), p.word_ratio).astype(np.uint16)
             part = ((k >> _U(32)) * _U(parts) >> _U(32)).astype(np.int64)
             order = np.argsort(part, kind="stable")
             k, q, part = k[order], q[order], part[order]
@@ -345,10 +405,24 @@ def _word_rows(p: Params, parts: int):
     return run
 
 
+def _read_counts(p: Params):
+    """The sum of all learned words' counts as the filter gives them back, plus one for each."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = 0.0
+        for batch in batches:
+            total += float((step_count(step_of(batch.column(0).to_numpy(), p.word_ratio), p.word_ratio) + 1).sum())
+        yield pa.RecordBatch.from_pydict({"mass": [total]})
+
+    return run
+
+
 @dataclass
 class Model:
     """counts: (h, c, seen) by word; total: learned tokens; vocabulary: distinct ones.
-    filter: broadcast, or the table of its segments (part, bits) with parts of that many bits."""
+    filter: broadcast, or the table of its segments (part, bits) with parts of that many bits.
+    mass: what the words' read counts, each plus one, and one for all unknown words sum to.
+    excess: expected chance hits of the vocabulary after one context, from the filter's fill."""
 
     counts: DataFrame
     total: int
@@ -358,6 +432,9 @@ class Model:
     params: Params
     parts: int
     bits: int
+    probes: int
+    mass: float
+    excess: float
 
 
 def fit(docs: DataFrame, p: Params | None = None, id_col: str = "doc_id", text_col: str = "text") -> Model:
@@ -375,15 +452,21 @@ def fit(docs: DataFrame, p: Params | None = None, id_col: str = "doc_id", text_c
     words = counts.where("c > 0").select("h", "c").mapInArrow(_word_rows(p, parts), KEPT)
     kept = materialise(sent.mapInArrow(_kept_pairs(p), KEPT).union(words), "ngrams")
     inserts = kept.agg(F.sum("inserts")).first()[0] or 0
-    bits = max(64, int(inserts * p.bits / parts) // 64 * 64)
+    read = counts.where("c > 0").select("c").mapInArrow(_read_counts(p), "mass double")
+    mass = 1.0 + (read.agg(F.sum("mass")).first()[0] or 0.0)
+    # An absent n-gram hits with probability 2**-probes in a filter that is half full.
+    probes = max(4, int(np.ceil(np.log2(max(vocabulary, 1) / p.chance))))
+    bits = max(64, int(inserts * probes / np.log(2) / parts) // 64 * 64)
     made = kept.select("part", "keys", "levels").repartition(parts, "part").sortWithinPartitions("part")
-    made = made.mapInArrow(_segments(bits, p.probes), SEGMENT)
+    made = materialise(made.mapInArrow(_segments(bits, probes), SEGMENT), "segments")
+    fullest = (made.agg(F.max("ones")).first()[0] or 0) / bits
+    shape = (p, parts, bits, probes, mass, vocabulary * fullest**probes)
     if parts * bits > 8 * p.max_bytes:
-        return Model(counts, total, vocabulary, seen, materialise(made, "segments"), p, parts, bits)
-    rows = dict(made.collect())  # at most max_bytes
+        return Model(counts, total, vocabulary, seen, made.select("part", "bits"), *shape)
+    rows = dict(made.select("part", "bits").collect())  # at most max_bytes
     empty = np.zeros(bits // 8, np.uint8)
     segments = [np.frombuffer(rows[k], np.uint8) if k in rows else empty for k in range(parts)]
-    return Model(counts, total, vocabulary, seen, Shared(docs, "n-gram filter", (segments, bits)), p, parts, bits)
+    return Model(counts, total, vocabulary, seen, Shared(docs, "n-gram filter", (segments, bits)), *shape)
 
 
 # --- scoring -------------------------------------------------------------------------------
@@ -401,24 +484,43 @@ PARTIAL = T.StructType(
     ]
 )
 
-def _log_probs(tok, ctx, levels: Callable, total: int, vocabulary: int, p: Params) -> np.ndarray:
-    """log10 of the smoothed probability of every token after its context, from the levels alone."""
+def probabilities(tok, ctx, own, before, levels: Callable, mass: float, excess: float, p: Params) -> np.ndarray:
+    """The smoothed probability of every token after its context (own, before: read counts of token and context).
+
+    After a seen context the pairs' read counts sum to about its count and the expected chance hits, after
+    any other the words alone share everything: in both cases the vocabulary and one unknown word sum to one."""
+    word = (own + 1) / mass
+    kk, kinv = np.unique(pair_key(ctx, tok), return_inverse=True)
+    both = step_count(levels(kk), p.pair_ratio)[kinv]
+    mixed = p.pair_weight * both / np.maximum(before + excess, 1e-9) + (1 - p.pair_weight) * word
+    return np.where(before > 0, mixed, word)
+
+
+@dataclass(frozen=True)
+class Scorer:
+    """What tasks need of a model beside its filter and counts."""
+
+    params: Params
+    total: int
+    vocabulary: int
+    probes: int
+    mass: float
+    excess: float
+
+
+def _log_probs(tok, ctx, levels: Callable, mass: float, excess: float, p: Params) -> np.ndarray:
+    """log10 of the probability of every token of a chunk, from the levels alone."""
     k, inv = np.unique(tok, return_inverse=True)
-    own = count_of(levels(k), p.word_base)[inv]
     # Before a text's first token stands another text's end token, whose count is the number of texts.
-    before = np.roll(own, 1)
-    word = (own + 1) / (total + vocabulary + 1)
-    kk, kinv = np.unique(pair_key(ctx, tok), return_inverse=True)
-    both = count_of(levels(kk), p.pair_base)[kinv]
-    pair = np.where(before > 0, np.minimum(both / np.maximum(before, 1), 1.0), 0.0)
-    return np.log10(p.pair_weight * pair + (1 - p.pair_weight) * word)
+    own = step_count(levels(k), p.word_ratio)[inv]
+    return np.log10(probabilities(tok, ctx, own, np.roll(own, 1), levels, mass, excess, p))
 
 
-def _scored(tok, ctx, toff, ids, held, rows, levels: Callable, frequent, total: int, vocabulary: int, p: Params) -> pa.RecordBatch:
+def _scored(tok, ctx, toff, ids, held, rows, levels: Callable, frequent, m: Scorer) -> pa.RecordBatch:
     """The scores of a chunk of texts."""
     common, common_count = frequent
-    size = np.log10(total + vocabulary + 1.0)
-    score = np.add.reduceat(_log_probs(tok, ctx, levels, total, vocabulary, p), toff[:-1])
+    size = np.log10(m.total + m.vocabulary + 1.0)
+    score = np.add.reduceat(_log_probs(tok, ctx, levels, m.mass, m.excess, m.params), toff[:-1])
     at = np.minimum(np.searchsorted(common, tok), max(len(common) - 1, 0))
     hit = common[at] == tok if len(common) else np.zeros(len(tok), bool)
     c = np.where(hit, common_count[at], 0) if len(common) else np.zeros(len(tok))
@@ -441,13 +543,13 @@ def _scored(tok, ctx, toff, ids, held, rows, levels: Callable, frequent, total:
     )
 
 
-def _score(p: Params, model_filter: Shared, frequent: Shared, total: int, vocabulary: int):
+def _score(m: Scorer, model_filter: Shared, frequent: Shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bloom = model_filter.get(lambda value: Filter(*value, p.probes))
+        bloom = model_filter.get(lambda value: Filter(*value, m.probes))
         for batch in batches:
-            for tok, ctx, toff, ids, held, lo in _batches([batch], p):
+            for tok, ctx, toff, ids, held, lo in _batches([batch], m.params):
                 rows = batch.column(2).slice(lo, len(ids))
-                yield _scored(tok, ctx, toff, ids, held, rows, bloom.levels, frequent.get(), total, vocabulary, p)
+                yield _scored(tok, ctx, toff, ids, held, rows, bloom.levels, frequent.get(), m)
 
     return run
 
@@ -533,7 +635,7 @@ def _tell(bits: int, probes: int):
     return run
 
 
-def _score_told(p: Params, frequent: Shared, total: int, vocabulary: int):
+def _score_told(m: Scorer, frequent: Shared):
     """Rows (chunk, part, levels, tokens, offsets, ids, rows) sorted by chunk, part: the chunk's texts
     come first (part -1), then its levels, which in the order of parts are those of its sorted keys."""
 
@@ -548,7 +650,7 @@ def _score_told(p: Params, frequent: Shared, total: int, vocabulary: int):
             if len(keys) != len(levels):
                 raise ValueError("levels are missing")
             find = lambda k: levels[np.searchsorted(keys, k)]
-            return _scored(tok, ctx, toff, ids, held_out(ids, p), pa.array(rows, pa.int64()), find, frequent.get(), total, vocabulary, p)
+            return _scored(tok, ctx, toff, ids, held_out(ids, m.params), pa.array(rows, pa.int64()), find, frequent.get(), m)
 
         for batch in batches:
             for _, part, levels, *rest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
@@ -564,18 +666,18 @@ def _score_told(p: Params, frequent: Shared, total: int, vocabulary: int):
     return run
 
 
-def _by_shuffle(src: DataFrame, model: Model, frequent: Shared) -> DataFrame:
+def _by_shuffle(src: DataFrame, model: Model, frequent: Shared, m: Scorer) -> DataFrame:
     """What ``_score`` gives, with the filter's segments left where they are made: the distinct
     n-grams of each chunk of texts go to the segments, their levels to the chunk."""
     p, parts = model.params, model.parts
     chunks = materialise(src.mapInArrow(_chunks(p), CHUNKS), "chunks")
     asked = chunks.select("chunk", "tokens", "offsets").mapInArrow(_ask(parts), ASKED)
     held = model.filter.select("part", F.lit(-1).cast("long").alias("chunk"), F.col("bits").alias("keys"))
-    told = held.union(asked).repartition(parts, "part").sortWithinPartitions("part", "chunk").mapInArrow(_tell(model.bits, p.probes), TOLD)
+    told = held.union(asked).repartition(parts, "part").sortWithinPartitions("part", "chunk").mapInArrow(_tell(model.bits, m.probes), TOLD)
     texts = chunks.withColumn("part", F.lit(-1))
     both = told.unionByName(texts, allowMissingColumns=True).select("chunk", "part", "levels", "tokens", "offsets", "ids", "rows")
     both = both.repartition(parts, "chunk").sortWithinPartitions("chunk", "part")
-    return both.mapInArrow(_score_told(p, frequent, model.total, model.vocabulary), PARTIAL)
+    return both.mapInArrow(_score_told(m, frequent), PARTIAL)
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -593,10 +695,11 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     order = np.argsort(h)
     frequent = Shared(docs, "frequent words", (h[order], common.column("c").to_numpy()[order]))
     src = docs.select(col(id_col).cast("long").alias("doc_id"), col(text_col).alias("text"), F.monotonically_increasing_id().alias("row"))
+    m = Scorer(p, model.total, model.vocabulary, model.probes, model.mass, model.excess)
     if isinstance(model.filter, Shared):
-        first = src.mapInArrow(_score(p, model.filter, frequent, model.total, model.vocabulary), PARTIAL)
+        first = src.mapInArrow(_score(m, model.filter, frequent), PARTIAL)
     else:
-        first = _by_shuffle(src, model, frequent)
+        first = _by_shuffle(src, model, frequent, m)
     first = materialise(first, "scores")
     rest = model.counts.where(F.col("seen") <= least).select("h", "c")
     size = float(np.log10(model.total + model.vocabulary + 1.0))
