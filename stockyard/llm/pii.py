@@ -16,6 +16,7 @@ from datetime import date, timedelta
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .store import col
@@ -24,6 +25,15 @@ ROUNDS = 10
 _FIRST_DAY, _LAST_DAY = date(1900, 1, 1), date(2099, 12, 31)
 # English month names.
 MONTHS = "January February March April May June July August September October November December".split()
+# Registered lengths of IBANs by country.
+IBAN_LENGTHS = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BR": 29, "BY": 28, "CH": 21, "CR": 22,
+    "CY": 28, "CZ": 24, "DE": 22, "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18, "FO": 18, "FR": 27, "GB": 22, "GE": 22,
+    "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IQ": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30,
+    "KZ": 20, "LB": 28, "LC": 32, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "LY": 25, "MC": 27, "MD": 24, "ME": 22, "MK": 19, "MR": 27,
+    "MT": 31, "MU": 30, "NL": 18, "NO": 15, "PK": 24, "PL": 28, "PS": 29, "PT": 25, "QA": 29, "RO": 24, "RS": 22, "SA": 24, "SC": 31,
+    "SE": 24, "SI": 19, "SK": 24, "SM": 27, "ST": 25, "SV": 28, "TL": 23, "TN": 24, "TR": 26, "UA": 29, "VA": 22, "VG": 24, "XK": 20,
+}
 KINDS = ("iban", "card", "ssn", "phone", "ipv4", "date")
 
 
@@ -179,16 +189,48 @@ def _date(text, move):
         if m[2] == "/" and not first_is_month and new.day <= 12:
             a, b = new.month, new.day
         return f"{a:02d}{m[2]}{b:02d}{m[2]}{new.year}"
-    if m := re.fullmatch(r"([A-Z][a-z]+) (\d{1,2})(,? )(\d{4})", text):
-        new = _moved_day(_day(int(m[4]), MONTHS.index(m[1]) + 1, int(m[2])), move)
-        return new and f"{MONTHS[new.month - 1]} {new.day}{m[3]}{new.year}"
-    m = re.fullmatch(r"(\d{1,2}) ([A-Z][a-z]+) (\d{4})", text)
-    if m and m[2] in MONTHS:
-        new = _moved_day(_day(int(m[3]), MONTHS.index(m[2]) + 1, int(m[1])), move)
-        return new and f"{new.day} {MONTHS[new.month - 1]} {new.year}"
+    if m := re.fullmatch(r"([A-Z][a-z]+)(\.?) (\d{1,2})(,? )(\d{4})", text):
+        new = _moved_day(_day(int(m[5]), _month(m[1]), int(m[3])), move)
+        return new and f"{_named(new.month, m[1])}{m[2]} {new.day}{m[4]}{new.year}"
+    if m := re.fullmatch(r"(\d{1,2}) ([A-Z][a-z]+)(\.?) (\d{4})", text):
+        new = _moved_day(_day(int(m[4]), _month(m[2]), int(m[1])), move)
+        return new and f"{new.day} {_named(new.month, m[2])}{m[3]} {new.year}"
     return None
 
 
+def _month(name: str) -> int:
+    return next(k for k, month in enumerate(MONTHS, 1) if month.startswith(name[:3]))
+
+
+def _named(month: int, like: str) -> str:
+    """The month's name, short where ``like`` is (May, which is both, counts as short)."""
+    return MONTHS[month - 1][:3] if len(like) == 3 else MONTHS[month - 1]
+
+
+def _iban_ends(text: str) -> list[int]:
+    """Where the IBAN that ``text`` begins with may end, longest first: at its country's length, else at a space."""
+    flat, ends = 0, []
+    for k, c in enumerate(text, 1):
+        flat += c != " "
+        if c != " " and (k == len(text) or text[k] == " ") and flat >= 15 and flat == IBAN_LENGTHS.get(text[:2], flat):
+            ends.append(k)
+    return ends[::-1]
+
+
+def _card_ends(text: str) -> list[int]:
+    """Where the card number that ``text`` begins with may end, longest first: after 13 digits or more, before a space."""
+    digits, ends = 0, []
+    for k, c in enumerate(text, 1):
+        digits += c.isdigit()
+        if c.isdigit() and digits >= 13 and (k == len(text) or text[k] == " "):
+            ends.append(k)
+    return ends[::-1]
+
+
+_ENDS = {"iban": _iban_ends, "card": _card_ends}
+_MONTH_NAMES = "|".join(f"{m}|{m[:3]}\\.?" for m in MONTHS)
+
+
 _FORMS = {
     "iban": (r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])", _iban),
     "phone": (
@@ -200,7 +242,7 @@ _FORMS = {
     "ssn": (r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])", _ssn),
     "ipv4": (r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d)", _ipv4),
     "date": (
-        r"(?<![\w./-])(?:\d{4}([-/.])\d{1,2}\1\d{1,2}|\d{1,2}([-/.])\d{1,2}\2\d{4}|\d{1,2} (?:" + "|".join(MONTHS) + r") \d{4}|(?:" + "|".join(MONTHS) + r") \d{1,2},? \d{4})(?![\w/-])",
+        r"(?<![\w./-])(?:\d{4}([-/.])\d{1,2}\1\d{1,2}|\d{1,2}([-/.])\d{1,2}\2\d{4}|\d{1,2} (?:" + _MONTH_NAMES + r") \d{4}|(?:" + _MONTH_NAMES + r") \d{1,2},? \d{4})(?![\w/-])",
         _date,
     ),
     "card": (r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])", _card),
@@ -229,14 +271,23 @@ class Pseudonyms:
 
     def apply(self, text: str, back: bool = False) -> tuple[str, list[tuple[str, int, int]]]:
         """(new text, spans): kind, start and end in the given text, in order.  Kinds named first win overlaps."""
-        spans: list[tuple[int, int, str, str]] = []
+        spans: list[tuple[int, int, str, str]] = []  # in order, none over another
         for kind, form, fn in self.forms:
-            for m in form.finditer(text):
-                if any(a < m.end() and m.start() < b for a, b, _, _ in spans):
+            found, taken, at = [], 0, 0
+            while m := form.search(text, at):
+                start, end = m.span()
+                while taken < len(spans) and spans[taken][1] <= start:
+                    taken += 1
+                if taken < len(spans) and spans[taken][0] < end:  # a kind named earlier holds these characters
+                    at = max(spans[taken][1], start + 1)
                     continue
-                if (new := self.replace(kind, m[0], fn, back)) is not None:
-                    spans.append((m.start(), m.end(), kind, new))
-        spans.sort()
+                at = start + 1
+                for size in _ENDS[kind](m[0]) if kind in _ENDS else (len(m[0]),):
+                    if (new := self.replace(kind, m[0][:size], fn, back)) is not None:
+                        found.append((start, start + size, kind, new))
+                        at = start + size
+                        break
+            spans = sorted(spans + found)
         out, at = [], 0
         for a, b, _, new in spans:
             out += [text[at:a], new]
@@ -259,8 +310,10 @@ _made: dict[bytes, Pseudonyms] = {}
 def pseudonymise(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, text, spans, n_<kind>...) for every row of ``docs``.
 
-    A null text stays null with no spans.  Values that fail their check (Luhn, IBAN remainder,
-    octets, calendar) are left alone.  Rows are independent, nothing is shuffled.
+    A null text stays null with no spans; bytes that are not UTF-8 become replacement characters.  Values that
+    fail their check (Luhn, IBAN remainder, octets, calendar) are left alone; an IBAN or card number followed by
+    more characters of its kind is found by its registered length or at the last space where it checks.
+    Rows are independent, repeated rows get equal results, nothing is shuffled; time is linear in a text's length.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,4 +332,4 @@ def pseudonymise(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col:
             cols = [pa.array(c, pa.int64()) for c in zip(*counts, strict=True)] if counts else [pa.array([], pa.int64())] * len(KINDS)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), pa.array(spans, spans_type), *cols], names=REPLACED.names)
 
-    return docs.select(col(id_col).cast("long").alias("doc_id"), col(text_col).alias("text")).mapInArrow(run, REPLACED)
+    return docs.select(col(id_col).cast("long").alias("doc_id"), F.make_valid_utf8(col(text_col).cast("string")).alias("text")).mapInArrow(run, REPLACED)
