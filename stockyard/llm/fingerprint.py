@@ -152,7 +152,7 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
             marks = [to_text(s) for s in sketches([t or "" for t in batch.column(1).to_pylist()])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks, pa.string())], names=FINGERPRINT.names)
 
-    return docs.select(col(id_col).cast("long").alias("doc_id"), col(text_col).alias("text")).mapInArrow(run, FINGERPRINT)
+    return docs.select(col(id_col).cast("long").alias("doc_id"), F.make_valid_utf8(col(text_col).cast("string")).alias("text")).mapInArrow(run, FINGERPRINT)
 
 
 # --- neighbours in id order -------------------------------------------------------------------
@@ -170,7 +170,8 @@ def _buckets(ids: DataFrame, parts: int) -> Column:
     low = F.element_at(cuts, piece)
     high = F.element_at(cuts, F.least(piece + 1, F.lit(len(edges))))
     each = -(-parts // len(edges))
-    inside = F.floor((F.col("doc_id") - low).cast("double") / F.greatest(high - low, F.lit(1)).cast("double") * each)
+    span = F.greatest(high.cast("double") - low.cast("double"), F.lit(1.0))  # ids may span more than 2**63
+    inside = F.floor((F.col("doc_id").cast("double") - low.cast("double")) / span * each)
     return (piece * (each + 2) + F.least(F.greatest(inside, F.lit(0)), F.lit(each))).cast("int")
 
 
@@ -242,7 +243,7 @@ def edit_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     next smaller id's document; where that id repeats, the row with the smallest text hash stands
     for it.  A row without an id has no place in the order: an empty text follows it.
     """
-    rows = docs.select(col(id_col).cast("long").alias("doc_id"), col(text_col).alias("text"))
+    rows = docs.select(col(id_col).cast("long").alias("doc_id"), F.make_valid_utf8(col(text_col).cast("string")).alias("text"))
     ids = rows.select("doc_id").where("doc_id is not null")
     parts = partitions(docs)
     bucket = _buckets(ids, 4 * parts)
