@@ -10,13 +10,13 @@ from .store import materialise
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("u", "v").union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    least = materialise(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
     return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
+    least = materialise(down.groupBy("u").agg(F.min("v").alias("m")), "least")
     moved = down.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.union(least.select("u", F.col("m").alias("v")))
 
@@ -25,8 +25,10 @@ def components(edges: DataFrame) -> DataFrame:
     """(id, component): every vertex of ``edges`` (long columns u, v) with the least vertex it reaches.
 
     Each round rewires every vertex to the least of its neighbours; the table never
-    grows, hot vertices are aggregated map-side, and rounds are logarithmic in the
-    longest path.  Every round is written to the shared folder, so no lineage grows.
+    grows and rounds are logarithmic in the longest path.  The least neighbours are aggregated map-side
+    and written; the join that brings them to the edges then has its exchanges directly below it, so that Spark's
+    skew handling splits the edges of a hot vertex.  Every round is written to the shared folder, so no
+    lineage grows.
     Self loops and repeated edges are allowed; no edges give no rows.
     """
     now = materialise(edges.select("u", "v").where("u != v").distinct(), "edges")

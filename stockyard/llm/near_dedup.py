@@ -246,7 +246,8 @@ def _centre_pairs(members: DataFrame, labels: DataFrame | None, turn: int) -> Da
         rows = rows.withColumn("component", F.col("id"))
     order = F.struct(F.xxhash64("id", F.lit(turn)).alias("o") if turn else F.col("id").alias("o"), "id", "component")
     centre = rows.groupBy("key").agg(F.min(order).alias("c")).select("key", "c.id", "c.component")
-    centre = centre.toDF("key", "centre", "centre_component")
+    # Written first, so that the join's exchanges stand directly below it and a hot bucket is split.
+    centre = materialise(centre.toDF("key", "centre", "centre_component"), "centres")
     far = rows.join(centre, "key").where("component != centre_component")
     return far.select(F.least("id", "centre").alias("u"), F.greatest("id", "centre").alias("v")).distinct()
 
@@ -271,7 +272,7 @@ def _blocks(members: DataFrame, labels: DataFrame, p: Params) -> DataFrame:
             F.ceil((F.col("all") - F.col("top.n")) / p.block).alias("others"),
         )
     )
-    rows = rows.join(mixed, "key")
+    rows = rows.join(materialise(mixed, "mixed"), "key")  # written, as the centres are
     rows = rows.withColumn("side", (F.col("component") == F.col("main")).cast("int"))
     own = F.pmod(F.xxhash64("id"), F.when(F.col("side") == 1, F.col("mains")).otherwise(F.col("others")))
     rows = rows.withColumn("own", own)
