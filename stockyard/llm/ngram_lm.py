@@ -3,9 +3,10 @@
 Counts of words and word pairs are quantised to a logarithmic scale and stored in a Bloom
 filter: an n-gram of level q is inserted with the suffixes 1..q, and a count is read back by
 probing levels until one misses (doubling steps, then halving).  The filter has no keys, only bits, and is
-built in segments by the tasks that count; it grows with the n-grams, and its bits and probes with the
-logarithm of the vocabulary, so that the chance hits of a whole vocabulary after one context stay rare and
-the probabilities after every context sum to one.  Up to a bound it is broadcast to the
+built in segments by the tasks that count; it grows with the n-grams.  A hit may be chance, and after one context
+the whole vocabulary may hit; the expected number of such hits, known from the filter's fill, enters every
+context's count, and a context's pairs weigh as much as its count outweighs them, so that the probabilities
+after every context sum to one at every size of filter and vocabulary.  Up to a bound it is broadcast to the
 scorers; beyond it the distinct n-grams of the texts are sent to the segments and their levels back.
 
 Exact word counts serve the add-one baseline: frequent words (a bounded number of them) are
@@ -32,9 +33,9 @@ _U = np.uint64
 
 @dataclass(frozen=True)
 class Params:
-    """word_ratio, pair_ratio: steps of the scales above the counts that they hold exactly.  pair_min: least count of a pair in the model.  chance: expected number of absent words
-    that the filter takes for seen after a context; it sets probes and bits.  max_bytes: a larger
-    filter is not broadcast but asked by shuffle, with the same levels.  pair_weight: weight of the pair estimate.  frequent: words whose share of
+    """word_ratio, pair_ratio: steps of the scales above the counts that they hold exactly.  pair_min: least count of a pair in the model.  bits: filter bits per insertion, which set the probes.
+    More of them leave less to chance and let rarer contexts' pairs count.  max_bytes: a larger
+    filter is not broadcast but asked by shuffle, with the same levels.  pair_weight: largest weight of the pair estimate.  frequent: words whose share of
     all tokens is above 1 / frequent are broadcast with exact counts, so at most so many.
     held_mod, held_rest: documents with crc32(id) mod held_mod = held_rest are not learned from.
     flush: distinct n-grams a task holds before it sends them on.
@@ -43,7 +44,7 @@ class Params:
     word_ratio: float = 1.04
     pair_ratio: float = 1.12
     pair_min: int = 1
-    chance: float = 1 / 256
+    bits: float = 20.0
     max_bytes: int = 1 << 28
     pair_weight: float = 0.3
     frequent: int = 1 << 20
@@ -119,7 +120,7 @@ def _batches(batches, p: Params):
         buf, off = A.text_buffer(batch.column(1))
         ids = batch.column(0).to_pylist()
         held = held_out(ids, p)
-        for lo, hi in A.doc_chunks(off, 2 * A.CHUNK):
+        for lo, hi in A.doc_chunks(off, A.CHUNK):
             tok, ctx, toff = tokens(buf[off[lo] : off[hi]], off[lo : hi + 1] - off[lo])
             yield tok, ctx, toff, ids[lo:hi], held[lo:hi], lo
 
@@ -257,8 +258,10 @@ def _position(spots: tuple[np.ndarray, np.ndarray], probe: int, bits: int) -> np
 class Filter:
     """Segments of bits; a key's top bits choose its segment."""
 
-    def __init__(self, segments: list[np.ndarray], bits: int, probes: int):
-        self.bytes, self.bits, self.probes, self.parts = np.concatenate(segments), bits, probes, len(segments)
+    def __init__(self, segments: list[np.ndarray] | np.ndarray, bits: int, probes: int):
+        # One array is taken as it is: workers hold the broadcast filter once.
+        self.bytes = segments if isinstance(segments, np.ndarray) else np.concatenate(segments)
+        self.bits, self.probes, self.parts = bits, probes, 8 * len(self.bytes) // bits
 
     def has(self, key: np.ndarray, level: int | np.ndarray) -> np.ndarray:
         """Whether every probe of (key, level) hits."""
@@ -454,19 +457,24 @@ def fit(docs: DataFrame, p: Params | None = None, id_col: str = "doc_id", text_c
     inserts = kept.agg(F.sum("inserts")).first()[0] or 0
     read = counts.where("c > 0").select("c").mapInArrow(_read_counts(p), "mass double")
     mass = 1.0 + (read.agg(F.sum("mass")).first()[0] or 0.0)
-    # An absent n-gram hits with probability 2**-probes in a filter that is half full.
-    probes = max(4, int(np.ceil(np.log2(max(vocabulary, 1) / p.chance))))
-    bits = max(64, int(inserts * probes / np.log(2) / parts) // 64 * 64)
+    # Half of the bits are set then: an absent n-gram hits with probability 2**-probes.
+    probes = max(1, round(p.bits * float(np.log(2))))
+    bits = max(64, int(inserts * p.bits / parts) // 64 * 64)
     made = kept.select("part", "keys", "levels").repartition(parts, "part").sortWithinPartitions("part")
-    made = materialise(made.mapInArrow(_segments(bits, probes), SEGMENT), "segments")
-    fullest = (made.agg(F.max("ones")).first()[0] or 0) / bits
-    shape = (p, parts, bits, probes, mass, vocabulary * fullest**probes)
+    made = made.mapInArrow(_segments(bits, probes), SEGMENT)
+
+    def excess(ones: int) -> float:
+        return vocabulary * (ones / (parts * bits)) ** probes
+
     if parts * bits > 8 * p.max_bytes:
-        return Model(counts, total, vocabulary, seen, made.select("part", "bits"), *shape)
-    rows = dict(made.select("part", "bits").collect())  # at most max_bytes
+        made = materialise(made, "segments")
+        ones = made.agg(F.sum("ones")).first()[0] or 0
+        return Model(counts, total, vocabulary, seen, made.select("part", "bits"), p, parts, bits, probes, mass, excess(ones))
+    found = {r["part"]: r for r in made.collect()}  # at most max_bytes
     empty = np.zeros(bits // 8, np.uint8)
-    segments = [np.frombuffer(rows[k], np.uint8) if k in rows else empty for k in range(parts)]
-    return Model(counts, total, vocabulary, seen, Shared(docs, "n-gram filter", (segments, bits)), *shape)
+    segments = [np.frombuffer(found[k]["bits"], np.uint8) if k in found else empty for k in range(parts)]
+    ones = sum(r["ones"] for r in found.values())
+    return Model(counts, total, vocabulary, seen, Shared(docs, "n-gram filter", (np.concatenate(segments), bits)), p, parts, bits, probes, mass, excess(ones))
 
 
 # --- scoring -------------------------------------------------------------------------------
@@ -487,12 +495,15 @@ PARTIAL = T.StructType(
 def probabilities(tok, ctx, own, before, levels: Callable, mass: float, excess: float, p: Params) -> np.ndarray:
     """The smoothed probability of every token after its context (own, before: read counts of token and context).
 
-    After a seen context the pairs' read counts sum to about its count and the expected chance hits, after
-    any other the words alone share everything: in both cases the vocabulary and one unknown word sum to one."""
+    After a seen context the pairs' read counts sum to about its count and the expected chance hits; their share
+    of the mass is the largest weight times the count's part of that sum.  After any other the words alone share
+    everything.  In both cases the vocabulary and one unknown word sum to one."""
     word = (own + 1) / mass
     kk, kinv = np.unique(pair_key(ctx, tok), return_inverse=True)
     both = step_count(levels(kk), p.pair_ratio)[kinv]
-    mixed = p.pair_weight * both / np.maximum(before + excess, 1e-9) + (1 - p.pair_weight) * word
+    whole = np.maximum(before + excess, 1e-9)
+    weight = p.pair_weight * before / whole
+    mixed = weight * both / whole + (1 - weight) * word
     return np.where(before > 0, mixed, word)
 
 

@@ -50,6 +50,7 @@ def hashes(words):
 
 
 def test_probabilities_sum_to_one_after_every_kind_of_context(model, exact):
+    """Contexts learned once, rarely, often and very often."""
     words, after = exact
     p = model.params
     bloom = ngram_lm.Filter(*model.filter.broadcast.value, model.probes)
@@ -61,13 +62,16 @@ def test_probabilities_sum_to_one_after_every_kind_of_context(model, exact):
     rng = np.random.default_rng(0)
     kinds = {(1, 1): 60, (2, 3): 40, (4, 10): 40, (50, 200): 40, (1000, 10**9): 20}
     for (low, high), n in kinds.items():
-        some = [c for c in names if low <= words[c] <= high]
+        some, sums = [c for c in names if low <= words[c] <= high], []
         for c in rng.choice(some, min(n, len(some)), replace=False):
             context = np.full(len(vocabulary), by_hash[c])
             before = ngram_lm.step_count(bloom.levels(context[:1]), p.word_ratio)[0]
             probs = ngram_lm.probabilities(vocabulary, context, own, np.full(len(vocabulary), before), bloom.levels, model.mass, model.excess, p)
-            unknown = (1 - p.pair_weight) / model.mass
-            assert 0.98 <= probs.sum() + unknown <= 1.02, (c, words[c], probs.sum())
+            unknown = 1 / model.mass
+            sums.append(probs.sum() + unknown)
+        # In expectation one; the chance hits of a single context vary about their expected number.
+        assert 0.98 <= np.mean(sums) <= 1.02 and 0.9 <= min(sums) and max(sums) <= 1.1, (low, sums)
+        assert low < 1000 or 0.98 <= min(sums) and max(sums) <= 1.02
     for before in (0.0, float(words[None])):  # after an unknown word, and at the begin of a text
         context = np.full(len(vocabulary), ngram_lm._BEGIN[0] if before else 12345, np.uint64)
         probs = ngram_lm.probabilities(vocabulary, context, own, np.full(len(vocabulary), before), bloom.levels, model.mass, model.excess, p)
@@ -75,21 +79,35 @@ def test_probabilities_sum_to_one_after_every_kind_of_context(model, exact):
 
 
 def test_score_against_exact_counts(spark, model, texts, exact):
+    """A token's probability is off by at most the middle of a step of each scale, sqrt(1.12) and sqrt(1.04) twice,
+    and by chance hits, which are rare and weigh little."""
     words, after = exact
-    """A token's probability is off by at most the middle of a step of each scale: sqrt(1.12) and sqrt(1.04)."""
-    total, distinct, weight = sum(words.values()), len(words), model.params.pair_weight
-    most, off, n = math.log10(math.sqrt(1.12 * 1.04)) + 0.001, 0.0, 0
+    total, distinct, most = sum(words.values()), len(words), model.params.pair_weight
+    step, off, n = math.log10(math.sqrt(1.12) * 1.04) + 0.005, 0.0, 0
     for r in ngram_lm.score(spark.read.parquet(f"{SF}/documents.parquet"), model).collect():
         ws, want = texts[r["doc_id"]], 0.0
         for a, b in zip(["", *ws], [*ws, None]):
             before = words[None] if a == "" else words[a]
-            word = (words[b] + 1) / (total + distinct + 1)
-            want += math.log10(weight * after[a][b] / before + (1 - weight) * word if before else word)
-        assert abs(r["score"] - want) <= most * (len(ws) + 1), (r["doc_id"], r["score"], want)
+            word, whole = (words[b] + 1) / (total + distinct + 1), before + model.excess
+            weight = most * before / whole
+            want += math.log10(weight * after[a][b] / whole + (1 - weight) * word)
+        assert abs(r["score"] - want) <= step * (len(ws) + 1) + 1, (r["doc_id"], r["score"], want)
         off, n = off + (r["score"] - want), n + len(ws) + 1
     assert abs(off / n) < 0.003
 
 
+def test_more_bits_leave_less_to_chance(spark, exact):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    score = {}
+    for bits in (8.0, 30.0):
+        model = ngram_lm.fit(docs, ngram_lm.Params(bits=bits))
+        rows = [r for r in ngram_lm.score(docs, model).collect() if r["held_out"]]
+        score[bits] = sum(r["score"] for r in rows) / sum(r["n_tokens"] for r in rows), model.excess
+        base = sum(r["base_score"] for r in rows) / sum(r["n_tokens"] for r in rows)
+    assert score[30.0][1] < 0.1 < 100 < score[8.0][1]
+    assert base < score[8.0][0] < score[30.0][0]
+
+
 def test_steps_are_exact_below_their_ratio():
     counts = np.arange(1, 2000)
     read = ngram_lm.step_count(ngram_lm.step_of(counts, 1.04), 1.04)
@@ -103,5 +121,6 @@ def test_doubling_and_halving_read_every_level():
     level = rng.integers(1, 700, len(keys))
     bits = 64 * (int(level.sum()) * 30 // 64)
     made = ngram_lm.Filter([ngram_lm.segment(keys, level, bits, 20)], bits, 20)
-    assert (made.levels(keys) == level).all()
+    got = made.levels(keys)
+    assert (got >= level).all() and (got > level).mean() < 0.01
     assert not made.levels(rng.integers(0, 2**64, 50_000, dtype=np.uint64)).any()
