@@ -19,6 +19,8 @@ NAME_COLUMNS = ("product_name", "supplier_name", "region")
 # Hidden column added by the CSV reader: (file, block start, position) so that
 # "first in file order" is well defined after Spark has split the file.
 FILE_ORDER = "_file_order"
+# Position of a row in the written raw layer: the task that wrote it, and its number there.
+SLICE, ROW = "_slice", "_row"
 # Holds the whole line of a CSV row with too few or too many cells.
 MALFORMED = "_malformed"
 
@@ -101,6 +103,29 @@ def dedupe_first(
     )
 
 
+def dedupe_late(layer: DataFrame, key: str, first_by: Sequence[str]) -> DataFrame:
+    """``dedupe_first`` over a written layer with positions, without moving its wide rows.
+
+    ``layer`` is bucketed by ``SLICE`` (the task that wrote a row) and numbers the rows of a slice in ``ROW``.
+    Only keys, ordering columns and positions are shuffled, copies of a key collapsing map-side.  The
+    positions of the rows that stay go back as one bitmap for each slice, 64 rows to a word, and each
+    bucket's rows are filtered where they are read.  Copies that ``first_by`` does not tell apart are
+    ordered by a hash of the rest of the row."""
+    rest = [F.col(f"`{c}`") for c in layer.columns if c not in (key, *first_by, SLICE, ROW)]
+    order = F.struct(*[F.col(f"`{c}`") for c in first_by], F.hash(*rest).alias("_rest"), SLICE, ROW)
+    first = layer.groupBy(key).agg(F.min(order).alias("_first")).select(f"_first.{SLICE}", f"_first.{ROW}")
+    word, bit = F.shiftright(ROW, 6).alias("_word"), F.call_function("shiftleft", F.lit(1).cast("long"), F.col(ROW).bitwiseAND(F.lit(63)).cast("int"))
+    marked = first.select(SLICE, word, bit.alias("_mask"))
+    # Every word of a slice, so that a row's word is found by its place.
+    ends = layer.groupBy(SLICE).agg(F.max(ROW).alias("_end"))
+    blank = ends.select(SLICE, F.explode(F.sequence(F.lit(0).cast("long"), F.shiftright("_end", 6))).alias("_word"), F.lit(0).cast("long").alias("_mask"))
+    masks = marked.unionByName(blank).groupBy(SLICE, "_word").agg(F.bit_or("_mask").alias("_mask"))
+    bits = masks.groupBy(SLICE).agg(F.sort_array(F.collect_list(F.struct("_word", "_mask"))).alias("_words"))
+    bits = bits.select(F.col(SLICE).alias("_s"), F.col("_words._mask").alias("_bits"))
+    set_ = F.getbit(F.get("_bits", F.shiftright(ROW, 6).cast("int")), F.col(ROW).bitwiseAND(F.lit(63)).cast("int")) == 1
+    return layer.join(bits.hint("shuffle_hash"), (F.col(SLICE) == F.col("_s")) & set_, "left_semi").drop(SLICE, ROW)
+
+
 def tidy_names(df: DataFrame, cols: Sequence[str], source: DataFrame | None = None) -> DataFrame:
     """``clean_name`` on ``cols``, evaluated once per distinct name when possible.
 
@@ -142,7 +167,11 @@ def clean_orders(
     """
     if first_by is None:
         first_by = [FILE_ORDER] if FILE_ORDER in raw.columns else ["order_date"]
-    deduped = dedupe_first(raw, "order_id", first_by, colocate_by).na.drop(subset=["order_id", "product_name"])
+    if SLICE in raw.columns:
+        deduped = dedupe_late(raw, "order_id", first_by)
+    else:
+        deduped = dedupe_first(raw, "order_id", first_by, colocate_by)
+    deduped = deduped.na.drop(subset=["order_id", "product_name"])
 
     qty = whole_number(F.col("quantity_ordered"))
     cost = pd_round(F.col("unit_cost").try_cast("double"), 2)

@@ -26,7 +26,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.clean import clean_orders
+from ..operators.clean import ROW, SLICE, clean_orders
 from ..operators.star import (
     PRODUCT_CATEGORY,
     REGION_ZONE,
@@ -281,6 +281,7 @@ def build_warehouse(
     category_key: Callable[[Column], Column] | None = None,
     zone_map: Mapping[str, str] = REGION_ZONE,
     observed: Callable[[], dict[str, int]] | None = None,
+    wide_feed: bool = False,
 ) -> StarSchema:
     """Raw feed -> written raw layer -> cleaned orders -> dimensions -> fact, published below ``root``.
 
@@ -288,6 +289,9 @@ def build_warehouse(
     aggregation collapses the copies of an order in every task, so even one
     order holding a third of all rows never lands whole in one task.
 
+    ``wide_feed`` (for feeds whose rows are much wider than their order columns) buckets the raw layer by the task
+    that wrote a row and shuffles keys, order columns and positions only (``clean.dedupe_late``).
+
     ``colocate_by`` (opt-in, for feeds whose keys are known not to be skewed)
     writes the raw layer bucketed by its first column
     (``stockyard.raw.buckets`` buckets, default one per shuffle partition) and
@@ -297,7 +301,7 @@ def build_warehouse(
     ``observed`` gives the feed's fault counts once the raw layer is written; they are stored with
     the tables."""
     with versions.new_version(spark, root) as folder:
-        raw_t, colocated = _raw_layer(spark, raw, folder, colocate_by)
+        raw_t, colocated = _raw_layer(spark, raw, folder, colocate_by, wide_feed)
         faults = observed() if observed else {}
         orders = clean_orders(raw_t, first_by=first_by, colocate_by=colocated)
         star = materialize_star_schema(
@@ -309,7 +313,13 @@ def build_warehouse(
     return star
 
 
-def _raw_layer(spark: SparkSession, raw: DataFrame, root: str, colocate_by: Sequence[str]) -> tuple[DataFrame, Sequence[str]]:
+def with_positions(raw: DataFrame) -> DataFrame:
+    """``raw`` with the task that writes each row and the row's number there."""
+    tag = F.monotonically_increasing_id()
+    return raw.withColumns({SLICE: F.shiftright(tag, 33).cast("int"), ROW: tag.bitwiseAND(F.lit((1 << 33) - 1))})
+
+
+def _raw_layer(spark: SparkSession, raw: DataFrame, root: str, colocate_by: Sequence[str], wide: bool) -> tuple[DataFrame, Sequence[str]]:
     """The feed written once, and the columns it is in fact co-located by."""
     if colocate_by:
         buckets = int(spark.conf.get(RAW_BUCKETS_CONF, spark.conf.get("spark.sql.shuffle.partitions")))
@@ -317,7 +327,16 @@ def _raw_layer(spark: SparkSession, raw: DataFrame, root: str, colocate_by: Sequ
             return _write_bucketed(raw, f"{root}/raw_orders", colocate_by[0], buckets), colocate_by
         except AnalysisException as err:  # the catalog takes no table here: same result, one more shuffle
             log.warning("bucketed raw layer unavailable (%s); de-duplicating with a shuffle", err)
-    return _write(raw, f"{root}/raw_orders_plain"), ()
+            return _write(raw, f"{root}/raw_orders_plain"), ()
+    if not wide:
+        return _write(raw, f"{root}/raw_orders_plain"), ()
+    # More buckets than tasks, so that few slices share one; a task writes one file, its slice.
+    buckets = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        return _write_bucketed(with_positions(raw), f"{root}/raw_orders", SLICE, buckets), ()
+    except AnalysisException as err:
+        log.warning("bucketed raw layer unavailable (%s); de-duplicating with whole rows", err)
+        return _write(raw, f"{root}/raw_orders_plain"), ()
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> StarSchema:
