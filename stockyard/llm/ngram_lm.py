@@ -44,7 +44,7 @@ class Params:
     word_ratio: float = 1.04
     pair_ratio: float = 1.12
     pair_min: int = 1
-    bits: float = 20.0
+    bits: float = 12.0
     max_bytes: int = 1 << 28
     pair_weight: float = 0.3
     frequent: int = 1 << 20
@@ -470,11 +470,12 @@ def fit(docs: DataFrame, p: Params | None = None, id_col: str = "doc_id", text_c
         made = materialise(made, "segments")
         ones = made.agg(F.sum("ones")).first()[0] or 0
         return Model(counts, total, vocabulary, seen, made.select("part", "bits"), p, parts, bits, probes, mass, excess(ones))
-    found = {r["part"]: r for r in made.collect()}  # at most max_bytes
-    empty = np.zeros(bits // 8, np.uint8)
-    segments = [np.frombuffer(found[k]["bits"], np.uint8) if k in found else empty for k in range(parts)]
-    ones = sum(r["ones"] for r in found.values())
-    return Model(counts, total, vocabulary, seen, Shared(docs, "n-gram filter", (np.concatenate(segments), bits)), p, parts, bits, probes, mass, excess(ones))
+    whole, ones = np.zeros(parts * bits // 8, np.uint8), 0  # at most max_bytes, gathered part by part
+    for r in materialise(made, "segments").toLocalIterator():
+        at = r["part"] * bits // 8
+        whole[at : at + bits // 8] = np.frombuffer(r["bits"], np.uint8)
+        ones += r["ones"]
+    return Model(counts, total, vocabulary, seen, Shared(docs, "n-gram filter", (whole, bits)), p, parts, bits, probes, mass, excess(ones))
 
 
 # --- scoring -------------------------------------------------------------------------------
