@@ -102,6 +102,15 @@ def text_buffer(column) -> tuple[np.ndarray, np.ndarray]:
     return buf[off[0] : off[-1]], off - off[0]
 
 
+def text_list(column: pa.Array) -> list[str | None]:
+    """The texts of an Arrow string column; bytes that are not UTF-8 become replacement characters."""
+    try:
+        return column.to_pylist()
+    except UnicodeDecodeError:
+        raw = column.cast(pa.large_string()).view(pa.large_binary()).to_pylist()
+        return [None if b is None else b.decode("utf-8", "replace") for b in raw]
+
+
 def doc_chunks(off: np.ndarray, limit: int = CHUNK) -> Iterator[tuple[int, int]]:
     """Ranges of documents holding about ``limit`` bytes, each document whole."""
     lo, n = 0, len(off) - 1

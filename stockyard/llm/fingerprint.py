@@ -149,10 +149,10 @@ def fingerprint(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            marks = [to_text(s) for s in sketches([t or "" for t in batch.column(1).to_pylist()])]
+            marks = [to_text(s) for s in sketches([t or "" for t in A.text_list(batch.column(1))])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(marks, pa.string())], names=FINGERPRINT.names)
 
-    return docs.select(col(id_col).cast("long").alias("doc_id"), F.make_valid_utf8(col(text_col).cast("string")).alias("text")).mapInArrow(run, FINGERPRINT)
+    return docs.select(col(id_col).cast("long").alias("doc_id"), col(text_col).alias("text")).mapInArrow(run, FINGERPRINT)
 
 
 # --- neighbours in id order -------------------------------------------------------------------
@@ -199,7 +199,8 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     bucket = lower = now = None  # lower, now: (doc_id, text, sketch) of the next smaller id and of this one
     for batch in batches:
         for lo in range(0, len(batch), 128):
-            rows = list(zip(*(c.to_pylist() for c in batch.slice(lo, 128).columns), strict=True))
+            *ids, texts = batch.slice(lo, 128).columns
+            rows = list(zip(*(c.to_pylist() for c in ids), A.text_list(texts), strict=True))
             own_sketch = sketches([r[3] or "" for r in rows])
             kept, edited = [], []
             for (b, own, doc_id, text), sketch in zip(rows, own_sketch, strict=True):
@@ -241,9 +242,10 @@ def edit_neighbours(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     The texts are shuffled once, by bucket of ids; each bucket also gets a copy of the one row
     that follows its smallest id.  Null texts count as empty.  Rows that repeat an id share the
     next smaller id's document; where that id repeats, the row with the smallest text hash stands
-    for it.  A row without an id has no place in the order: an empty text follows it.
+    for it.  A row without an id has no place in the order: an empty text follows it.  Bytes that are
+    not UTF-8 count as replacement characters.
     """
-    rows = docs.select(col(id_col).cast("long").alias("doc_id"), F.make_valid_utf8(col(text_col).cast("string")).alias("text"))
+    rows = docs.select(col(id_col).cast("long").alias("doc_id"), col(text_col).alias("text"))
     ids = rows.select("doc_id").where("doc_id is not null")
     parts = partitions(docs)
     bucket = _buckets(ids, 4 * parts)
