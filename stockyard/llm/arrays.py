@@ -8,6 +8,7 @@ of the longest single text).  Null texts count as empty.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -90,6 +91,14 @@ _alnum[128:] = True
 ALNUM_WORDS = separator_table(_alnum)
 
 
+def release() -> None:
+    """Give memory that earlier tasks of this worker process freed back to the system."""
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "malloc_trim"):  # glibc keeps freed arrays otherwise
+        libc.malloc_trim(0)
+
+
 def text_buffer(column) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of an Arrow string column; null texts become empty."""
     if isinstance(column, pa.ChunkedArray):

@@ -114,15 +114,21 @@ class _Counts:
         return out
 
 
-def _batches(batches, p: Params):
-    """(token hashes, contexts, offsets, ids, held) by chunk of texts."""
+#: Rows whose texts are copied out of an Arrow batch at once, and bytes of text scored at once.
+SLICE, SCORED_CHUNK = 1000, A.CHUNK // 4
+
+
+def _batches(batches, p: Params, limit: int = A.CHUNK):
+    """(token hashes, contexts, offsets, ids, held, first row) by chunk of texts."""
     for batch in batches:
-        buf, off = A.text_buffer(batch.column(1))
-        ids = batch.column(0).to_pylist()
-        held = held_out(ids, p)
-        for lo, hi in A.doc_chunks(off, A.CHUNK):
-            tok, ctx, toff = tokens(buf[off[lo] : off[hi]], off[lo : hi + 1] - off[lo])
-            yield tok, ctx, toff, ids[lo:hi], held[lo:hi], lo
+        for first in range(0, batch.num_rows, SLICE):
+            part = batch.slice(first, SLICE)
+            buf, off = A.text_buffer(part.column(1))
+            ids = part.column(0).to_pylist()
+            held = held_out(ids, p)
+            for lo, hi in A.doc_chunks(off, limit):
+                tok, ctx, toff = tokens(buf[off[lo] : off[hi]], off[lo : hi + 1] - off[lo])
+                yield tok, ctx, toff, ids[lo:hi], held[lo:hi], first + lo
 
 
 def _count_words(p: Params):
@@ -520,9 +526,9 @@ class Scorer:
     excess: float
 
 
-def _log_probs(tok, ctx, levels: Callable, mass: float, excess: float, p: Params) -> np.ndarray:
-    """log10 of the probability of every token of a chunk, from the levels alone."""
-    k, inv = np.unique(tok, return_inverse=True)
+def _log_probs(k, inv, ctx, levels: Callable, mass: float, excess: float, p: Params) -> np.ndarray:
+    """log10 of the probability of every token of a chunk (distinct tokens k, places inv), from the levels alone."""
+    tok = k[inv]
     # Before a text's first token stands another text's end token, whose count is the number of texts.
     own = step_count(levels(k), p.word_ratio)[inv]
     return np.log10(probabilities(tok, ctx, own, np.roll(own, 1), levels, mass, excess, p))
@@ -532,10 +538,12 @@ def _scored(tok, ctx, toff, ids, held, rows, levels: Callable, frequent, m: Scor
     """The scores of a chunk of texts."""
     common, common_count = frequent
     size = np.log10(m.total + m.vocabulary + 1.0)
-    score = np.add.reduceat(_log_probs(tok, ctx, levels, m.mass, m.excess, m.params), toff[:-1])
-    at = np.minimum(np.searchsorted(common, tok), max(len(common) - 1, 0))
-    hit = common[at] == tok if len(common) else np.zeros(len(tok), bool)
-    c = np.where(hit, common_count[at], 0) if len(common) else np.zeros(len(tok))
+    k, inv = np.unique(tok, return_inverse=True)
+    score = np.add.reduceat(_log_probs(k, inv, ctx, levels, m.mass, m.excess, m.params), toff[:-1])
+    at = np.minimum(np.searchsorted(common, k), max(len(common) - 1, 0))
+    hit = common[at] == k if len(common) else np.zeros(len(k), bool)
+    c = np.where(hit, common_count[at], 0) if len(common) else np.zeros(len(k))
+    hit, c = hit[inv], c[inv]
     base = np.add.reduceat(np.where(hit, np.log10(c + 1.0) - size, 0.0), toff[:-1])
     known = np.add.reduceat(hit & (c > 0), toff[:-1], dtype=np.int64)
     rare = tok[~hit].view(np.int64)
@@ -557,9 +565,10 @@ def _scored(tok, ctx, toff, ids, held, rows, levels: Callable, frequent, m: Scor
 
 def _score(m: Scorer, model_filter: Shared, frequent: Shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        A.release()  # before the filter comes
         bloom = model_filter.get(lambda value: Filter(*value, m.probes))
         for batch in batches:
-            for tok, ctx, toff, ids, held, lo in _batches([batch], m.params):
+            for tok, ctx, toff, ids, held, lo in _batches([batch], m.params, SCORED_CHUNK):
                 rows = batch.column(2).slice(lo, len(ids))
                 yield _scored(tok, ctx, toff, ids, held, rows, bloom.levels, frequent.get(), m)
 
