@@ -240,6 +240,39 @@ def test_exact_dedup_filter_passes_most_unique_rows(spark):
     assert copies.where("not maybe").count() == 0
 
 
+def test_exact_dedup_by_slices_of_the_filter(spark, monkeypatch):
+    n = 40_000
+    text = F.when(F.col("id") % 3 == 0, F.lit(None)).when(F.col("id") % 7 == 0, F.concat(F.lit("Copy "), F.col("id") % 500)).otherwise(F.concat(F.lit("Text "), "id"))
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), text.alias("text"))
+    plain = sorted(rows(exact_dedup.annotate(docs)), key=lambda r: r["doc_id"])
+    monkeypatch.setattr(exact_dedup, "SLICE", 6)  # the filter takes four slices
+    assert -(-exact_dedup._filter_words(n) * 64 // (exact_dedup.BITMAP * exact_dedup.SLICE)) > 2
+    got = exact_dedup.annotate(docs)
+    assert sorted(rows(got), key=lambda r: r["doc_id"]) == plain
+    groups = {}
+    for r in docs.collect():
+        groups.setdefault((r["text"] or "").lower(), []).append(r["doc_id"])
+    want = {i: (max(g), len(g)) for g in groups.values() for i in g}
+    assert {r["doc_id"]: (r["keep_id"], r["group_size"]) for r in plain} == want
+    one = exact_dedup.deduplicate(docs)
+    assert one.columns == docs.columns and sorted(r["doc_id"] for r in rows(one)) == sorted(max(g) for g in groups.values())
+
+
+def test_exact_dedup_rows_that_are_alone_pass_no_exchange(spark, docs):
+    keys = docs.select("doc_id", "text", exact_dedup.probe_key(F.col("text")).alias("h")).repartition(3)
+    words = exact_dedup._filter_words(keys.count())
+    held = spark.createDataFrame([tuple(r) for r in exact_dedup.repeated_filter(keys, words).collect()], "bitmap long, bits binary")
+    alone = exact_dedup.flag_repeated(docs.select("text", exact_dedup.probe_key(F.col("text")).alias("h")), held, words).where("not maybe")
+    plan = alone._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_exact_dedup_keeps_one_of_equal_ids_by_text(spark):
+    docs = spark.createDataFrame([(1, "ALPHA", "x"), (1, "alpha", "x"), (1, "Alpha", "x")], "doc_id long, text string, lang string")
+    for _ in range(3):
+        assert [tuple(r) for r in exact_dedup.deduplicate(docs.repartition(3)).collect()] == [(1, "alpha", "x")]
+
+
 def test_bpe_edges(docs, none):
     import public_tokenizers as P
 
