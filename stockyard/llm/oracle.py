@@ -89,9 +89,33 @@ WITH templates AS (
   SELECT s.row, s.doc_id, s.line, t.k, t.license, 2.0::DOUBLE * len(list_intersect(s.g, t.g)) / CAST(len(s.g) + len(t.g) AS DOUBLE) AS dice
   FROM sets s JOIN templates t
     ON len(s.g) >= len(t.g) * {t} / (2 - {t}) AND len(s.g) <= len(t.g) * (2 - {t}) / {t} AND list_has_any(s.g, t.g)
+), named AS (
+  SELECT row, doc_id, line, unnest(generate_series(1, len(w))) AS i, unnest(w) AS word FROM split WHERE line > 0
+), numbered AS (
+  SELECT row, doc_id, line, row_number() OVER text AS p, word || ' ' || lead(word) OVER text AS gram
+  FROM named WHERE word <> '' WINDOW text AS (PARTITION BY row ORDER BY line, i)
+), forms AS (
+  SELECT k, license, g, len(g) AS size, len(w) - 1 AS n FROM (SELECT t.*, {words.format("v.t")} AS w FROM templates t JOIN (VALUES {quoted}) v(k, license, t) USING (k))
+  WHERE len(w) >= {licenses.WINDOW_WORDS}
+), starts AS (
+  SELECT d.row, d.doc_id, d.line, d.p, f.k, f.license, f.g, f.size, f.n
+  FROM numbered d JOIN (SELECT k, unnest(g) AS gram FROM forms) u ON d.gram = u.gram JOIN forms f ON f.k = u.k
+  QUALIFY len(list(DISTINCT d.gram) OVER (PARTITION BY d.row, f.k)) >= f.size * {t} / (2 - {t}) - 1e-9
+), windows AS (
+  SELECT s.row, s.doc_id, s.line, s.k, s.license, s.p,
+         2.0::DOUBLE * count(DISTINCT d.gram) FILTER (list_contains(s.g, d.gram)) / CAST(count(DISTINCT d.gram) + any_value(s.size) AS DOUBLE) AS dice
+  FROM starts s JOIN numbered d ON d.row = s.row AND d.p BETWEEN s.p AND s.p + s.n - 1 AND d.gram IS NOT NULL
+  GROUP BY s.row, s.doc_id, s.line, s.k, s.license, s.p
+), peaks AS (
+  SELECT * FROM (
+    SELECT *, lag(dice) OVER text AS before, lead(dice) OVER text AS after FROM (
+      SELECT row, doc_id, line, k, license, p, max(dice) AS dice FROM windows GROUP BY ALL)
+    WINDOW text AS (PARTITION BY row, k ORDER BY p))
+  WHERE dice >= {t} AND dice >= coalesce(before, 0) AND dice > coalesce(after, 0)
 )
 SELECT doc_id, line, license, dice FROM (
-  SELECT *, row_number() OVER (PARTITION BY row, line ORDER BY dice DESC, k) AS turn FROM scored)
+  SELECT *, row_number() OVER (PARTITION BY row, line ORDER BY dice DESC, k) AS turn FROM (
+    SELECT row, doc_id, line, k, license, dice FROM scored UNION ALL SELECT row, doc_id, line, k, license, dice FROM peaks))
 WHERE turn = 1 AND dice >= {t}"""
 
 
