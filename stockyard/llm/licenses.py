@@ -9,7 +9,7 @@ of the words that touch more than those is dropped before its words are split.
 
 A window is as long as its template and starts at one of the template's bigrams, so that a notice wrapped
 over lines or inside a longer line is found.  Bigrams meet the templates' in one broadcast join; only texts
-that hold enough of a template's bigrams are cut into its windows.
+that hold enough of a template's bigrams are cut into lines and windows.
 """
 
 from __future__ import annotations
@@ -148,6 +148,23 @@ def _holds(text: Column, words: Sequence[str]) -> Column:
     return out
 
 
+def _likely(docs: DataFrame, sets: Sequence[list[str]], threshold: float) -> DataFrame:
+    """``docs`` (doc_id, text) whose whole text holds as many bigrams of one template as any match in it must.
+
+    A passage's bigrams are bigrams of its text, line ends being white space, so no match is lost."""
+    every = F.array(*[F.lit(g) for g in dict.fromkeys(g for grams in sets for g in grams)])
+    forms = F.array(
+        *[
+            F.struct(F.array(*[F.lit(g) for g in grams]).alias("known"), F.lit(window(len(grams), threshold)[0] - 1e-9).alias("low"))
+            for grams in sets
+        ]
+    )
+    split = _once(docs, "w", words(F.col("text")), "doc_id", "text").where(F.size("w") > 1)
+    held = _once(split, "held", F.array_intersect(bigrams(F.col("w")), every), "doc_id", "text").where(F.size("held") > 0)
+    enough = F.exists(forms, lambda form: F.size(F.array_intersect("held", form["known"])) >= form["low"])
+    return held.where(enough).select("doc_id", "text")
+
+
 def _windows(docs: DataFrame, templates: Sequence[tuple[str, str]], threshold: float) -> DataFrame:
     """(row, doc_id, line, best) of the windows of ``docs`` (row, doc_id, text) that reach the threshold.
 
@@ -215,6 +232,7 @@ def scan(
     needed = anchors([g for _, g in sets], threshold)
     docs = _once(docs.select(col(id_col).alias("doc_id"), col(text_col).alias("text")), "low", F.lower("text"), "doc_id", "text")
     docs = docs.where(_holds(F.col("low"), needed)).drop("low")
+    docs = _likely(docs, [g for _, g in sets], threshold)
     # Row numbers that last: windows are joined back to their texts by them.
     docs = materialise(docs.withColumn("row", F.monotonically_increasing_id()), "licence-texts")
     lines = F.split("text", "\n")
