@@ -49,6 +49,9 @@ DIMENSIONS = ("dim_date", "dim_product", "dim_supplier", "dim_region")
 # Buckets of the raw layer; each becomes one de-duplication task.  Size it so a
 # bucket holds a few hundred MB (default: the shuffle partition count).
 RAW_BUCKETS_CONF = "stockyard.raw.buckets"
+# Rows of a file of cleaned orders.  Spark deals files to tasks by their bytes and a fixed cost of each, so
+# files of some MB keep the rows few that a task sorts by date for the fact.
+ORDER_FILE_ROWS = 200_000
 log = logging.getLogger(__name__)
 
 
@@ -93,9 +96,10 @@ def build_star_schema(
     return StarSchema(dd, dp, ds, dr, fact, orders=orders, raw_orders=raw_orders)
 
 
-def _write(df: DataFrame, path: str) -> DataFrame:
+def _write(df: DataFrame, path: str, file_rows: int = 0) -> DataFrame:
+    """``df`` written (files of at most ``file_rows`` rows, where given) and read back."""
     with job_label(df.sparkSession, f"stockyard write {path.rstrip('/').rsplit('/', 1)[-1]}"):
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").option("maxRecordsPerFile", file_rows).parquet(path)
     # The schema is known: passing it skips the footer-reading inference job.
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -149,7 +153,7 @@ def materialize_star_schema(
     each task so Parquet row-group statistics can skip dates (period
     slicers, trend windows).
     """
-    clean = _write(orders, f"{root}/orders_clean")
+    clean = _write(orders, f"{root}/orders_clean", ORDER_FILE_ROWS)
     builders = {
         "dim_date": lambda: build_dim_date(clean),
         "dim_product": lambda: build_dim_product(clean, category_map, category_key),
@@ -224,7 +228,7 @@ def replace_years(
         "dim_region": ("region_id", "region_name", "region"),
     }
     with versions.new_version(spark, root) as folder:
-        fresh = _write(orders, f"{folder}/orders_clean")
+        fresh = _write(orders, f"{folder}/orders_clean", ORDER_FILE_ROWS)
         ids = {}
         for dim, (key, name, source) in names.items():
             given = fresh.where(F.col(source).isNotNull()).select(F.col(source).alias(name))
@@ -285,9 +289,10 @@ def build_warehouse(
 ) -> StarSchema:
     """Raw feed -> written raw layer -> cleaned orders -> dimensions -> fact, published below ``root``.
 
-    By default de-duplication is a shuffled aggregate whose map-side partial
-    aggregation collapses the copies of an order in every task, so even one
-    order holding a third of all rows never lands whole in one task.
+    By default de-duplication shuffles the feed once, to as many tasks as sort
+    their rows in memory; copies of an order that holds very many rows are collapsed
+    in every map task, so even one order holding a third of all rows never lands
+    whole in one task (``clean.dedupe_spread``).
 
     ``wide_feed`` (for feeds whose rows are much wider than their order columns) buckets the raw layer by the task
     that wrote a row and shuffles keys, order columns and positions only (``clean.dedupe_late``).

@@ -5,8 +5,9 @@ integer arithmetic from the keys (the same expressions the SQL oracle uses).
 ``order_id`` is built from (order key, line number) and is *not* unique
 across the join fan-out, which exercises de-duplication.
 
-Line items meet part and supplier, then orders.  All three grow with the data
-and are never hinted: Catalyst and AQE pick broadcast or sort-merge, and AQE
+Line items meet orders while they are narrow, then part and supplier, which are
+broadcast as long as their measured size allows.  Else, and for orders always,
+Catalyst and AQE pick broadcast or sort-merge, and AQE
 splits a skewed join key (one order, part or supplier with a third of all
 lines).  No explicit repartition is added, since a user-requested exchange
 would opt that join out of AQE's skew handling.  nation and region are
@@ -71,8 +72,10 @@ def raw_orders_from_tables(spark: SparkSession, base_dir: str) -> DataFrame:
     sup = sp.join(checked_broadcast(geo), sp.s_nationkey == geo.n_nationkey, "left").select("s_suppkey", "s_name", "r_name")
 
     # Left joins: a line whose part, supplier or order is missing stays, with nulls that the checks report.
-    lines = li.join(pt, li.l_partkey == pt.p_partkey, "left").join(sup, li.l_suppkey == sup.s_suppkey, "left")
-    j = lines.join(od, F.col("l_orderkey") == od.o_orderkey, "left")
+    # Orders come first: they are the most, and lines are narrow as long as they hold numbers only.
+    lines = li.join(od, li.l_orderkey == od.o_orderkey, "left")
+    lines = lines.join(checked_broadcast(pt), F.col("l_partkey") == pt.p_partkey, "left")
+    j = lines.join(checked_broadcast(sup), F.col("l_suppkey") == sup.s_suppkey, "left")
 
     ok, ln, pk, sk = F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey")
     pname = F.col("p_name")
