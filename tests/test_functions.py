@@ -7,8 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from stockyard.functions import calendar as cal
-from stockyard.functions.numeric import bin_right, clip, pd_round, safe_div, sql_round
+from stockyard.functions.numeric import bin_right, clip, pd_round, safe_div, sql_round, whole_number
 from stockyard.functions.text import clean_name, label_from_key, strip_ws, title_case
+from stockyard.plans.text_feed import text_feed
+from stockyard.schemas import RAW_ORDERS
 
 
 def one(spark, expr, value=None, dtype="double"):
@@ -111,3 +113,28 @@ def test_exact_quantiles_match_numpy(spark):
         for name, arr in (("a", a), ("b", b)):
             for i, p in enumerate(probs):
                 assert got[name][f"q{i}"] == pytest.approx(float(np.quantile(arr, p)), rel=1e-12, abs=1e-9)
+
+
+def test_whole_numbers_of_all_types_as_by_decimals(spark):
+    texts = ["7", " 7 ", "7.0", "7.9", "-7", "+7", "7\x7f", "\x1f7", "1e2", "2147483648", "-2147483648", "99999999999", "", "oops", "\u0667", "7.", "0x1", "00012", None]
+    cells = spark.createDataFrame([(t, 6.9999999, 5, 2**40, True) for t in texts] + [(None,) * 5], "t string, d double, i int, l long, b boolean")
+    for c in cells.columns:
+        by_decimals = F.col(c).try_cast("decimal(38,6)").try_cast("int")
+        rows = cells.select(by_decimals.alias("want"), whole_number(F.col(c)).alias("got")).collect()
+        assert [r.got for r in rows] == [r.want for r in rows]
+    plan = cells.select(whole_number(F.col("i")).alias("n"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "decimal" not in plan.lower() and "CASE" not in plan  # no decimals where the type holds whole numbers
+
+
+def test_text_feed_writes_money_as_decimals_do(spark):
+    values = [0.0, 0.05, -0.05, 1.0, -1.0, 12.34, -12.345, 99999.999, None, 1e12]
+    rows = [(k, v) for k in (1, 4, 35, None) for v in values]
+    given = spark.createDataFrame(rows, "_orderkey long, total_cost double")
+    raw = given.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in RAW_ORDERS.fields if f.name != "total_cost"], "total_cost", "_orderkey")
+    cost = F.rint(F.col("given") * 100).cast("long").cast("decimal(20,0)") / 100
+    plus = F.when(F.col("_orderkey") % 31 == 4, F.lit(1)).otherwise(F.lit(0))
+    got = text_feed(raw.withColumn("given", F.col("total_cost")), keep=["given", "_orderkey"])
+    got = got.select("total_cost", (cost + plus).cast("decimal(18,2)").cast("string").alias("want")).collect()
+    assert len(got) == len(rows) and [r.total_cost for r in got] == [r.want for r in got]
+    plan = text_feed(raw)._jdf.queryExecution().optimizedPlan().toString()
+    assert "decimal" not in plan.lower()
