@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import arrays as A
-from .store import Shared, col, materialise, partitions
+from .store import Shared, col, drop_held, materialise, partitions
 
 _U = np.uint64
 
@@ -87,8 +87,10 @@ PAIRS = T.StructType([T.StructField("part", T.IntegerType()), T.StructField("key
 
 
 def _merge(keys: list[np.ndarray], weights: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys and their summed weights."""
+    """Distinct keys and their summed weights.  Both lists are emptied."""
     k, w = np.concatenate(keys), np.concatenate(weights)
+    keys.clear()
+    weights.clear()
     if not len(k):
         return k, w
     order = np.argsort(k, kind="stable")
@@ -109,13 +111,45 @@ class _Counts:
         self.fresh += len(keys)
 
     def take(self) -> tuple[np.ndarray, np.ndarray]:
-        out = _merge(self.keys, self.weights) if self.keys else (np.empty(0, _U), np.empty(0, np.int64))
+        keys, weights = self.keys, self.weights
         self.keys, self.weights, self.fresh = [], [], 0
-        return out
+        return _merge(keys, weights) if keys else (np.empty(0, _U), np.empty(0, np.int64))
 
 
 #: Rows whose texts are copied out of an Arrow batch at once, and bytes of text scored at once.
 SLICE, SCORED_CHUNK = 1000, A.CHUNK // 4
+#: Most keys of a packed row: some 300 KB, so that the JVM, Arrow and Parquet need no large buffer for one.
+PACKED = 1 << 15
+_HELD = ("n-gram filter", "frequent words")  # kinds of what workers hold of a model
+
+
+def _lean(run: Callable, drop: tuple[str, ...] = ()) -> Callable:
+    """``run`` in a worker that gives freed memory back before and after it.
+
+    Workers stay alive between stages beside a grown JVM.  ``drop`` names what they hold of a former model."""
+
+    def lean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drop_held(*drop)
+        A.release()
+        try:
+            yield from run(batches)
+        finally:
+            A.release()
+
+    return lean
+
+
+def _pieces(part: np.ndarray, parts: int) -> list[tuple[int, int, int]]:
+    """(part, from, to) of the runs of equal parts in sorted ``part``, cut after ``PACKED`` keys."""
+    edge = np.searchsorted(part, np.arange(parts + 1, dtype=part.dtype)).tolist()
+    return [(s, lo, min(lo + PACKED, hi)) for s, (at, hi) in enumerate(zip(edge[:-1], edge[1:], strict=True)) for lo in range(at, hi, PACKED)]
+
+
+def _packed(batch: pa.RecordBatch) -> Iterator[list]:
+    """The rows of a batch, binary values as views of its memory."""
+    views = [pa.types.is_binary(c.type) for c in batch.columns]
+    for i in range(batch.num_rows):
+        yield [c[i].as_buffer() if view else c[i].as_py() for c, view in zip(batch.columns, views, strict=True)]
 
 
 def _batches(batches, p: Params, limit: int = A.CHUNK):
@@ -165,19 +199,20 @@ def _count_pairs(p: Params, parts: int):
         size = 0
 
         def out():
-            k = np.sort(np.concatenate(held_keys))
+            k = np.concatenate(held_keys)
+            held_keys.clear()
+            k.sort()
             first = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
             n = np.minimum(np.diff(np.append(first, len(k))), 0xFFFFFFFF).astype(np.uint32)
             k = k[first]
             # The top bits name the part, so the parts are runs of the sorted keys.
             part = (k >> _U(32)) * _U(parts) >> _U(32)
-            edge = np.searchsorted(part, np.arange(parts + 1, dtype=_U))
-            some = np.flatnonzero(np.diff(edge))
+            some = _pieces(part, parts)
             return pa.RecordBatch.from_arrays(
                 [
-                    pa.array(some, pa.int32()),
-                    pa.array([k[edge[s] : edge[s + 1]].tobytes() for s in some], pa.binary()),
-                    pa.array([_pack(n[edge[s] : edge[s + 1]]) for s in some], pa.binary()),
+                    pa.array([s for s, _, _ in some], pa.int32()),
+                    pa.array([k[lo:hi].tobytes() for _, lo, hi in some], pa.binary()),
+                    pa.array([_pack(n[lo:hi]) for _, lo, hi in some], pa.binary()),
                 ],
                 names=PAIRS.names,
             )
@@ -340,17 +375,19 @@ def _kept_pairs(p: Params):
             k, n = counts.take()
             k, n = k[n >= p.pair_min], n[n >= p.pair_min]
             level = step_of(n, p.pair_ratio)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([now], pa.int32()), pa.array([k.tobytes()], pa.binary()), pa.array([level.astype(np.uint16).tobytes()], pa.binary()), pa.array([int(level.sum())], pa.int64())],
-                names=KEPT.names,
-            )
+            for at in range(0, max(len(k), 1), PACKED):
+                q = level[at : at + PACKED]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([now], pa.int32()), pa.array([k[at : at + PACKED].tobytes()], pa.binary()), pa.array([q.astype(np.uint16).tobytes()], pa.binary()), pa.array([int(q.sum())], pa.int64())],
+                    names=KEPT.names,
+                )
 
         held = 0
         for batch in batches:
-            for part, keys, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for part, keys, n in _packed(batch):
                 if part != now:
                     if now is not None:
-                        yield out()
+                        yield from out()
                     now, held = part, 0
                 k = np.frombuffer(keys, _U)
                 counts.add(k, _unpack(n, len(k)))
@@ -359,7 +396,7 @@ def _kept_pairs(p: Params):
                     counts.add(k, w)
                     held = len(k)
         if now is not None:
-            yield out()
+            yield from out()
 
     return run
 
@@ -376,7 +413,7 @@ def _segments(bits: int, probes: int):
             return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([made.tobytes()], pa.binary()), pa.array([ones], pa.int64())], names=SEGMENT.names)
 
         for batch in batches:
-            for part, k, q in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for part, k, q in _packed(batch):
                 if part != now:
                     if now is not None:
                         yield out()
@@ -399,14 +436,13 @@ def _word_rows(p: Params, parts: int):
             part = ((k >> _U(32)) * _U(parts) >> _U(32)).astype(np.int64)
             order = np.argsort(part, kind="stable")
             k, q, part = k[order], q[order], part[order]
-            edge = np.searchsorted(part, np.arange(parts + 1))
-            some = np.flatnonzero(np.diff(edge))
+            some = _pieces(part, parts)
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(some, pa.int32()),
-                    pa.array([k[edge[s] : edge[s + 1]].tobytes() for s in some], pa.binary()),
-                    pa.array([q[edge[s] : edge[s + 1]].tobytes() for s in some], pa.binary()),
-                    pa.array([int(q[edge[s] : edge[s + 1]].astype(np.int64).sum()) for s in some], pa.int64()),
+                    pa.array([s for s, _, _ in some], pa.int32()),
+                    pa.array([k[lo:hi].tobytes() for _, lo, hi in some], pa.binary()),
+                    pa.array([q[lo:hi].tobytes() for _, lo, hi in some], pa.binary()),
+                    pa.array([int(q[lo:hi].astype(np.int64).sum()) for _, lo, hi in some], pa.int64()),
                 ],
                 names=KEPT.names,
             )
@@ -451,15 +487,15 @@ def fit(docs: DataFrame, p: Params | None = None, id_col: str = "doc_id", text_c
     p = p or Params()
     parts = partitions(docs)
     src = docs.select(col(id_col).cast("long").alias("doc_id"), col(text_col).alias("text"))
-    counts = src.mapInArrow(_count_words(p), WORDS).groupBy("h").agg(F.sum("c").alias("c"), F.sum("seen").alias("seen"))
+    counts = src.mapInArrow(_lean(_count_words(p), _HELD), WORDS).groupBy("h").agg(F.sum("c").alias("c"), F.sum("seen").alias("seen"))
     counts = materialise(counts, "word-counts")
     total, vocabulary, seen = counts.agg(F.sum("c"), F.count_if(F.col("c") > 0), F.sum("seen")).first()
     total, vocabulary, seen = total or 0, vocabulary or 0, seen or 0
 
     # Word pairs travel as packed arrays, one for each task and part.
-    sent = src.mapInArrow(_count_pairs(p, parts), PAIRS).repartition(parts, "part").sortWithinPartitions("part")
-    words = counts.where("c > 0").select("h", "c").mapInArrow(_word_rows(p, parts), KEPT)
-    kept = materialise(sent.mapInArrow(_kept_pairs(p), KEPT).union(words), "ngrams")
+    sent = src.mapInArrow(_lean(_count_pairs(p, parts)), PAIRS).repartition(parts, "part").sortWithinPartitions("part")
+    words = counts.where("c > 0").select("h", "c").mapInArrow(_lean(_word_rows(p, parts)), KEPT)
+    kept = materialise(sent.mapInArrow(_lean(_kept_pairs(p)), KEPT).union(words), "ngrams")
     inserts = kept.agg(F.sum("inserts")).first()[0] or 0
     read = counts.where("c > 0").select("c").mapInArrow(_read_counts(p), "mass double")
     mass = 1.0 + (read.agg(F.sum("mass")).first()[0] or 0.0)
@@ -467,7 +503,7 @@ def fit(docs: DataFrame, p: Params | None = None, id_col: str = "doc_id", text_c
     probes = max(1, round(p.bits * float(np.log(2))))
     bits = max(64, int(inserts * p.bits / parts) // 64 * 64)
     made = kept.select("part", "keys", "levels").repartition(parts, "part").sortWithinPartitions("part")
-    made = made.mapInArrow(_segments(bits, probes), SEGMENT)
+    made = made.mapInArrow(_lean(_segments(bits, probes)), SEGMENT)
 
     def excess(ones: int) -> float:
         return vocabulary * (ones / (parts * bits)) ** probes
@@ -481,7 +517,7 @@ def fit(docs: DataFrame, p: Params | None = None, id_col: str = "doc_id", text_c
         at = r["part"] * bits // 8
         whole[at : at + bits // 8] = np.frombuffer(r["bits"], np.uint8)
         ones += r["ones"]
-    return Model(counts, total, vocabulary, seen, Shared(docs, "n-gram filter", (whole, bits)), p, parts, bits, probes, mass, excess(ones))
+    return Model(counts, total, vocabulary, seen, Shared(docs, _HELD[0], (whole, bits)), p, parts, bits, probes, mass, excess(ones))
 
 
 # --- scoring -------------------------------------------------------------------------------
@@ -565,7 +601,6 @@ def _scored(tok, ctx, toff, ids, held, rows, levels: Callable, frequent, m: Scor
 
 def _score(m: Scorer, model_filter: Shared, frequent: Shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        A.release()  # before the filter comes
         bloom = model_filter.get(lambda value: Filter(*value, m.probes))
         for batch in batches:
             for tok, ctx, toff, ids, held, lo in _batches([batch], m.params, SCORED_CHUNK):
@@ -714,11 +749,11 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     common = model.counts.where(F.col("seen") > least).select("h", "c").toArrow()
     h = common.column("h").to_numpy().view(_U)
     order = np.argsort(h)
-    frequent = Shared(docs, "frequent words", (h[order], common.column("c").to_numpy()[order]))
+    frequent = Shared(docs, _HELD[1], (h[order], common.column("c").to_numpy()[order]))
     src = docs.select(col(id_col).cast("long").alias("doc_id"), col(text_col).alias("text"), F.monotonically_increasing_id().alias("row"))
     m = Scorer(p, model.total, model.vocabulary, model.probes, model.mass, model.excess)
     if isinstance(model.filter, Shared):
-        first = src.mapInArrow(_score(m, model.filter, frequent), PARTIAL)
+        first = src.mapInArrow(_lean(_score(m, model.filter, frequent)), PARTIAL)
     else:
         first = _by_shuffle(src, model, frequent, m)
     first = materialise(first, "scores")

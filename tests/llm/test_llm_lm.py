@@ -6,10 +6,11 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
-from stockyard.llm import arrays, ngram_lm
+from stockyard.llm import arrays, ngram_lm, store
 
 SF = "/root/testdata/sf0.01"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -124,3 +125,38 @@ def test_doubling_and_halving_read_every_level():
     got = made.levels(keys)
     assert (got >= level).all() and (got > level).mean() < 0.01
     assert not made.levels(rng.integers(0, 2**64, 50_000, dtype=np.uint64)).any()
+
+
+def test_packed_rows_stay_small_and_whole():
+    """Pairs and kept n-grams travel in rows of a bounded number of keys, and none is lost (one row held a whole part)."""
+    p, n = ngram_lm.Params(), 3 * ngram_lm.PACKED + 5
+    rng = np.random.default_rng(3)
+    keys = np.unique(rng.integers(0, 1 << 64, n, np.uint64))
+    counts = rng.integers(1, 400, len(keys))
+    cut = lambda a, size: [a[i : i + size] for i in range(0, len(a), size)]
+    sent = pa.RecordBatch.from_arrays(
+        [
+            pa.array([0, 0], pa.int32()),
+            pa.array([k.tobytes() for k in cut(keys, len(keys) // 2 + 1)], pa.binary()),
+            pa.array([ngram_lm._pack(c) for c in cut(counts, len(keys) // 2 + 1)], pa.binary()),
+        ],
+        names=ngram_lm.PAIRS.names,
+    )
+    rows = [r for b in ngram_lm._kept_pairs(p)(iter([sent, sent])) for r in b.to_pylist()]
+    assert len(rows) > 1 and all(len(r["keys"]) <= 8 * ngram_lm.PACKED for r in rows)
+    assert np.array_equal(np.concatenate([np.frombuffer(r["keys"], np.uint64) for r in rows]), keys)
+    level = ngram_lm.step_of(2 * counts, p.pair_ratio)
+    assert np.array_equal(np.concatenate([np.frombuffer(r["levels"], np.uint16) for r in rows]), level)
+    assert sum(r["inserts"] for r in rows) == level.sum()
+    words = pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], names=["h", "c"])
+    rows = [r for b in ngram_lm._word_rows(p, 2)(iter([words])) for r in b.to_pylist()]
+    assert {r["part"] for r in rows} == {0, 1} and all(len(r["keys"]) <= 8 * ngram_lm.PACKED for r in rows)
+    assert np.array_equal(np.sort(np.concatenate([np.frombuffer(r["keys"], np.uint64) for r in rows])), keys)
+
+
+def test_counting_tasks_drop_a_former_model(monkeypatch):
+    freed = []
+    monkeypatch.setattr(arrays, "release", lambda: freed.append(dict(store._held)))
+    monkeypatch.setattr(store, "_held", {"n-gram filter": ("a", 1), "frequent words": ("b", 2), "other": ("c", 3)})
+    assert list(ngram_lm._lean(lambda batches: batches, ngram_lm._HELD)(iter([1, 2]))) == [1, 2]
+    assert freed == [{"other": ("c", 3)}] * 2  # before the task's work and after it
