@@ -290,19 +290,27 @@ def _spots(key: np.ndarray, level: int | np.ndarray) -> tuple[np.ndarray, np.nda
     return a, A.mix64(a ^ _U(0x94D049BB133111EB)) | _U(1)
 
 
-def _position(spots: tuple[np.ndarray, np.ndarray], probe: int, bits: int) -> np.ndarray:
-    """Bit in a segment of at most 2**32 bits, by double hashing."""
-    a, b = spots
-    return ((a + _U(probe) * b) >> _U(32)) * _U(bits) >> _U(32)
+def _position(a: np.ndarray, bits: int) -> np.ndarray:
+    """Bit in a segment of at most 2**32 bits."""
+    at = a >> _U(32)
+    at *= _U(bits)
+    at >>= _U(32)
+    return at
 
 
 class Filter:
-    """Segments of bits; a key's top bits choose its segment."""
+    """Segments of bits; a key's top bits choose its segment.  Levels read before are kept for the commonest keys."""
+
+    #: Most keys kept, and bytes of bits for each.
+    KEPT, KEPT_PER = 1 << 20, 128
 
     def __init__(self, segments: list[np.ndarray] | np.ndarray, bits: int, probes: int):
         # One array is taken as it is: workers hold the broadcast filter once.
         self.bytes = segments if isinstance(segments, np.ndarray) else np.concatenate(segments)
         self.bits, self.probes, self.parts = bits, probes, 8 * len(self.bytes) // bits
+        size = 1 << max(2, min(len(self.bytes) // self.KEPT_PER, self.KEPT)).bit_length() - 1
+        self.kept, self.kept_level = np.zeros(size, _U), np.zeros(size, np.uint16)
+        self.kept[0] = 1  # like the zeros elsewhere, no key of its place
 
     def has(self, key: np.ndarray, level: int | np.ndarray) -> np.ndarray:
         """Whether every probe of (key, level) hits."""
@@ -310,9 +318,16 @@ class Filter:
         base = ((key >> _U(32)) * _U(self.parts) >> _U(32)) * _U(self.bits)
         left = np.arange(len(key))
         for probe in range(self.probes):
-            at = _position((a, b), probe, self.bits) + base
-            on = (self.bytes[at >> _U(3)] >> (at & _U(7)).astype(np.uint8)) & 1 == 1
-            if not on.all():
+            if probe:
+                a += b  # double hashing
+            at = _position(a, self.bits)
+            at += base
+            on = self.bytes.take((at >> _U(3)).view(np.int64))
+            at &= _U(7)
+            on >>= at.astype(np.uint8)
+            on &= np.uint8(1)
+            on = np.flatnonzero(on)
+            if len(on) < len(left):
                 left, a, b, base = left[on], a[on], b[on], base[on]
                 if not len(left):
                     break
@@ -323,6 +338,21 @@ class Filter:
     def levels(self, key: np.ndarray) -> np.ndarray:
         """The stored level of every key, 0 if level 1 misses (too high by chance, never too low).
 
+        Of keys with one place the one of the highest level is kept: it costs most and comes most often."""
+        at = (key & _U(len(self.kept) - 1)).view(np.int64)
+        out = self.kept_level[at].astype(np.int64)
+        new = np.flatnonzero(self.kept[at] != key)
+        if len(new):
+            key, at = key[new], at[new]
+            out[new] = level = self._read(key)
+            more = np.flatnonzero(level > self.kept_level[at])
+            at = at[more]
+            self.kept[at], self.kept_level[at] = key[more], level[more]
+        return out
+
+    def _read(self, key: np.ndarray) -> np.ndarray:
+        """The levels of keys from the bits.
+
         All levels up to a key's own are set: doubled levels are asked until one misses, then the gap is halved."""
         out = np.zeros(len(key), np.int64)
         live = np.flatnonzero(self.has(key, 1))
@@ -355,9 +385,11 @@ def segment(keys: np.ndarray, levels: np.ndarray, bits: int, probes: int) -> np.
         level += 1
         on = levels >= level
         keys, levels = keys[on], levels[on]
-        spots = _spots(keys, level)
+        a, b = _spots(keys, level)
         for probe in range(probes):
-            field[_position(spots, probe, bits)] = True
+            if probe:
+                a += b
+            field[_position(a, bits).view(np.int64)] = True
     return np.packbits(field, bitorder="little")
 
 

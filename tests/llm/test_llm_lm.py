@@ -127,6 +127,47 @@ def test_doubling_and_halving_read_every_level():
     assert not made.levels(rng.integers(0, 2**64, 50_000, dtype=np.uint64)).any()
 
 
+class Asked(ngram_lm.Filter):
+    asked = 0
+
+    def has(self, key, level):
+        self.asked += len(key)
+        return super().has(key, level)
+
+
+def test_common_keys_are_asked_once():
+    """Frequent n-grams come in every chunk of texts; each of them was asked level by level anew."""
+    rng = np.random.default_rng(2)
+    keys = np.unique(rng.integers(0, 2**64, 2000, dtype=np.uint64))
+    level = rng.integers(1, 300, len(keys))
+    bits = 64 * (int(level.sum()) * 30 // 64)
+    made = Asked([ngram_lm.segment(keys, level, bits, 20)], bits, 20)
+    first, n = made.levels(keys), made.asked
+    assert np.array_equal(made.levels(keys), first)
+    assert made.asked - n < n / 4
+
+
+def test_keys_of_one_place_keep_their_own_levels():
+    """Whatever was read before, in whatever order, a key's level is what a new filter reads."""
+    rng = np.random.default_rng(4)
+    some = rng.integers(0, 2**64, 300, dtype=np.uint64)
+    keys = np.unique(np.concatenate([some, some << np.uint64(24), some | np.uint64(0xFFFFFF), np.array([0, 1, 2, 2**64 - 1], np.uint64)]))
+    level = rng.integers(1, 90, len(keys))
+    bits = 64 * (int(level.sum()) * 12 // 64)
+    new = lambda: ngram_lm.Filter([ngram_lm.segment(keys, level, bits, 8)], bits, 8)
+    absent = np.concatenate([rng.integers(0, 2**64, 300, dtype=np.uint64), keys[:50] ^ np.uint64(1 << 60)])
+    asked = np.concatenate([keys, absent])
+    want, made = new().levels(asked), new()
+    for _ in range(5):
+        order = rng.permutation(len(asked))
+        for lo in range(0, len(order), 200):
+            at = order[lo : lo + 200]
+            assert np.array_equal(made.levels(asked[at]), want[at])
+    assert all(new().levels(asked[i : i + 1])[0] == want[i] for i in range(0, len(asked), 50))
+    empty = ngram_lm.Filter([np.zeros(8, np.uint8)], 64, 8)
+    assert not empty.levels(np.array([0, 1, 2**64 - 1], np.uint64)).any() and not len(empty.levels(keys[:0]))
+
+
 def test_packed_rows_stay_small_and_whole():
     """Pairs and kept n-grams travel in rows of a bounded number of keys, and none is lost (one row held a whole part)."""
     p, n = ngram_lm.Params(), 3 * ngram_lm.PACKED + 5
